@@ -294,8 +294,7 @@ def _(spark, d):
 
 # ---------------------------------------------------------------- lineage
 
-ROOT = 30
-ROOT_NAME = "cat_0.sch_0.t_30"
+ROOT_NAME = "cat_1.sch_4.t_49"
 
 
 def _walk(direction: str, depth: int, edge: str = "edge", root: str = ROOT_NAME) -> str:

@@ -86,8 +86,7 @@ def regression(
             F.count("*").alias("labelled"),
             F.sum(F.abs(error)).alias("_abs"),
             F.sum(error * error).alias("_sq"),
-            F.sum(label).alias("_y"),
-            F.sum(F.col(label) * F.col(label)).alias("_yy"),
+            F.var_pop(F.col(label).cast("double")).alias("_var"),
             F.avg(
                 F.try_divide(F.abs(error).cast("double"), F.abs(F.col(label)).cast("double"))
             ).alias("_ape"),
@@ -95,8 +94,7 @@ def regression(
     )
     n = F.col("labelled").cast("double")
     squares = F.col("_sq").cast("double")
-    mean_label = F.col("_y").cast("double") / n
-    spread = F.col("_yy").cast("double") - F.col("_y").cast("double") * mean_label
+    spread = F.col("_var") * n
     mse = squares / n
     return sums.select(
         "window_start",

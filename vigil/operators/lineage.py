@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import name_part, ts_lit
-from vigil.plans.scratch import cut, stored
+from vigil.plans.scratch import cut, cut_counting, stored
 
 SRC = "source_table_full_name"
 DST = "target_table_full_name"
@@ -51,15 +51,15 @@ def reach(graph: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
             .distinct()
             .join(seen.select("node"), "node", "left_anti")
         )
-        frontier = cut(step)
-        if frontier.isEmpty():
+        frontier, found = cut_counting(step)
+        if not found:
             break
         seen = seen.unionByName(frontier.withColumn("depth", F.lit(depth)))
     return seen.filter("depth > 0")
 
 
 def _root(graph: DataFrame, table: str) -> DataFrame:
-    return graph.sparkSession.createDataFrame([(table,)], "node string")
+    return graph.sparkSession.range(1).select(F.lit(table).alias("node"))
 
 
 def downstream(lineage: DataFrame, table: str, max_depth: int = 3) -> DataFrame:
@@ -96,8 +96,8 @@ def upstream_paths(lineage: DataFrame, table: str, max_depth: int = 3) -> DataFr
                 F.array_union("path", F.array("src")).alias("path"),
             )
         )
-        level = cut(step)
-        if level.isEmpty():
+        level, more = cut_counting(step)
+        if not more:
             break
         found = found.unionByName(level)
     return found
@@ -326,40 +326,54 @@ def column_impact(
     )
 
 
-def _trimmed(graph: DataFrame) -> DataFrame:
-    """Drop edges that cannot lie on a cycle: their source is never fed, or their target feeds nothing."""
-    size = graph.count()
+# Steps of an iteration planned together before their result is stored.
+STEPS = 3
+
+
+def _trim_once(graph: DataFrame) -> DataFrame:
+    fed = graph.select(F.col("dst").alias("n")).distinct()
+    feeding = graph.select(F.col("src").alias("n")).distinct()
+    return graph.join(fed, F.col("src") == F.col("n"), "left_semi").join(
+        feeding, F.col("dst") == F.col("n"), "left_semi"
+    )
+
+
+def _trimmed(graph: DataFrame) -> tuple[DataFrame, int]:
+    """Drop edges that cannot lie on a cycle: their source is never fed, or their target feeds nothing.
+
+    Returns the remaining edges, stored, and their number. Stops when a round removes nothing.
+    """
+    graph, size = cut_counting(graph)
     while size:
-        fed = graph.select(F.col("dst").alias("n")).distinct()
-        feeding = graph.select(F.col("src").alias("n")).distinct()
-        smaller = cut(
-            graph.join(fed, F.col("src") == F.col("n"), "left_semi").join(
-                feeding, F.col("dst") == F.col("n"), "left_semi"
-            )
-        )
-        left = smaller.count()
+        smaller, left = cut_counting(_trim_once(_trim_once(graph)))
         if left == size:
-            return smaller
+            break
         graph, size = smaller, left
-    return graph
+    return graph, size
+
+
+def _spread_once(graph: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every node takes the smallest label offered over an incoming edge."""
+    offered = (
+        graph.join(labels.select("node", "label"), F.col("src") == F.col("node"))
+        .groupBy(F.col("dst").alias("_n"))
+        .agg(F.min("label").alias("_offer"))
+    )
+    return labels.join(offered, F.col("node") == F.col("_n"), "left").select(
+        "node", F.least("label", "_offer").alias("label"), "_start"
+    )
 
 
 def _min_label(graph: DataFrame, labels: DataFrame) -> DataFrame:
     """Smallest label among a node and everything that reaches it."""
     while True:
-        offered = (
-            graph.join(labels, F.col("src") == F.col("node"))
-            .groupBy(F.col("dst").alias("_n"))
-            .agg(F.min("label").alias("_offer"))
-        )
-        better = F.least(F.col("label"), F.col("_offer"))
-        spread = cut(
-            labels.join(offered, F.col("node") == F.col("_n"), "left").select(
-                "node", better.alias("label"), (better < F.col("label")).alias("_moved")
-            )
-        )
+        spread = labels.withColumn("_start", F.col("label"))
+        for _ in range(STEPS):
+            spread = _spread_once(graph, spread)
+        moved = F.when(F.col("label") < F.col("_start"), 1).otherwise(0)
+        spread, changes = cut_counting(spread, moved)
         labels = spread.select("node", "label")
-        if spread.filter("_moved").isEmpty():
+        if not changes:
             return labels
 
 
@@ -370,47 +384,45 @@ def cycles(lineage: DataFrame) -> DataFrame:
     linear in the edges; pairs of nodes are never formed.
     """
     graph = stored(edges(lineage), "edges")
-    loops = graph.filter("src = dst").select(F.col("src").alias("node")).distinct()
-    rest = _trimmed(cut(graph.filter("src <> dst")))
-    found = None
-    while not rest.isEmpty():
+    loops = graph.filter("src = dst").select(F.col("src").alias("node"))
+    members = graph.sparkSession.createDataFrame([], "node string, cycle_id string")
+    rest, size = _trimmed(graph.filter("src <> dst"))
+    while size:
         nodes = rest.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
         colour = _min_label(rest, nodes.withColumn("label", F.col("node")))
-        # Inside one colour, the nodes that reach the colour's own node form a component.
+        # Edges inside one colour, turned round: whatever the colour's own node reaches
+        # over them also reaches it, and so shares its component.
         ends = rest.join(
             colour.select(F.col("node").alias("src"), F.col("label").alias("_cs")), "src"
         ).join(colour.select(F.col("node").alias("dst"), F.col("label").alias("_cd")), "dst")
-        inside = cut(ends.filter("_cs = _cd").select("src", "dst", F.col("_cs").alias("colour")))
-        # Walk backwards from the roots; a node is marked by a label below every other.
-        back = inside.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-        marked = _min_label(
-            back,
-            colour.select(
-                "node", F.when(F.col("node") == F.col("label"), 0).otherwise(1).alias("label")
-            ),
-        ).filter("label = 0")
-        component = colour.join(marked.select("node"), "node").select(
-            "node", F.col("label").alias("cycle_id")
+        back = cut(
+            ends.filter("_cs = _cd").select(F.col("dst").alias("src"), F.col("src").alias("dst"))
         )
-        component = cut(component)
-        found = component if found is None else found.unionByName(component)
+        own = F.when(F.col("node") == F.col("label"), 0).otherwise(1)
+        marked = _min_label(back, colour.select("node", own.alias("label"))).filter("label = 0")
+        component = cut(
+            colour.join(marked.select("node"), "node").select(
+                "node", F.col("label").alias("cycle_id")
+            )
+        )
+        members = members.unionByName(component)
         done = component.select("node")
-        rest = _trimmed(
-            cut(
-                rest.join(done, F.col("src") == F.col("node"), "left_anti").join(
-                    done, F.col("dst") == F.col("node"), "left_anti"
-                )
+        rest, size = _trimmed(
+            rest.join(done, F.col("src") == F.col("node"), "left_anti").join(
+                done, F.col("dst") == F.col("node"), "left_anti"
             )
         )
-    alone = loops.select("node", F.col("node").alias("cycle_id"))
-    if found is None:
-        members = alone
-    else:
-        members = found.unionByName(alone.join(found.select("node"), "node", "left_anti"))
-    sizes = members.groupBy("cycle_id").agg(F.count("*").alias("cycle_size"))
+    alone = loops.join(members.select("node"), "node", "left_anti").withColumn(
+        "cycle_id", F.col("node")
+    )
     # A component of one node is a cycle only when the node feeds itself.
-    kept = sizes.join(loops.select(F.col("node").alias("cycle_id"), F.lit(True).alias("_self")),
-                      "cycle_id", "left").filter("cycle_size > 1 OR _self")
-    return members.join(kept.drop("_self"), "cycle_id").select(
+    every = members.unionByName(alone).join(
+        loops.withColumn("_self", F.lit(1)), "node", "left"
+    )
+    sizes = every.groupBy("cycle_id").agg(
+        F.count("*").alias("cycle_size"), F.max("_self").alias("_self")
+    )
+    kept = sizes.filter("cycle_size > 1 OR _self = 1").drop("_self")
+    return every.join(kept, "cycle_id").select(
         F.col("node").alias("table_name"), "cycle_id", "cycle_size"
     )

@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -40,6 +41,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_counting(df: DataFrame, what: Column | None = None) -> tuple[DataFrame, int]:
+    """``cut`` that also returns the number of rows, or the sum of ``what``, from the same job."""
+    seen = Observation()
+    amount = F.count(F.lit(1)) if what is None else F.coalesce(F.sum(what), F.lit(0))
+    out = cut(df.observe(seen, amount.cast("bigint").alias("n")))
+    return out, seen.get["n"]
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a result once as Parquet and read it back.
 

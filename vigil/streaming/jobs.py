@@ -249,13 +249,14 @@ def failure_streaks(
         if len(rows):
             state.update((int(length[-1]),))
         hit = rows[length == minimum]
-        yield pd.DataFrame(
-            {
-                "job_id": [key[0]] * len(hit),
-                "run_id": hit["run_id"].to_numpy(),
-                "reached_at": hit["start_time"].to_numpy(),
-            }
-        )
+        if len(hit):
+            yield pd.DataFrame(
+                {
+                    "job_id": [key[0]] * len(hit),
+                    "run_id": hit["run_id"].to_numpy(),
+                    "reached_at": hit["start_time"].to_numpy(),
+                }
+            )
 
     slim = runs.select("job_id", "run_id", "start_time", is_failure().alias("failed"))
     return slim.groupBy("job_id").applyInPandasWithState(
