@@ -24,23 +24,26 @@ EXACT, APPROXIMATE = "exact", "approximate"
 # Texts longer than this are compared by digest when counting distinct values.
 DIGEST_OVER = 64
 
+MEASURES = (
+    "row_count",
+    "null_count",
+    "null_percentage",
+    "num_distinct",
+    "min",
+    "max",
+    "min_text",
+    "max_text",
+    "avg",
+    "stddev",
+)
+
 
 def _plain(kind: DataType) -> bool:
     return not isinstance(kind, (ArrayType, MapType, StructType, VariantType))
 
 
-def _distinct(name: str, kind: DataType, how: str) -> Column:
-    if not _plain(kind):
-        return F.lit(None).cast("bigint")
-    if how == APPROXIMATE:
-        return F.approx_count_distinct(name)
-    if isinstance(kind, StringType):
-        # Keeps whole texts out of the shuffle.
-        text = F.col(name)
-        return F.countDistinct(
-            F.when(F.length(text) > DIGEST_OVER, F.sha2(text, 256)).otherwise(text)
-        )
-    return F.countDistinct(name)
+def _kinds(df: DataFrame) -> dict[str, DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
 
 
 def _measures(name: str, kind: DataType, how: str) -> list[Column]:
@@ -48,9 +51,10 @@ def _measures(name: str, kind: DataType, how: str) -> list[Column]:
     null_number, null_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     text = not numeric and _plain(kind)
     number = F.col(name).cast("double")
+    rough = F.approx_count_distinct(name) if how == APPROXIMATE and _plain(kind) else F.lit(None)
     return [
         F.count_if(F.col(name).isNull()).alias(f"{name}__nulls"),
-        _distinct(name, kind, how).alias(f"{name}__distinct"),
+        rough.cast("bigint").alias(f"{name}__distinct"),
         (F.min(number) if numeric else null_number).alias(f"{name}__min"),
         (F.max(number) if numeric else null_number).alias(f"{name}__max"),
         (F.min(name).cast("string") if text else null_text).alias(f"{name}__min_text"),
@@ -67,13 +71,7 @@ def _per_column(wide: DataFrame, keys: Sequence[str], names: Sequence[str]) -> D
             F.col("_rows").alias("row_count"),
             F.col(f"{n}__nulls").alias("null_count"),
             percent(F.col(f"{n}__nulls"), F.col("_rows")).alias("null_percentage"),
-            F.col(f"{n}__distinct").alias("num_distinct"),
-            F.col(f"{n}__min").alias("min"),
-            F.col(f"{n}__max").alias("max"),
-            F.col(f"{n}__min_text").alias("min_text"),
-            F.col(f"{n}__max_text").alias("max_text"),
-            F.col(f"{n}__avg").alias("avg"),
-            F.col(f"{n}__stddev").alias("stddev"),
+            *[F.col(f"{n}__{m.removeprefix('num_')}").alias(m) for m in MEASURES[3:]],
         )
         for n in names
     ]
@@ -85,21 +83,57 @@ def _chosen(df: DataFrame, columns: Sequence[str] | None, skip: Sequence[str] =
 
 
 def _wide(df: DataFrame, names: Sequence[str], how: str) -> list[Column]:
-    kinds = {f.name: f.dataType for f in df.schema.fields}
+    kinds = _kinds(df)
     measures = [m for n in names for m in _measures(n, kinds[n], how)]
     return [F.count("*").alias("_rows"), *measures]
 
 
+def _comparable(name: str, kind: DataType) -> Column:
+    """The value, or the digest of a long text, so that whole texts stay out of the shuffle."""
+    if isinstance(kind, StringType):
+        text = F.col(name)
+        return F.when(F.length(text) > DIGEST_OVER, F.sha2(text, 256)).otherwise(text)
+    return F.col(name)
+
+
+def _with_exact_distinct(
+    profile: DataFrame, keyed: DataFrame, keys: Sequence[str], names: Sequence[str]
+) -> DataFrame:
+    """Fill ``num_distinct``: one narrow distinct per column, in the same query.
+
+    Counting all columns in one aggregate would copy every row once per column. Here each
+    branch reads its own column only and drops repeated values before the shuffle.
+    """
+    kinds = _kinds(keyed)
+    result = profile
+    for name in names:
+        if not _plain(kinds[name]):
+            continue
+        values = keyed.select(*keys, _comparable(name, kinds[name]).alias("_v")).distinct()
+        counted = values.groupBy(*keys).agg(F.count("_v").alias("num_distinct"))
+        result = result.unionByName(
+            counted.withColumn("column_name", F.lit(name)), allowMissingColumns=True
+        )
+    # Branches meet again on a handful of rows per column and group.
+    return (
+        result.groupBy(*keys, "column_name")
+        .agg(*[F.max(m).alias(m) for m in MEASURES])
+        .filter(F.col("row_count").isNotNull())
+    )
+
+
 def snapshot(
     df: DataFrame, columns: Sequence[str] | None = None, distinct: str = EXACT
 ) -> DataFrame:
     """Profile of the whole table, one row per column.
 
-    Exact distinct counts shuffle every distinct value; ``distinct="approximate"`` keeps
-    the profile at one map-side pass.
+    ``distinct="approximate"`` keeps the profile at one pass without a shuffle of values.
     """
     names = _chosen(df, columns)
-    return _per_column(df.agg(*_wide(df, names, distinct)), [], names)
+    profile = _per_column(df.agg(*_wide(df, names, distinct)), [], names)
+    if distinct == APPROXIMATE:
+        return profile
+    return _with_exact_distinct(profile, df, [], names)
 
 
 def time_series(
@@ -118,24 +152,10 @@ def time_series(
     spread = df.select(*names, F.inline(F.array(*parts)))
     keys = ["granularity", "window_start"]
     wide = spread.groupBy(*keys).agg(*_wide(df, names, distinct))
-    return _per_column(wide, keys, names)
-
-
-def window_start(ts: str, granularity: str) -> Column:
-    """Start of the fixed-length window (counted from 1970-01-01) that holds ``ts``."""
-    seconds = F.lit(window_seconds(granularity))
-    epoch = F.unix_timestamp(ts)
-    start = F.timestamp_seconds(epoch - F.pmod(epoch, seconds))
-    return start.cast("timestamp_ntz")
-
-
-# Lengths of the window units in seconds.
-UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-
-
-def window_seconds(granularity: str) -> int:
-    count, unit = granularity.split()
-    return int(count) * UNIT_SECONDS[unit.rstrip("s")]
+    profile = _per_column(wide, keys, names)
+    if distinct == APPROXIMATE:
+        return profile
+    return _with_exact_distinct(profile, spread, keys, names)
 
 
 def sliced(
@@ -148,19 +168,45 @@ def sliced(
     names = _chosen(df, columns)
     marks = {f"_slice_{i}": F.expr(s) for i, s in enumerate(slices)}
     tagged = df.select(*names, *[e.cast("string").alias(n) for n, e in marks.items()])
-    keys = list(marks)
-    wide = tagged.groupingSets([[], *[[k] for k in keys]], *keys).agg(
+    sets = list(marks)
+    wide = tagged.groupingSets([[], *[[k] for k in sets]], *sets).agg(
         *_wide(df, names, distinct), F.grouping_id().alias("_set")
     )
     # grouping_id has the bit of a key set when the key is not part of the group.
-    everything = (1 << len(keys)) - 1
-    slice_key, slice_value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    everything = (1 << len(sets)) - 1
+    none = F.lit(None).cast("string")
+    slice_key = slice_value = none
     for i, expression in enumerate(slices):
-        mine = F.col("_set") == everything - (1 << (len(keys) - 1 - i))
+        mine = F.col("_set") == everything - (1 << (len(sets) - 1 - i))
         slice_key = F.when(mine, F.lit(expression)).otherwise(slice_key)
         slice_value = F.when(mine, F.col(f"_slice_{i}")).otherwise(slice_value)
     labelled = wide.withColumns({"slice_key": slice_key, "slice_value": slice_value})
-    return _per_column(labelled, ["slice_key", "slice_value"], names)
+    keys = ["slice_key", "slice_value"]
+    profile = _per_column(labelled, keys, names)
+    if distinct == APPROXIMATE:
+        return profile
+    parts = [F.struct(none.alias("slice_key"), none.alias("slice_value"))] + [
+        F.struct(F.lit(s).alias("slice_key"), F.col(f"_slice_{i}").alias("slice_value"))
+        for i, s in enumerate(slices)
+    ]
+    spread = tagged.select(*names, F.inline(F.array(*parts)))
+    return _with_exact_distinct(profile, spread, keys, names)
+
+
+def window_start(ts: str, granularity: str) -> Column:
+    """Start of the fixed-length window (counted from 1970-01-01) that holds ``ts``."""
+    seconds = F.lit(window_seconds(granularity))
+    epoch = F.unix_timestamp(ts)
+    return F.timestamp_seconds(epoch - F.pmod(epoch, seconds)).cast("timestamp_ntz")
+
+
+# Lengths of the window units in seconds.
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def window_seconds(granularity: str) -> int:
+    count, unit = granularity.split()
+    return int(count) * UNIT_SECONDS[unit.rstrip("s")]
 
 
 @dataclass(frozen=True)

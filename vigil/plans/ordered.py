@@ -29,25 +29,27 @@ def running_totals(
     preceding)``; no task sees more than one bucket of a key.
     """
     keys = list(keys)
-    tagged = df.withColumns({"_bucket": bucket, **{f"_v_{n}": e for n, e in totals.items()}})
-    # One exchange serves both the rows and the bucket summary.
-    parts = [*keys, "_bucket"]
-    inside = Window.partitionBy(*parts).orderBy(*order).rowsBetween(
+    # Key and bucket as one struct: NULL keys stay comparable, and the window, the summary
+    # and the join below all use the same partitioning.
+    tagged = df.withColumns(
+        {"_part": F.struct(*keys, bucket.alias("_bucket")), **{f"_v_{n}": e for n, e in totals.items()}}
+    )
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     rows = tagged.withColumns({f"_r_{n}": F.sum(f"_v_{n}").over(inside) for n in totals})
-    summary = tagged.groupBy(*parts).agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in totals])
-    before = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    before = before.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    summary = tagged.groupBy("_part").agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in totals])
+    before = Window.partitionBy(*[f"_part.{k}" for k in keys] or [F.lit(0)]).orderBy(
+        "_part._bucket"
+    ).rowsBetween(Window.unboundedPreceding, -1)
     offsets = summary.select(
-        *[F.col(p).alias(f"_o_{p}") for p in parts],
+        F.col("_part").alias("_of"),
         *[
             F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_b_{n}")
             for n in totals
         ],
     )
-    on = [F.col(p).eqNullSafe(F.col(f"_o_{p}")) for p in parts]
-    joined = rows.join(offsets, on, "inner")
+    joined = rows.join(offsets, F.col("_part") == F.col("_of"))
     return joined.select(
         *df.columns, *[(F.col(f"_r_{n}") + F.col(f"_b_{n}")).alias(n) for n in totals]
     )

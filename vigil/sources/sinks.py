@@ -31,6 +31,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _by_day(batch: DataFrame, day: str) -> DataFrame:
+    """Few files per day: rows are gathered by day, and adaptive execution splits large days."""
+    return batch.hint("rebalance", F.col(day))
+
+
 def append_new(
     df: DataFrame, path: str, table: str, keys: Sequence[str], dry_run: bool = False
 ) -> None:
@@ -51,7 +56,7 @@ def append_new(
     if dry_run:
         batch.write.format(NOOP).mode("overwrite").save()
         return
-    batch.repartition(day, *keys).write.mode("append").partitionBy(day).parquet(path)
+    _by_day(batch, day).write.mode("append").partitionBy(day).parquet(path)
 
 
 def overwrite_days(
@@ -65,10 +70,11 @@ def overwrite_days(
     if dry_run:
         batch.write.format(NOOP).mode("overwrite").save()
         return
+    files = _by_day(batch, day)
     if sort:
-        batch = batch.sortWithinPartitions(day, *sort)
+        files = files.sortWithinPartitions(day, *sort)
     (
-        batch.write.mode("overwrite")
+        files.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
         .parquet(path)
