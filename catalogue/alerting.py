@@ -8,6 +8,7 @@ from catalogue.registry import register
 from pyspark.sql import functions as F
 from vigil.operators import alerts
 from vigil.plans.scratch import scratch_path
+from vigil.settings import DEFAULTS
 from vigil.sources import collectors, sinks, testbed
 from vigil.sources.testbed import COST_AS_OF, EVENTS_AS_OF, QUALITY_AS_OF
 
@@ -24,7 +25,7 @@ def _money(cents4: str) -> str:
     return f"printf('%.2f', {r2(cents4, '10000')})"
 
 
-def _last_day(shift: str = "") -> str:
+def _last_day() -> str:
     return f"""SELECT c, p, {pct('c - p', 'p')} AS change FROM (
         SELECT usage_date, c, lag(c) OVER (ORDER BY usage_date) AS p FROM (
           SELECT usage_date, sum(cost4) AS c FROM cost
@@ -40,9 +41,11 @@ _ABSOLUTE = f"""SELECT 'cost_threshold' AS alert_type, 'critical' AS severity,
     FROM ({_last_day()}) WHERE c > 10000000"""
 
 
-@register("alert_cost_increase", _INCREASE)
+# A limit every change exceeds, so that the alert text is compared on all tables.
+@register("alert_cost_increase", _INCREASE.replace("change > 20", "change > -100"))
 def _(spark, d):
-    return _plain(alerts.cost_increase(inputs.cost(spark, d), COST_AS_OF))
+    always = DEFAULTS.overlay({"cost": {"daily_increase_percent": -100.0}})
+    return _plain(alerts.cost_increase(inputs.cost(spark, d), COST_AS_OF, always))
 
 
 @register("alert_cost_absolute", _ABSOLUTE)
@@ -111,6 +114,22 @@ def _(spark, d):
     return _plain(_all(spark, d))
 
 
+@register(
+    "alert_history",
+    f"""SELECT alert_type, severity, message, 'active' AS status, 'email' AS notified_channels,
+        {EVENTS_AT} AS triggered_at FROM ({_ALL})""",
+)
+def _(spark, d):
+    """Alerts as stored history; writing them twice stores them once."""
+    path = scratch_path(spark, "alert_history")
+    rows = alerts.history_rows(_all(spark, d), ["email"])
+    for _ in range(2):
+        sinks.append_new(rows, path, "alert_history", ["alert_id", "triggered_at"])
+    return spark.read.parquet(path).select(
+        "alert_type", "severity", "message", "status", "notified_channels", "triggered_at"
+    )
+
+
 @register("alerts_by_severity", f"SELECT severity, count(*) AS alerts FROM ({_ALL}) GROUP BY 1")
 def _(spark, d):
     return alerts.by_severity(_all(spark, d))
@@ -152,8 +171,6 @@ def _(spark, d):
         FROM jobs_cost WHERE start_time >= {EVENTS_AT} - INTERVAL 7 DAYS AND secs > 3600""",
 )
 def _(spark, d):
-    from vigil.settings import DEFAULTS
-
     strict = DEFAULTS.overlay({"jobs": {"max_duration_minutes": 60}})
     return _plain(alerts.sla(inputs.jobs(spark, d), EVENTS_AS_OF, strict))
 

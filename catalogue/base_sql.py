@@ -78,7 +78,7 @@ VIEWS = {
                CAST(1 - l_discount AS DECIMAL(18,2)) AS list_price,
                CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round((1 - l_discount) * 100)
                  AS BIGINT) AS cost4, l_orderkey
-        FROM lineitem JOIN part ON l_partkey = p_partkey""",
+        FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
     "jobs_all": """
         SELECT user_id % 25 AS job_id, 'job_' || user_id % 25 AS job_name, event_id AS run_id,
                ts AS start_time,

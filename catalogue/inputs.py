@@ -36,8 +36,11 @@ ERA_SHIFT = (EVENTS_AS_OF.date() - COST_AS_OF.date()).days
 QUALITY_SHIFT = (EVENTS_AS_OF.date() - QUALITY_AS_OF.date()).days
 
 
-def cost(spark: SparkSession, d: str, days: int = ALL_DAYS) -> DataFrame:
-    return collectors.cost_metrics(testbed.billing_usage(spark, d), COST_AS_OF, days)
+def cost(
+    spark: SparkSession, d: str, days: int = ALL_DAYS, product: bool = False
+) -> DataFrame:
+    """Cost metrics; only reports by product pay for the join with the product table."""
+    return collectors.cost_metrics(testbed.billing_usage(spark, d, product), COST_AS_OF, days)
 
 
 def jobs(spark: SparkSession, d: str, days: int = ALL_DAYS) -> DataFrame:

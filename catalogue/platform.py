@@ -31,7 +31,7 @@ USAGE = "CAST(sum(usage_quantity) AS DOUBLE)"
         FROM cost WHERE {_cost_since(7)}""",
 )
 def _(spark, d):
-    return inputs.cost(spark, d, 7)
+    return inputs.cost(spark, d, 7, product=True)
 
 
 @register(
@@ -123,7 +123,7 @@ def _(spark, d):
         ORDER BY sum(cost4) DESC, sku_name, billing_origin_product LIMIT 20""",
 )
 def _(spark, d):
-    return costs.top_drivers(inputs.cost(spark, d), COST_AS_OF)
+    return costs.top_drivers(inputs.cost(spark, d, product=True), COST_AS_OF)
 
 
 @register(
@@ -144,7 +144,7 @@ def _(spark, d):
         FROM g ORDER BY c DESC, sku_name, billing_origin_product LIMIT 15""",
 )
 def _(spark, d):
-    return costs.month_to_date_by_sku(inputs.cost(spark, d), COST_AS_OF)
+    return costs.month_to_date_by_sku(inputs.cost(spark, d, product=True), COST_AS_OF)
 
 
 @register(

@@ -4,7 +4,7 @@ from catalogue import inputs
 from catalogue.base_sql import COST_DAY, EVENTS_AT, ORDERS_DAY, QUALITY_AT, pct, r2
 from catalogue.registry import register
 from pyspark.sql import functions as F
-from vigil.operators import event_log, medallion, quality
+from vigil.operators import event_log, medallion, privacy, quality
 from vigil.operators.expectations import Expectation, check, counts
 from vigil.sources import collectors, testbed
 from vigil.sources.testbed import EVENTS_AS_OF, ORDERS_AS_OF, QUALITY_AS_OF, table
@@ -544,11 +544,15 @@ def _(spark, d):
           AS phone_number, sha256(email) AS email_digest FROM customers""",
 )
 def _(spark, d):
-    from vigil.functions.exprs import masked, pseudonym
+    bronze = testbed.bronze_customers(spark, d).select("customer_id", "email", "phone_number")
+    return privacy.masked_columns(bronze, digests=True).drop("phone_number_digest")
 
-    return testbed.bronze_customers(spark, d).select(
-        "customer_id",
-        masked("email").alias("email"),
-        masked("phone_number").alias("phone_number"),
-        pseudonym("email").alias("email_digest"),
-    )
+
+@register(
+    "row_filter",
+    """SELECT customer_id, status FROM customers WHERE status = 'suspended' AND age < 40""",
+)
+def _(spark, d):
+    policies = {"support": "status = 'suspended' AND age < 40", "admin": "true"}
+    bronze = testbed.bronze_customers(spark, d)
+    return privacy.visible_rows(bronze, policies, "support").select("customer_id", "status")

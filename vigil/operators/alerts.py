@@ -63,35 +63,52 @@ def _last_full_day(cost: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def cost_increase(
-    cost: DataFrame, as_of: datetime, settings: Settings = DEFAULTS
-) -> DataFrame:
-    hit = _last_full_day(cost, as_of).filter(
-        F.col("percent_change") > settings.cost.daily_increase_percent
-    )
-    message = F.concat(
-        F.lit("Daily cost increased by "), _cents("percent_change"), F.lit("% ($"),
-        _cents("previous_day_cost"), F.lit(" → $"), _cents("daily_cost"), F.lit(")"),
+def cost_alerts(cost: DataFrame, as_of: datetime, settings: Settings = DEFAULTS) -> DataFrame:
+    """Sharp increase and absolute limit of the last full day, from one pass over the cost."""
+    limits = settings.cost
+    increase = F.struct(
+        F.lit("cost_increase").alias("alert_type"),
+        F.lit("warning").alias("severity"),
+        F.concat(
+            F.lit("Daily cost increased by "), _cents("percent_change"), F.lit("% ($"),
+            _cents("previous_day_cost"), F.lit(" → $"), _cents("daily_cost"), F.lit(")"),
+        ).alias("message"),
+        _details(
+            date="usage_date",
+            current_cost="daily_cost",
+            previous_cost="previous_day_cost",
+            change_percent="percent_change",
+        ).alias("details"),
+    )
+    absolute = F.struct(
+        F.lit("cost_threshold").alias("alert_type"),
+        F.lit("critical").alias("severity"),
+        F.concat(
+            F.lit("Daily cost $"),
+            _cents("daily_cost"),
+            F.lit(f" exceeds threshold ${limits.absolute_cost:.0f}"),
+        ).alias("message"),
+        _details(date="usage_date", cost="daily_cost").alias("details"),
+    )
+    raised = F.array_compact(
+        F.array(
+            F.when(F.col("percent_change") > limits.daily_increase_percent, increase),
+            F.when(F.col("daily_cost") > limits.absolute_cost, absolute),
+        )
     )
-    details = _details(
-        date="usage_date",
-        current_cost="daily_cost",
-        previous_cost="previous_day_cost",
-        change_percent="percent_change",
+    return (
+        _last_full_day(cost, as_of)
+        .select(F.inline(raised))
+        .withColumn("triggered_at", ts_lit(as_of))
     )
-    return _alerts(hit, "cost_increase", "warning", message, details, as_of)
 
 
-def cost_absolute(
-    cost: DataFrame, as_of: datetime, settings: Settings = DEFAULTS
-) -> DataFrame:
-    limit = settings.cost.absolute_cost
-    hit = _last_full_day(cost, as_of).filter(F.col("daily_cost") > limit)
-    message = F.concat(
-        F.lit("Daily cost $"), _cents("daily_cost"), F.lit(f" exceeds threshold ${limit:.0f}")
-    )
-    details = _details(date="usage_date", cost="daily_cost")
-    return _alerts(hit, "cost_threshold", "critical", message, details, as_of)
+def cost_increase(cost: DataFrame, as_of: datetime, settings: Settings = DEFAULTS) -> DataFrame:
+    return cost_alerts(cost, as_of, settings).filter("alert_type = 'cost_increase'")
+
+
+def cost_absolute(cost: DataFrame, as_of: datetime, settings: Settings = DEFAULTS) -> DataFrame:
+    return cost_alerts(cost, as_of, settings).filter("alert_type = 'cost_threshold'")
 
 
 def job_failure_rate(
@@ -241,8 +258,7 @@ def all_alerts(
 ) -> DataFrame:
     """Every standard check in one typed DataFrame."""
     checks = [
-        cost_increase(cost, as_of, settings),
-        cost_absolute(cost, as_of, settings),
+        cost_alerts(cost, as_of, settings),
         job_failure_rate(runs, as_of, settings),
         quality_score(metrics, as_of, settings),
         stale_pipelines(health, as_of, settings),

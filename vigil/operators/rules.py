@@ -182,6 +182,15 @@ def load(rules: DataFrame, dataset: str, pipeline: str | None = None) -> list[Ex
     return [to_expectation(r.asDict()) for r in rows]
 
 
+def generated(rules: DataFrame, dataset: str, pipeline: str | None = None) -> dict[str, dict]:
+    """Enabled rules of a dataset by name, with the kind of check their action stands for."""
+    checks = {"fail": "expect_or_fail", "drop": "expect_or_drop", "warn": "expect"}
+    return {
+        e.name: {"constraint": e.constraint, "action": checks[e.action]}
+        for e in load(rules, dataset, pipeline)
+    }
+
+
 def active(rules: DataFrame) -> DataFrame:
     return rules.filter("is_enabled").orderBy("dataset_name", severity_rank(), "expectation_name")
 

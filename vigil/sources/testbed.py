@@ -92,25 +92,25 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def billing_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+def billing_usage(spark: SparkSession, sf_dir: str, product: bool = True) -> DataFrame:
+    """Usage records; without ``product`` the dimension join is left out."""
     line = F.col("l_linenumber") % 3
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.to_date("l_shipdate").alias("usage_date"),
-            F.lit("w0").alias("workspace_id"),
-            F.concat_ws("-", "l_returnflag", "l_linestatus").alias("sku_name"),
-            F.when(line == 0, "AWS").when(line == 1, "AZURE").otherwise("GCP").alias("cloud"),
-            F.lit("DBU").alias("usage_unit"),
-            money("l_extendedprice").alias("usage_quantity"),
-            money(1 - F.col("l_discount")).alias("list_price"),
-            F.col("p_type").alias("billing_origin_product"),
-            F.create_map(F.lit("order"), F.col("l_orderkey").cast("string")).alias(
-                "usage_metadata"
-            ),
-        )
+    usage = table(spark, sf_dir, "lineitem")
+    if product:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+        usage = usage.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    else:
+        usage = usage.withColumn("p_type", F.lit(None).cast("string"))
+    return usage.select(
+        F.to_date("l_shipdate").alias("usage_date"),
+        F.lit("w0").alias("workspace_id"),
+        F.concat_ws("-", "l_returnflag", "l_linestatus").alias("sku_name"),
+        F.when(line == 0, "AWS").when(line == 1, "AZURE").otherwise("GCP").alias("cloud"),
+        F.lit("DBU").alias("usage_unit"),
+        money("l_extendedprice").alias("usage_quantity"),
+        money(1 - F.col("l_discount")).alias("list_price"),
+        F.col("p_type").alias("billing_origin_product"),
+        F.create_map(F.lit("order"), F.col("l_orderkey").cast("string")).alias("usage_metadata"),
     )
 
 
