@@ -348,6 +348,9 @@ def _(spark, d):
     return inference.confusion(testbed.classification_log(spark, d))
 
 
+ERROR_DIGITS = {"mae": 3, "mse": -2, "rmse": 2, "r2": 4, "mape": 3}
+
+
 @register(
     "inference_regression",
     f"""WITH g AS (SELECT time_bucket(INTERVAL 90 DAYS, window_start, TIMESTAMP '1970-01-01')
@@ -355,12 +358,11 @@ def _(spark, d):
           CAST(sum(abs(p - y)) AS DOUBLE) AS a, CAST(sum((p - y) * (p - y)) AS DOUBLE) AS s,
           var_pop(CAST(y AS DOUBLE)) * count(*) AS spread,
           avg(CAST(abs(p - y) AS DOUBLE) / CAST(abs(y) AS DOUBLE)) AS ape FROM reg GROUP BY ALL)
-        SELECT window_start, model_id, n AS labelled, round(a / n + {OFF}, 4) AS mae,
-        round(s / n + {OFF}, 0) AS mse, round(sqrt(s / n) + {OFF}, 3) AS rmse,
-        round(1 - s / nullif(spread, 0) + {OFF}, 4) AS r2, round(ape * 100 + {OFF}, 4) AS mape
+        SELECT window_start, model_id, n AS labelled, round(a / n + {OFF}, 3) AS mae,
+        round(s / n + {OFF}, -2) AS mse, round(sqrt(s / n) + {OFF}, 2) AS rmse,
+        round(1 - s / nullif(spread, 0) + {OFF}, 4) AS r2, round(ape * 100 + {OFF}, 3) AS mape
         FROM g""",
 )
 def _(spark, d):
     out = inference.monitor(testbed.regression_log(spark, d), "regression", granularity="90 days")
-    digits = {"mae": 4, "mse": 0, "rmse": 3, "r2": 4, "mape": 4}
-    return out.withColumns({c: F.round(F.col(c) + OFF, n) for c, n in digits.items()})
+    return out.withColumns({c: F.round(F.col(c) + OFF, n) for c, n in ERROR_DIGITS.items()})

@@ -17,6 +17,9 @@ FRESH_WARNING = "WARNING: >24h"
 FRESH_OK = "OK"
 
 
+UPDATE = ("pipeline_id", "pipeline_name", "update_id")
+
+
 def parsed(events: DataFrame) -> DataFrame:
     return events.withColumn("_d", F.from_json("details", schemas.EVENT_DETAILS))
 
@@ -28,9 +31,8 @@ def pass_rate(passed: str = "passed_records", failed: str = "failed_records"):
 
 def quality_metrics(events: DataFrame, as_of: datetime) -> DataFrame:
     """One row per expectation result found in flow events."""
-    flows = events.filter(
-        (F.col("event_type") == "flow_progress") & F.col("details").isNotNull()
-    )
+    # Events without details parse to NULL, and exploding NULL gives no row.
+    flows = events.filter(F.col("event_type") == "flow_progress")
     each = parsed(flows).select(
         "pipeline_id",
         "pipeline_name",
@@ -66,45 +68,53 @@ def _array_sum(field: str):
 def update_health(events: DataFrame, as_of: datetime) -> DataFrame:
     """One row per update: span, last state, record and expectation counts, errors.
 
-    All figures come from a single grouping; expectation arrays are summed inside
-    their row, so nothing is exploded or joined.
+    Expectation arrays are summed inside their row, so nothing is exploded or joined.
+    Rows first collapse to (update, dataset, state), where all buffers have a fixed width
+    and hash aggregation applies; what remains per update is a handful of rows.
     """
     progress = F.col("event_type") == "update_progress"
-    at = F.when(progress, F.col("timestamp"))
     rows = (
         parsed(events)
         .withColumn("_x", F.col("_d.data_quality.expectations"))
         .select(
-            "pipeline_id",
-            "pipeline_name",
-            "update_id",
+            *UPDATE,
             "level",
-            at.alias("_at"),
-            F.when(progress, F.struct("timestamp", "event_id", "_d.state")).alias("_last"),
+            F.when(progress, F.col("timestamp")).alias("_at"),
+            F.when(progress, F.col("_d.state")).alias("_state"),
             F.when(~progress, F.col("_d.flow_name")).alias("_flow"),
-            F.coalesce(F.size("_x"), F.lit(0)).alias("_size"),
+            F.greatest(F.size("_x"), F.lit(0)).alias("_size"),
             _array_sum("passed_records").alias("_passed"),
             _array_sum("failed_records").alias("_failed"),
-            F.coalesce(
+            F.greatest(
                 F.size(F.filter("_x", lambda x: x["failed_records"] > 0)), F.lit(0)
             ).alias("_broken"),
         )
     )
-    grouped = rows.groupBy("pipeline_id", "pipeline_name", "update_id").agg(
-        F.min("_at").alias("start_time"),
-        F.max("_at").alias("end_time"),
-        F.max("_last").alias("_last"),
+    summed = {
+        "_size": F.sum("_size"),
+        "_passed": F.sum("_passed"),
+        "_failed": F.sum("_failed"),
+        "_broken": F.sum("_broken"),
+        "error_count": F.count_if(F.col("level") == "ERROR"),
+        "warning_count": F.count_if(F.col("level") == "WARN"),
+    }
+    reduced = rows.groupBy(*UPDATE, "_flow", "_state").agg(
+        F.min("_at").alias("_first"),
+        F.max("_at").alias("_last"),
+        *[total.alias(name) for name, total in summed.items()],
+    )
+    latest = F.when(F.col("_last").isNotNull(), F.struct("_last", "_state"))
+    grouped = reduced.groupBy(*UPDATE).agg(
+        F.min("_first").alias("start_time"),
+        F.max("_last").alias("end_time"),
+        F.max(latest).alias("_latest"),
         F.countDistinct("_flow").alias("num_datasets"),
         F.sum(F.col("_passed") + F.col("_failed")).alias("total_records_processed"),
-        F.sum(F.when(F.col("_size") > 0, F.col("_size")).otherwise(0)).alias(
-            "total_expectations_checked"
-        ),
-        F.sum(F.when(F.col("_broken") > 0, F.col("_broken")).otherwise(0)).alias(
-            "total_expectations_failed"
-        ),
+        F.sum("_size").alias("total_expectations_checked"),
+        F.sum("_broken").alias("total_expectations_failed"),
         F.sum("_passed").alias("_good"),
-        F.count_if(F.col("level") == "ERROR").alias("error_count"),
-        F.count_if(F.col("level") == "WARN").alias("warning_count"),
+        F.sum("error_count").alias("error_count"),
+        F.sum("warning_count").alias("warning_count"),
     )
     span = F.unix_timestamp("end_time") - F.unix_timestamp("start_time")
     return (
@@ -112,7 +122,7 @@ def update_health(events: DataFrame, as_of: datetime) -> DataFrame:
         .withColumns(
             {
                 "duration_seconds": span,
-                "status": F.coalesce("_last.state", F.lit("RUNNING")),
+                "status": F.coalesce("_latest._state", F.lit("RUNNING")),
                 "overall_quality_score": percent(
                     F.col("_good"), F.col("total_records_processed")
                 ),

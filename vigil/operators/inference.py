@@ -75,8 +75,9 @@ def regression(
     label: str = "label",
     granularity: str = "1 day",
 ) -> DataFrame:
-    """MAE, MSE, RMSE, R² and MAPE. Decimal inputs are summed exactly."""
-    error = F.col(prediction) - F.col(label)
+    """MAE, MSE, RMSE, R² and MAPE."""
+    truth = F.col(label).cast("double")
+    error = F.col(prediction).cast("double") - truth
     sums = (
         log.filter(F.col(prediction).isNotNull() & F.col(label).isNotNull())
         .groupBy(
@@ -84,27 +85,21 @@ def regression(
         )
         .agg(
             F.count("*").alias("labelled"),
-            F.sum(F.abs(error)).alias("_abs"),
-            F.sum(error * error).alias("_sq"),
-            F.var_pop(F.col(label).cast("double")).alias("_var"),
-            F.avg(
-                F.try_divide(F.abs(error).cast("double"), F.abs(F.col(label)).cast("double"))
-            ).alias("_ape"),
+            F.avg(F.abs(error)).alias("mae"),
+            F.avg(error * error).alias("mse"),
+            F.var_pop(truth).alias("_variance"),
+            F.avg(F.try_divide(F.abs(error), F.abs(truth))).alias("_relative"),
         )
     )
-    n = F.col("labelled").cast("double")
-    squares = F.col("_sq").cast("double")
-    spread = F.col("_var") * n
-    mse = squares / n
     return sums.select(
         "window_start",
         "model_id",
         "labelled",
-        (F.col("_abs").cast("double") / n).alias("mae"),
-        mse.alias("mse"),
-        F.sqrt(mse).alias("rmse"),
-        (F.lit(1.0) - F.try_divide(squares, spread)).alias("r2"),
-        (F.col("_ape") * 100).alias("mape"),
+        "mae",
+        "mse",
+        F.sqrt("mse").alias("rmse"),
+        (F.lit(1.0) - F.try_divide("mse", "_variance")).alias("r2"),
+        (F.col("_relative") * 100).alias("mape"),
     )
 
 

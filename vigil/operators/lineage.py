@@ -18,6 +18,9 @@ from vigil.plans.scratch import cut, cut_counting, stored
 SRC = "source_table_full_name"
 DST = "target_table_full_name"
 
+# Node sets of up to this many counted rows (a few MB of names) may be broadcast.
+BROADCAST_ROWS = 50_000
+
 
 def edges(lineage: DataFrame) -> DataFrame:
     """Distinct table-to-table edges."""
@@ -36,41 +39,44 @@ def reversed_edges(graph: DataFrame) -> DataFrame:
     return graph.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
 
 
-def reach(graph: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
-    """Nodes reachable from ``roots`` (column ``node``) with the first level they occur on.
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Offer a side for broadcasting when its counted rows are few, else leave it to a shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
 
-    The roots themselves are not part of the result. Frontier and visited nodes stay
-    distributed; the driver only learns whether a level is empty.
+def reach(graph: DataFrame, root: str, max_depth: int) -> DataFrame:
+    """Nodes reachable from ``root`` (column ``node``) with the first level they occur on.
+
+    The root itself is not part of the result. Frontier and visited nodes stay distributed;
+    the driver learns their counts only. While they are few, the edges are not shuffled.
     """
-    seen = roots.select("node", F.lit(0).alias("depth")).distinct()
-    frontier = roots.select("node").distinct()
+    frontier = graph.sparkSession.range(1).select(F.lit(root).alias("node"))
+    seen = frontier.withColumn("depth", F.lit(0))
+    new = known = 1
     for depth in range(1, max_depth + 1):
         step = (
-            frontier.join(graph, F.col("node") == F.col("src"))
+            graph.join(bounded(frontier, new), F.col("src") == F.col("node"), "left_semi")
             .select(F.col("dst").alias("node"))
             .distinct()
-            .join(seen.select("node"), "node", "left_anti")
+            .join(bounded(seen.select("node"), known), "node", "left_anti")
         )
-        frontier, found = cut_counting(step)
-        if not found:
+        frontier, new = cut_counting(step)
+        if not new:
             break
+        known += new
         seen = seen.unionByName(frontier.withColumn("depth", F.lit(depth)))
     return seen.filter("depth > 0")
 
 
-def _root(graph: DataFrame, table: str) -> DataFrame:
-    return graph.sparkSession.range(1).select(F.lit(table).alias("node"))
-
-
 def downstream(lineage: DataFrame, table: str, max_depth: int = 3) -> DataFrame:
     graph = stored(edges(lineage), "edges")
-    found = reach(graph, _root(graph, table), max_depth)
+    found = reach(graph, table, max_depth)
     return found.select(F.col("node").alias("table_name"), "depth")
 
 
 def upstream(lineage: DataFrame, table: str, max_depth: int = 3) -> DataFrame:
     graph = stored(reversed_edges(edges(lineage)), "edges")
-    found = reach(graph, _root(graph, table), max_depth)
+    found = reach(graph, table, max_depth)
     return found.select(F.col("node").alias("table_name"), "depth")
 
 
@@ -116,7 +122,7 @@ def column_sources(lineage: DataFrame, table: str, column: str | None = None) ->
 def critical_endpoints(lineage: DataFrame, table: str, max_depth: int = 5) -> DataFrame:
     """Tables just beyond the downstream horizon: fed by a reached table, not reached."""
     graph = stored(edges(lineage), "edges")
-    found = cut(reach(graph, _root(graph, table), max_depth))
+    found = cut(reach(graph, table, max_depth))
     return _endpoints(graph, found)
 
 
@@ -144,7 +150,7 @@ def affected_schemas(lineage: DataFrame, table: str, max_depth: int = 5) -> Data
 def impact_summary(lineage: DataFrame, table: str, max_depth: int = 5) -> DataFrame:
     """Size of the downstream closure of a table in one row."""
     graph = stored(edges(lineage), "edges")
-    found = cut(reach(graph, _root(graph, table), max_depth))
+    found = cut(reach(graph, table, max_depth))
     three = F.size(F.split("node", r"\.")) == 3
     schema = F.concat_ws(".", name_part("node", 0), name_part("node", 1))
     figures = found.agg(
@@ -165,16 +171,18 @@ def graph_nodes(lineage: DataFrame, table: str, max_depth: int = 3) -> DataFrame
     A table on both sides is listed as downstream.
     """
     graph = stored(edges(lineage), "edges")
-    root = _root(graph, table)
-    down = reach(graph, root, max_depth)
-    up = reach(reversed_edges(graph), root, max_depth)
+    down = reach(graph, table, max_depth)
+    up = reach(reversed_edges(graph), table, max_depth)
     sides = down.select("node", "depth", F.lit("downstream").alias("node_type")).unionByName(
         up.select("node", (-F.col("depth")).alias("depth"), F.lit("upstream").alias("node_type"))
     )
     # Positive depths sort above negative ones, so the maximum prefers downstream.
-    merged = sides.groupBy("node").agg(F.max_by("node_type", "depth").alias("node_type"),
-                                       F.max("depth").alias("depth"))
-    centre = root.select("node", F.lit("center").alias("node_type"), F.lit(0).alias("depth"))
+    merged = sides.groupBy("node").agg(
+        F.max_by("node_type", "depth").alias("node_type"), F.max("depth").alias("depth")
+    )
+    centre = graph.sparkSession.range(1).select(
+        F.lit(table).alias("node"), F.lit("center").alias("node_type"), F.lit(0).alias("depth")
+    )
     return merged.unionByName(centre)
 
 
@@ -318,7 +326,7 @@ def column_impact(
 ) -> DataFrame:
     """Columns that depend on one column, with their distance."""
     graph = stored(column_edges(lineage), "column-edges")
-    found = reach(graph, _root(graph, f"{table}#{column}"), max_depth)
+    found = reach(graph, f"{table}#{column}", max_depth)
     return found.select(
         F.split_part("node", F.lit("#"), F.lit(1)).alias("table_name"),
         F.split_part("node", F.lit("#"), F.lit(2)).alias("column_name"),
@@ -330,9 +338,9 @@ def column_impact(
 STEPS = 3
 
 
-def _trim_once(graph: DataFrame) -> DataFrame:
-    fed = graph.select(F.col("dst").alias("n")).distinct()
-    feeding = graph.select(F.col("src").alias("n")).distinct()
+def _trim_once(graph: DataFrame, size: int) -> DataFrame:
+    fed = bounded(graph.select(F.col("dst").alias("n")).distinct(), size)
+    feeding = bounded(graph.select(F.col("src").alias("n")).distinct(), size)
     return graph.join(fed, F.col("src") == F.col("n"), "left_semi").join(
         feeding, F.col("dst") == F.col("n"), "left_semi"
     )
@@ -345,31 +353,31 @@ def _trimmed(graph: DataFrame) -> tuple[DataFrame, int]:
     """
     graph, size = cut_counting(graph)
     while size:
-        smaller, left = cut_counting(_trim_once(_trim_once(graph)))
+        smaller, left = cut_counting(_trim_once(_trim_once(graph, size), size))
         if left == size:
             break
         graph, size = smaller, left
     return graph, size
 
 
-def _spread_once(graph: DataFrame, labels: DataFrame) -> DataFrame:
+def _spread_once(graph: DataFrame, labels: DataFrame, nodes: int) -> DataFrame:
     """Every node takes the smallest label offered over an incoming edge."""
     offered = (
-        graph.join(labels.select("node", "label"), F.col("src") == F.col("node"))
+        graph.join(bounded(labels.select("node", "label"), nodes), F.col("src") == F.col("node"))
         .groupBy(F.col("dst").alias("_n"))
         .agg(F.min("label").alias("_offer"))
     )
-    return labels.join(offered, F.col("node") == F.col("_n"), "left").select(
+    return labels.join(bounded(offered, nodes), F.col("node") == F.col("_n"), "left").select(
         "node", F.least("label", "_offer").alias("label"), "_start"
     )
 
 
-def _min_label(graph: DataFrame, labels: DataFrame) -> DataFrame:
-    """Smallest label among a node and everything that reaches it."""
+def _min_label(graph: DataFrame, labels: DataFrame, nodes: int) -> DataFrame:
+    """Smallest label among a node and everything that reaches it, for at most ``nodes`` nodes."""
     while True:
         spread = labels.withColumn("_start", F.col("label"))
         for _ in range(STEPS):
-            spread = _spread_once(graph, spread)
+            spread = _spread_once(graph, spread, nodes)
         moved = F.when(F.col("label") < F.col("_start"), 1).otherwise(0)
         spread, changes = cut_counting(spread, moved)
         labels = spread.select("node", "label")
@@ -388,25 +396,26 @@ def cycles(lineage: DataFrame) -> DataFrame:
     members = graph.sparkSession.createDataFrame([], "node string, cycle_id string")
     rest, size = _trimmed(graph.filter("src <> dst"))
     while size:
-        nodes = rest.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-        colour = _min_label(rest, nodes.withColumn("label", F.col("node")))
+        # After trimming every node has an incoming edge, so there are at most ``size`` nodes.
+        nodes = rest.select(F.col("dst").alias("node")).distinct()
+        colour = _min_label(rest, nodes.withColumn("label", F.col("node")), size)
         # Edges inside one colour, turned round: whatever the colour's own node reaches
         # over them also reaches it, and so shares its component.
-        ends = rest.join(
-            colour.select(F.col("node").alias("src"), F.col("label").alias("_cs")), "src"
-        ).join(colour.select(F.col("node").alias("dst"), F.col("label").alias("_cd")), "dst")
+        of_src = colour.select(F.col("node").alias("src"), F.col("label").alias("_cs"))
+        of_dst = colour.select(F.col("node").alias("dst"), F.col("label").alias("_cd"))
+        ends = rest.join(bounded(of_src, size), "src").join(bounded(of_dst, size), "dst")
         back = cut(
             ends.filter("_cs = _cd").select(F.col("dst").alias("src"), F.col("src").alias("dst"))
         )
         own = F.when(F.col("node") == F.col("label"), 0).otherwise(1)
-        marked = _min_label(back, colour.select("node", own.alias("label"))).filter("label = 0")
+        marked = _min_label(back, colour.select("node", own.alias("label")), size).filter("label = 0")
         component = cut(
-            colour.join(marked.select("node"), "node").select(
+            colour.join(bounded(marked.select("node"), size), "node").select(
                 "node", F.col("label").alias("cycle_id")
             )
         )
         members = members.unionByName(component)
-        done = component.select("node")
+        done = bounded(component.select("node"), size)
         rest, size = _trimmed(
             rest.join(done, F.col("src") == F.col("node"), "left_anti").join(
                 done, F.col("dst") == F.col("node"), "left_anti"

@@ -46,10 +46,10 @@ def _kinds(df: DataFrame) -> dict[str, DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
 
 
-def _measures(name: str, kind: DataType, how: str) -> list[Column]:
+def _measures(name: str, kind: DataType, how: str, grouped: bool) -> list[Column]:
     numeric = isinstance(kind, NumericType)
     null_number, null_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-    text = not numeric and _plain(kind)
+    text = not numeric and _plain(kind) and not grouped
     number = F.col(name).cast("double")
     rough = F.approx_count_distinct(name) if how == APPROXIMATE and _plain(kind) else F.lit(None)
     return [
@@ -82,9 +82,9 @@ def _chosen(df: DataFrame, columns: Sequence[str] | None, skip: Sequence[str] =
     return [c for c in (columns or df.columns) if c not in skip]
 
 
-def _wide(df: DataFrame, names: Sequence[str], how: str) -> list[Column]:
+def _wide(df: DataFrame, names: Sequence[str], how: str, grouped: bool) -> list[Column]:
     kinds = _kinds(df)
-    measures = [m for n in names for m in _measures(n, kinds[n], how)]
+    measures = [m for n in names for m in _measures(n, kinds[n], how, grouped)]
     return [F.count("*").alias("_rows"), *measures]
 
 
@@ -96,19 +96,31 @@ def _comparable(name: str, kind: DataType) -> Column:
     return F.col(name)
 
 
-def _with_exact_distinct(
-    profile: DataFrame, keyed: DataFrame, keys: Sequence[str], names: Sequence[str]
+def _completed(
+    profile: DataFrame, keyed: DataFrame, keys: Sequence[str], names: Sequence[str], how: str
 ) -> DataFrame:
-    """Fill ``num_distinct``: one narrow distinct per column, in the same query.
+    """Fill what the wide aggregate leaves out, from narrow branches of the same query.
 
-    Counting all columns in one aggregate would copy every row once per column. Here each
-    branch reads its own column only and drops repeated values before the shuffle.
+    Exact distinct counts: counting all columns in one aggregate would copy every row once
+    per column; here each branch reads its own column and drops repeated values before the
+    shuffle. Bounds of texts per group: their buffers have no fixed width and would turn
+    the wide aggregate into a sort of whole rows.
     """
     kinds = _kinds(keyed)
     result = profile
     for name in names:
         if not _plain(kinds[name]):
             continue
+        if keys and not isinstance(kinds[name], NumericType):
+            bounds = keyed.groupBy(*keys).agg(
+                F.min(name).cast("string").alias("min_text"),
+                F.max(name).cast("string").alias("max_text"),
+            )
+            result = result.unionByName(
+                bounds.withColumn("column_name", F.lit(name)), allowMissingColumns=True
+            )
+        if how == APPROXIMATE:
+            continue
         values = keyed.select(*keys, _comparable(name, kinds[name]).alias("_v")).distinct()
         counted = values.groupBy(*keys).agg(F.count("_v").alias("num_distinct"))
         result = result.unionByName(
@@ -130,10 +142,10 @@ def snapshot(
     ``distinct="approximate"`` keeps the profile at one pass without a shuffle of values.
     """
     names = _chosen(df, columns)
-    profile = _per_column(df.agg(*_wide(df, names, distinct)), [], names)
+    profile = _per_column(df.agg(*_wide(df, names, distinct, grouped=False)), [], names)
     if distinct == APPROXIMATE:
         return profile
-    return _with_exact_distinct(profile, df, [], names)
+    return _completed(profile, df, [], names, distinct)
 
 
 def time_series(
@@ -151,11 +163,9 @@ def time_series(
     ]
     spread = df.select(*names, F.inline(F.array(*parts)))
     keys = ["granularity", "window_start"]
-    wide = spread.groupBy(*keys).agg(*_wide(df, names, distinct))
+    wide = spread.groupBy(*keys).agg(*_wide(df, names, distinct, grouped=True))
     profile = _per_column(wide, keys, names)
-    if distinct == APPROXIMATE:
-        return profile
-    return _with_exact_distinct(profile, spread, keys, names)
+    return _completed(profile, spread, keys, names, distinct)
 
 
 def sliced(
@@ -170,7 +180,7 @@ def sliced(
     tagged = df.select(*names, *[e.cast("string").alias(n) for n, e in marks.items()])
     sets = list(marks)
     wide = tagged.groupingSets([[], *[[k] for k in sets]], *sets).agg(
-        *_wide(df, names, distinct), F.grouping_id().alias("_set")
+        *_wide(df, names, distinct, grouped=True), F.grouping_id().alias("_set")
     )
     # grouping_id has the bit of a key set when the key is not part of the group.
     everything = (1 << len(sets)) - 1
@@ -183,14 +193,12 @@ def sliced(
     labelled = wide.withColumns({"slice_key": slice_key, "slice_value": slice_value})
     keys = ["slice_key", "slice_value"]
     profile = _per_column(labelled, keys, names)
-    if distinct == APPROXIMATE:
-        return profile
     parts = [F.struct(none.alias("slice_key"), none.alias("slice_value"))] + [
         F.struct(F.lit(s).alias("slice_key"), F.col(f"_slice_{i}").alias("slice_value"))
         for i, s in enumerate(slices)
     ]
     spread = tagged.select(*names, F.inline(F.array(*parts)))
-    return _with_exact_distinct(profile, spread, keys, names)
+    return _completed(profile, spread, keys, names, distinct)
 
 
 def window_start(ts: str, granularity: str) -> Column:
