@@ -102,6 +102,17 @@ def test_rules_round_trip(spark):
     assert order == ["critical", "critical", "high", "high", "high"]
 
 
+def test_author_and_safe_names(spark):
+    from pyspark.sql import functions as F
+
+    from vigil.functions.exprs import safe_name
+
+    row = rules.as_rows(spark, [rules.Templates.not_null("c", "id")]).first()
+    assert row.created_by == spark.range(1).select(F.current_user()).first()[0]
+    assert row.tags == {"template": "not_null"}
+    assert spark.range(1).select(safe_name(F.lit("a.b-c d"))).first()[0] == "a_b_c_d"
+
+
 def test_row_filter_denies_unknown_principals(spark):
     df = inline.sample_customers(spark)
     assert privacy.visible_rows(df, {"x": "age > 40"}, "x").count() == 2

@@ -66,15 +66,21 @@ def month_to_date_by_sku(cost: DataFrame, as_of: datetime, limit: int = 15) -> D
         (F.col("usage_date") >= day_lit(month_start(as_of)))
         & (F.col("usage_date") <= day_lit(as_day(as_of)))
     )
-    groups = month.groupBy("sku_name", "billing_origin_product").agg(
-        F.sum("cost").alias("total_cost")
+    keys = ["sku_name", "billing_origin_product"]
+    # Groups and grand total come from one scan. The total sorts first, so the window
+    # below sees the reported rows and the total only.
+    ranked = (
+        month.groupingSets([keys, []], *keys)
+        .agg(F.sum("cost").alias("total_cost"), F.grouping_id().alias("_level"))
+        .orderBy(F.desc("_level"), F.desc("total_cost"), *keys)
+        .limit(limit + 1)
     )
-    # One row per (SKU, product) reaches the unpartitioned window.
-    whole = F.sum("total_cost").over(Window.partitionBy())
+    whole = F.max(F.when(F.col("_level") > 0, F.col("total_cost"))).over(Window.partitionBy())
     return (
-        groups.withColumn("cost_percentage", percent(F.col("total_cost"), whole))
-        .orderBy(F.desc("total_cost"), "sku_name", "billing_origin_product")
-        .limit(limit)
+        ranked.withColumn("cost_percentage", percent(F.col("total_cost"), whole))
+        .filter(F.col("_level") == 0)
+        .drop("_level")
+        .orderBy(F.desc("total_cost"), *keys)
     )
 
 

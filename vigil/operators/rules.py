@@ -32,7 +32,7 @@ def create_rule(
     pipeline_name: str | None = None,
     tags: dict[str, str] | None = None,
     *,
-    created_by: str = "unknown",
+    created_by: str | None = None,
     now: datetime = datetime(1970, 1, 1),
 ) -> dict[str, Any]:
     """A registry row, with action and severity checked."""
@@ -61,8 +61,10 @@ def create_rule(
 
 
 def as_rows(spark: SparkSession, rules: Iterable[dict[str, Any]]) -> DataFrame:
+    """Rules as registry rows; rules without an author get the current user."""
     names = schemas.RULES.fieldNames()
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in rules], schemas.RULES)
+    table = spark.createDataFrame([tuple(r[n] for n in names) for r in rules], schemas.RULES)
+    return table.withColumn("created_by", F.coalesce("created_by", F.current_user()))
 
 
 def sql_text(value: str) -> str:
