@@ -124,7 +124,10 @@ def _(spark, d):
     path = scratch_path(spark, "alert_history")
     rows = alerts.history_rows(_all(spark, d), ["email"])
     for _ in range(2):
-        sinks.append_new(rows, path, "alert_history", ["alert_id", "triggered_at"])
+        today = EVENTS_AS_OF.date()
+        sinks.append_new(
+            rows, path, "alert_history", ["alert_id", "triggered_at"], (today, today)
+        )
     return spark.read.parquet(path).select(
         "alert_type", "severity", "message", "status", "notified_channels", "triggered_at"
     )
@@ -261,8 +264,10 @@ def _(spark, d):
     path = scratch_path(spark, "event_logs")
     log = testbed.event_log(spark, d)
     for back in (2, 0):
-        batch = collectors.event_logs(log, EVENTS_AS_OF - timedelta(days=back), 7)
-        sinks.append_new(batch, path, "event_logs", ["event_id", "timestamp"])
+        end = EVENTS_AS_OF - timedelta(days=back)
+        span = ((end - timedelta(days=7)).date(), end.date())
+        batch = collectors.event_logs(log, end, 7)
+        sinks.append_new(batch, path, "event_logs", ["event_id", "timestamp"], span)
     return spark.read.parquet(path).select("event_id", "timestamp", "level", "event_date")
 
 

@@ -87,7 +87,7 @@ def test_running_job_has_no_cost(spark):
 def test_rules_round_trip(spark):
     T = rules.Templates
     own = [
-        T.not_null("c", "id", "fail"), T.not_null("c", "email"),
+        T.not_null("c", "id", action="fail"), T.not_null("c", "email"),
         T.valid_values("c", "status", ["a", "b"]), T.unique_values("c", "id"),
         T.referential_integrity("c", "fk", "ref", "key"),
     ]

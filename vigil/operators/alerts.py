@@ -25,6 +25,20 @@ TEMPLATES = (
 )
 
 
+# Texts of the alerts.
+COST_INCREASE = "Daily cost increased by %s%% ($%s → $%s)"
+COST_LIMIT = "Daily cost $%s exceeds threshold $%s"
+FAILURE_RATE = "Job failure rate is %s%% (%s/%s jobs failed in last hour)"
+LOW_QUALITY = "Data quality score for %s is %s%% (%s records failed)"
+STALE = "Pipeline %s hasn't run in %s hours (last run: %s)"
+
+
+def _text(pattern: str, *parts: Column | str) -> Column:
+    return F.format_string(
+        pattern, *[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    )
+
+
 def _cents(col: str) -> Column:
     return F.format_string("%.2f", F.round(col, 2).cast("double"))
 
@@ -69,9 +83,11 @@ def cost_alerts(cost: DataFrame, as_of: datetime, settings: Settings = DEFAULTS)
     increase = F.struct(
         F.lit("cost_increase").alias("alert_type"),
         F.lit("warning").alias("severity"),
-        F.concat(
-            F.lit("Daily cost increased by "), _cents("percent_change"), F.lit("% ($"),
-            _cents("previous_day_cost"), F.lit(" → $"), _cents("daily_cost"), F.lit(")"),
+        _text(
+            COST_INCREASE,
+            _cents("percent_change"),
+            _cents("previous_day_cost"),
+            _cents("daily_cost"),
         ).alias("message"),
         _details(
             date="usage_date",
@@ -83,11 +99,9 @@ def cost_alerts(cost: DataFrame, as_of: datetime, settings: Settings = DEFAULTS)
     absolute = F.struct(
         F.lit("cost_threshold").alias("alert_type"),
         F.lit("critical").alias("severity"),
-        F.concat(
-            F.lit("Daily cost $"),
-            _cents("daily_cost"),
-            F.lit(f" exceeds threshold ${limits.absolute_cost:.0f}"),
-        ).alias("message"),
+        _text(COST_LIMIT, _cents("daily_cost"), F.lit(f"{limits.absolute_cost:.0f}")).alias(
+            "message"
+        ),
         _details(date="usage_date", cost="daily_cost").alias("details"),
     )
     raised = F.array_compact(
@@ -118,11 +132,7 @@ def job_failure_rate(
     hit = jobs.failure_rate(runs, as_of).filter(
         F.col("failure_rate") > settings.jobs.failure_rate_percent
     )
-    message = F.concat(
-        F.lit("Job failure rate is "), _cents("failure_rate"), F.lit("% ("),
-        F.col("failed_runs").cast("string"), F.lit("/"), F.col("total_runs").cast("string"),
-        F.lit(" jobs failed in last hour)"),
-    )
+    message = _text(FAILURE_RATE, _cents("failure_rate"), "failed_runs", "total_runs")
     details = _details(
         total_runs="total_runs", failed_runs="failed_runs", failure_rate="failure_rate"
     )
@@ -139,11 +149,7 @@ def quality_score(
         .agg(quality.score().alias("quality_score"), F.sum("failed_records").alias("failed_records"))
         .filter(F.col("quality_score") < limits.score)
     )
-    message = F.concat(
-        F.lit("Data quality score for "), F.col("dataset_name"), F.lit(" is "),
-        _cents("quality_score"), F.lit("% ("), F.col("failed_records").cast("string"),
-        F.lit(" records failed)"),
-    )
+    message = _text(LOW_QUALITY, "dataset_name", _cents("quality_score"), "failed_records")
     severity = F.when(F.col("quality_score") > limits.critical_score, "warning").otherwise(
         "critical"
     )
@@ -162,11 +168,8 @@ def stale_pipelines(
     limits = settings.freshness
     hit = event_log.freshness(health, as_of, limits, listed_hours=limits.warning_hours)
     hours = F.col("hours_since_last_run")
-    message = F.concat(
-        F.lit("Pipeline "), F.col("pipeline_name"), F.lit(" hasn't run in "),
-        hours.cast("string"), F.lit(" hours (last run: "),
-        F.date_format("last_run_time", "yyyy-MM-dd HH:mm:ss"), F.lit(")"),
-    )
+    last_run = F.date_format("last_run_time", "yyyy-MM-dd HH:mm:ss")
+    message = _text(STALE, "pipeline_name", hours, last_run)
     severity = F.when(hours > limits.critical_hours, "critical").otherwise("warning")
     details = _details(
         pipeline="pipeline_name", last_run="last_run_time", hours_stale="hours_since_last_run"
@@ -183,9 +186,7 @@ def failed_records(
         .agg(F.sum("failed_records").alias("failed_records"))
         .filter(F.col("failed_records") > settings.quality.failed_records)
     )
-    message = F.concat(
-        F.col("failed_records").cast("string"), F.lit(" records failed in "), F.col("dataset_name")
-    )
+    message = _text("%s records failed in %s", "failed_records", "dataset_name")
     details = _details(dataset="dataset_name", failed_records="failed_records")
     return _alerts(hit, "failed_records", "warning", message, details, as_of)
 
@@ -199,9 +200,8 @@ def query_performance(
         figures.filter("slow_queries > 0"),
         "slow_queries",
         "warning",
-        F.concat(
-            F.col("slow_queries").cast("string"),
-            F.lit(f" queries took more than {settings.queries.slow_seconds} seconds"),
+        _text(
+            f"%s queries took more than {settings.queries.slow_seconds} seconds", "slow_queries"
         ),
         _details(slow_queries="slow_queries", total_queries="total_queries"),
         as_of,
@@ -210,7 +210,7 @@ def query_performance(
         figures.filter(F.col("error_rate") > settings.queries.error_rate_percent),
         "query_error_rate",
         "warning",
-        F.concat(F.lit("Query error rate is "), _cents("error_rate"), F.lit("%")),
+        _text("Query error rate is %s%%", _cents("error_rate")),
         _details(failed_queries="failed_queries", total_queries="total_queries"),
         as_of,
     )
@@ -222,11 +222,8 @@ def sla(runs: DataFrame, as_of: datetime, settings: Settings = DEFAULTS) -> Data
     limit = settings.jobs.max_duration_minutes
     recent = runs.filter(since("start_time", as_of, days=settings.lookback_days))
     hit = jobs.sla_violations(recent, limit)
-    message = F.concat(
-        F.col("job_name"), F.lit(" run "), F.col("run_id").cast("string"), F.lit(" took "),
-        F.floor(F.col("duration_seconds") / 60).cast("string"),
-        F.lit(f" minutes (limit {limit})"),
-    )
+    minutes = F.floor(F.col("duration_seconds") / 60)
+    message = _text(f"%s run %s took %s minutes (limit {limit})", "job_name", "run_id", minutes)
     details = _details(job="job_name", run="run_id", duration_seconds="duration_seconds")
     return _alerts(hit, "sla_violation", "critical", message, details, as_of)
 
@@ -238,10 +235,7 @@ def consecutive_failures(
         runs.filter(since("start_time", as_of, days=settings.lookback_days)),
         settings.jobs.consecutive_failures,
     )
-    message = F.concat(
-        F.col("job_name"), F.lit(" failed "), F.col("consecutive_failures").cast("string"),
-        F.lit(" times in a row"),
-    )
+    message = _text("%s failed %s times in a row", "job_name", "consecutive_failures")
     details = _details(
         job="job_name", failures="consecutive_failures", last_failure="last_failure"
     )

@@ -72,95 +72,95 @@ def sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Fixed values of the rule templates, by expectation type:
+# name suffix, default action, severity, description.
+TEMPLATES = {
+    "not_null": ("not_null", "warn", "high", "Ensure {column} has no null values"),
+    "valid_values": ("valid_values", "drop", "high", "Ensure {column} is one of: {detail}"),
+    "range": ("range", "warn", "medium", "Ensure {column} is {detail}"),
+    "unique": ("unique", "fail", "critical", "Ensure {column} contains unique values"),
+    "regex": ("format", "drop", "medium", "Ensure {column} matches pattern: {detail}"),
+    "freshness": ("freshness", "warn", "high", "Ensure {column} is within {detail} days"),
+    "foreign_key": ("fk_check", "drop", "critical", "Ensure {column} exists in {detail}"),
+}
+
+
+def _from_template(
+    kind: str,
+    dataset: str,
+    column: str,
+    constraint: str,
+    detail: str = "",
+    action: str | None = None,
+    tags: dict[str, str] | None = None,
+    **more: Any,
+) -> dict[str, Any]:
+    """A rule with the template's name, severity and text; tagged with its template."""
+    suffix, usual, severity, text = TEMPLATES[kind]
+    return create_rule(
+        dataset,
+        f"{column}_{suffix}",
+        kind,
+        constraint,
+        action or usual,
+        text.format(column=column, detail=detail),
+        severity,
+        tags={"template": kind, **(tags or {})},
+        **more,
+    )
+
+
 class Templates:
-    """Ready-made rules. Keyword arguments go on to ``create_rule``."""
+    """Ready-made rules; ``more`` takes an action and whatever ``create_rule`` accepts."""
 
     @staticmethod
-    def _rule(dataset, column, suffix, kind, constraint, action, severity, text, **more):
-        tags = {"template": kind, **(more.pop("tags", None) or {})}
-        return create_rule(
-            dataset, f"{column}_{suffix}", kind, constraint, action, text, severity,
-            tags=tags, **more,
-        )
+    def not_null(dataset: str, column: str, **more) -> dict[str, Any]:
+        return _from_template("not_null", dataset, column, f"{column} IS NOT NULL", **more)
 
     @staticmethod
-    def not_null(dataset: str, column: str, action: str = "warn", **more):
-        return Templates._rule(
-            dataset, column, "not_null", "not_null", f"{column} IS NOT NULL", action, "high",
-            f"Ensure {column} has no null values", **more,
-        )
-
-    @staticmethod
-    def valid_values(
-        dataset: str, column: str, values: Sequence[str], action: str = "drop", **more
-    ):
-        listed = ", ".join(sql_text(v) for v in values)
-        return Templates._rule(
-            dataset, column, "valid_values", "valid_values", f"{column} IN ({listed})", action,
-            "high", f"Ensure {column} is one of: {', '.join(values)}", **more,
+    def valid_values(dataset: str, column: str, values: Sequence[str], **more) -> dict[str, Any]:
+        quoted = ", ".join(map(sql_text, values))
+        return _from_template(
+            "valid_values", dataset, column, f"{column} IN ({quoted})", ", ".join(values), **more
         )
 
     @staticmethod
     def numeric_range(
-        dataset: str,
-        column: str,
-        low: float | None = None,
-        high: float | None = None,
-        action: str = "warn",
-        **more,
-    ):
-        bounds = [(">=", low), ("<=", high)]
-        given = [(sign, bound) for sign, bound in bounds if bound is not None]
+        dataset: str, column: str, low: float | None = None, high: float | None = None, **more
+    ) -> dict[str, Any]:
+        given = [(sign, x) for sign, x in ((">=", low), ("<=", high)) if x is not None]
         if not given:
             raise ValueError("a range needs at least one bound")
-        text = (
-            f"between {low} and {high}"
-            if len(given) == 2
-            else " ".join(str(part) for part in given[0])
-        )
-        return Templates._rule(
-            dataset, column, "range", "range",
-            " AND ".join(f"{column} {sign} {bound}" for sign, bound in given), action,
-            "medium", f"Ensure {column} is {text}", **more,
-        )
+        constraint = " AND ".join(f"{column} {sign} {x}" for sign, x in given)
+        both = f"between {low} and {high}"
+        detail = both if len(given) == 2 else "{} {}".format(*given[0])
+        return _from_template("range", dataset, column, constraint, detail, **more)
 
     @staticmethod
-    def unique_values(dataset: str, column: str, action: str = "fail", **more):
-        return Templates._rule(
-            dataset, column, "unique", "unique",
-            f"COUNT(*) OVER (PARTITION BY {column}) = 1", action, "critical",
-            f"Ensure {column} contains unique values", **more,
-        )
+    def unique_values(dataset: str, column: str, **more) -> dict[str, Any]:
+        constraint = f"COUNT(*) OVER (PARTITION BY {column}) = 1"
+        return _from_template("unique", dataset, column, constraint, **more)
 
     @staticmethod
-    def regex_match(dataset: str, column: str, pattern: str, action: str = "drop", **more):
-        return Templates._rule(
-            dataset, column, "format", "regex", f"{column} RLIKE {sql_text(pattern)}", action,
-            "medium", f"Ensure {column} matches pattern: {pattern}", **more,
-        )
+    def regex_match(dataset: str, column: str, pattern: str, **more) -> dict[str, Any]:
+        constraint = f"{column} RLIKE {sql_text(pattern)}"
+        return _from_template("regex", dataset, column, constraint, pattern, **more)
 
     @staticmethod
     def date_freshness(
-        dataset: str, column: str, as_of: date | datetime, max_age_days: int = 1,
-        action: str = "warn", **more,
-    ):
+        dataset: str, column: str, as_of: date | datetime, max_age_days: int = 1, **more
+    ) -> dict[str, Any]:
         oldest = as_day(as_of) - timedelta(days=max_age_days)
-        return Templates._rule(
-            dataset, column, "freshness", "freshness", f"{column} >= DATE'{oldest}'", action,
-            "high", f"Ensure {column} is within {max_age_days} days", **more,
-        )
+        constraint = f"{column} >= DATE'{oldest}'"
+        return _from_template("freshness", dataset, column, constraint, str(max_age_days), **more)
 
     @staticmethod
     def referential_integrity(
-        dataset: str, foreign_key: str, reference_table: str, reference_key: str,
-        action: str = "drop", **more,
-    ):
-        return Templates._rule(
-            dataset, foreign_key, "fk_check", "foreign_key",
-            f"{foreign_key} IN (SELECT {reference_key} FROM {reference_table})", action,
-            "critical", f"Ensure {foreign_key} exists in {reference_table}.{reference_key}",
-            **more,
-        )
+        dataset: str, foreign_key: str, reference_table: str, reference_key: str, **more
+    ) -> dict[str, Any]:
+        constraint = f"{foreign_key} IN (SELECT {reference_key} FROM {reference_table})"
+        detail = f"{reference_table}.{reference_key}"
+        return _from_template("foreign_key", dataset, foreign_key, constraint, detail, **more)
 
 
 def to_expectation(rule: dict[str, Any]) -> Expectation:

@@ -6,7 +6,7 @@ repeated after a failure without duplicating or losing rows.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from typing import Sequence
 
 from pyspark.errors import AnalysisException
@@ -37,18 +37,24 @@ def _by_day(batch: DataFrame, day: str) -> DataFrame:
 
 
 def append_new(
-    df: DataFrame, path: str, table: str, keys: Sequence[str], dry_run: bool = False
+    df: DataFrame,
+    path: str,
+    table: str,
+    keys: Sequence[str],
+    span: tuple[date, date] | None = None,
+    dry_run: bool = False,
 ) -> None:
     """Append the rows whose key is not stored yet.
 
     The stored side is read only for the days the batch touches, so the cost follows
-    the batch, not the table. Keys must determine the day.
+    the batch, not the table. Keys must determine the day. A caller that knows the first
+    and last day of the batch passes them as ``span``; otherwise they are looked up first.
     """
     keys = list(keys)
     batch, day = with_day(df.dropDuplicates(keys), table)
     stored = read_table(df.sparkSession, path)
     if stored is not None:
-        first, last = batch.agg(F.min(day), F.max(day)).first()
+        first, last = span or batch.agg(F.min(day), F.max(day)).first()
         if first is None:
             return
         known = stored.filter(F.col(day).between(day_lit(first), day_lit(last))).select(*keys)

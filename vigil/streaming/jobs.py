@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from vigil.functions.exprs import is_failure, percent
 from vigil.operators.expectations import Expectation, flagged
-from vigil.operators.event_log import parsed
+from vigil.operators.event_log import parsed, results
 from vigil.plans.scratch import scratch_path
 from vigil.settings import DEFAULTS
 
@@ -107,8 +107,9 @@ def quality(events: DataFrame, width: str = "1 day", delay: str = DELAY) -> Data
         .select(
             "timestamp",
             F.col("origin.pipeline_name").alias("pipeline_name"),
-            F.explode("_d.data_quality.expectations").alias("x"),
+            results("_d").alias("x"),
         )
+        .filter(F.col("x").isNotNull())
     )
     return (
         each.groupBy(
