@@ -240,7 +240,7 @@ def _(spark, d):
 @register(
     "dash_job_failures",
     f"""SELECT job_name, result_state, count(*) AS failure_count,
-        max(start_time) AS last_failure,
+        max(start_time) AS last_failure, 0 AS part,
         array_to_string(list_sort(list(DISTINCT error_message)), ',') AS error_messages
         FROM jobs_cost WHERE {_since('start_time', '7 DAYS')} AND bad
         GROUP BY job_name, result_state

@@ -138,7 +138,7 @@ def _(spark, d):
     "dash_error_patterns",
     f"""SELECT substring(error, 1, 100) AS error_pattern,
         count(DISTINCT pipeline_name) AS affected_pipelines, count(*) AS occurrence_count,
-        max(moment) AS last_occurred,
+        max(moment) AS last_occurred, 0 AS part,
         array_to_string(list_sort(list(DISTINCT pipeline_name)), ',') AS pipeline_list
         FROM log WHERE {EVENTS_7} AND level = 'ERROR' AND error IS NOT NULL GROUP BY 1
         ORDER BY occurrence_count DESC, error_pattern LIMIT 25""",
@@ -475,7 +475,7 @@ def _(spark, d):
 @register(
     "gold_status_summary",
     f"""SELECT status, count(*) AS customer_count, CAST(sum(age) AS DOUBLE) / count(age) AS avg_age,
-        array_to_string(list_sort(list(DISTINCT email_domain)), ',') AS email_domains,
+        array_to_string(list_sort(list(DISTINCT email_domain)), ',') AS email_domains, 0 AS part,
         {pct('count(*)', '(SELECT count(*) FROM good_customers)')} AS percentage
         FROM good_customers GROUP BY status""",
 )

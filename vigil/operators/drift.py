@@ -138,8 +138,9 @@ def numeric(
             sized,
             [],
             F.col("_range"),
-            [F.col("value")],
+            ["value"],
             {"_cb": F.col("b"), "_cc": F.col("c")},
+            bucket_rows=None,
         ),
         "value",
         "_next",

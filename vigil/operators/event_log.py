@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil import schemas
 from vigil.functions.exprs import hours_since, mean, percent, preview, since, ts_lit
+from vigil.plans.lists import listed
 from vigil.settings import DEFAULTS, FreshnessThresholds
 
 # Labels of the freshness report.
@@ -248,14 +249,13 @@ def error_patterns(events: DataFrame, as_of: datetime, days: int = 7, limit: int
     pairs = errors.groupBy(preview("error", 100).alias("error_pattern"), "pipeline_name").agg(
         F.count("*").alias("_n"), F.max("timestamp").alias("_last")
     )
-    return (
-        pairs.groupBy("error_pattern")
-        .agg(
-            F.count("pipeline_name").alias("affected_pipelines"),
-            F.sum("_n").alias("occurrence_count"),
-            F.max("_last").alias("last_occurred"),
-            F.sort_array(F.collect_list("pipeline_name")).alias("pipeline_list"),
-        )
-        .orderBy(F.desc("occurrence_count"), "error_pattern")
-        .limit(limit)
+    totals = {
+        "affected_pipelines": F.count("pipeline_name"),
+        "occurrence_count": F.sum("_n"),
+        "last_occurred": F.max("_last"),
+    }
+    order = [F.desc("occurrence_count"), F.col("error_pattern")]
+    reported = listed(
+        pairs, ["error_pattern"], "pipeline_name", "pipeline_list", totals, order, limit
     )
+    return reported.orderBy(*order, "part")

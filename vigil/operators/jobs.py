@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import is_failure, mean, percent, preview, since
+from vigil.plans.lists import listed
 from vigil.plans.ordered import running_totals, trailing_mean
 from vigil.settings import DEFAULTS
 
@@ -102,20 +103,15 @@ def failures_with_messages(
     failed = jobs.filter(since("start_time", as_of, days=days) & is_failure()).withColumn(
         "_message", preview("error_message", 100)
     )
-    # Equal messages collapse before the shuffle; sets hold distinct messages only.
-    distinct = failed.groupBy("job_name", "result_state", "_message").agg(
+    # Equal messages collapse before the shuffle; lists hold distinct messages only.
+    keys = ["job_name", "result_state"]
+    distinct = failed.groupBy(*keys, "_message").agg(
         F.count("*").alias("_n"), F.max("start_time").alias("_last")
     )
-    return (
-        distinct.groupBy("job_name", "result_state")
-        .agg(
-            F.sum("_n").alias("failure_count"),
-            F.max("_last").alias("last_failure"),
-            F.sort_array(F.collect_list("_message")).alias("error_messages"),
-        )
-        .orderBy(F.desc("failure_count"), "job_name", "result_state")
-        .limit(limit)
-    )
+    totals = {"failure_count": F.sum("_n"), "last_failure": F.max("_last")}
+    order = [F.desc("failure_count"), *[F.col(k) for k in keys]]
+    reported = listed(distinct, keys, "_message", "error_messages", totals, order, limit)
+    return reported.orderBy(*order, "part")
 
 
 def duration_trend(
@@ -150,7 +146,7 @@ def failure_streaks(
         jobs.select("job_id", "job_name", "run_id", "start_time", "result_state"),
         ["job_id"],
         F.date_trunc(bucket, "start_time"),
-        [F.col("start_time"), F.col("run_id")],
+        ["start_time", "run_id"],
         {"_island": ok},
     )
     return (
@@ -180,7 +176,7 @@ def duration_regressions(
         finished,
         ["job_id"],
         F.date_trunc(bucket, "start_time"),
-        [F.col("start_time"), F.col("run_id")],
+        ["start_time", "run_id"],
         "duration_seconds",
         runs,
     )
@@ -239,6 +235,7 @@ def throughput(jobs: DataFrame, granularity: str = "1 day") -> DataFrame:
         per_window,
         [],
         F.date_trunc("YEAR", "window_start"),
-        [F.col("window_start")],
+        ["window_start"],
         {"backlog": F.col("started") - F.col("finished")},
+        bucket_rows=None,
     )

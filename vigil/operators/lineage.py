@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import name_part, ts_lit
+from vigil.plans.lists import PART_SIZE, part_of
 from vigil.plans.scratch import cut, cut_counting, stored
 
 SRC = "source_table_full_name"
@@ -202,7 +203,7 @@ def export_graph(lineage: DataFrame, table: str, path: str, max_depth: int = 3)
     graph_edges(lineage, table, max_depth).write.mode("overwrite").json(f"{path}/edges")
 
 
-def adjacency(lineage: DataFrame, as_of: datetime, part_size: int = 10_000) -> DataFrame:
+def adjacency(lineage: DataFrame, as_of: datetime, part_size: int = PART_SIZE) -> DataFrame:
     """Neighbour lists per table.
 
     A table with more than ``part_size`` neighbours gets several rows (``part`` 0, 1, …)
@@ -227,10 +228,8 @@ def adjacency(lineage: DataFrame, as_of: datetime, part_size: int = 10_000) -> D
     )
     degree = ends.groupBy("node_id").agg(F.count("*").alias("_degree"))
     hubs = degree.filter(F.col("_degree") > part_size)
-    parts = F.ceil(F.coalesce(F.col("_degree"), F.lit(1)) / F.lit(part_size))
-    placed = ends.join(hubs, "node_id", "left").withColumn(
-        "part", F.pmod(F.xxhash64("other"), parts).cast("int")
-    )
+    size = F.coalesce(F.col("_degree"), F.lit(1))
+    placed = ends.join(hubs, "node_id", "left").withColumn("part", part_of("other", size, part_size))
     listed = {"up": "upstream_nodes", "down": "downstream_nodes"}
     return (
         placed.groupBy("node_id", "part")

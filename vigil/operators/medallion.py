@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import day_lit, as_day, email_domain, mean, percent, ts_lit
+from vigil.plans.lists import listed
 from vigil.operators.expectations import Checked, Expectation, check
 
 # Patterns, value lists and limits of the sample rules.
@@ -139,22 +140,21 @@ def daily_revenue(orders: DataFrame) -> DataFrame:
 
 def status_summary(customers: DataFrame) -> DataFrame:
     """Customers, mean age, e-mail domains and share per status."""
-    # One row per (status, domain) first; the set then holds distinct domains only.
+    # One row per (status, domain) first; the lists then hold distinct domains only.
     pairs = customers.groupBy("status", "email_domain").agg(
         F.count("customer_id").alias("_n"),
         F.sum("age").alias("_age"),
         F.count("age").alias("_ages"),
     )
-    whole = F.sum("customer_count").over(Window.partitionBy())
-    return (
-        pairs.groupBy("status")
-        .agg(
-            F.sum("_n").alias("customer_count"),
-            mean(F.sum("_age"), F.sum("_ages")).alias("avg_age"),
-            F.sort_array(F.collect_list("email_domain")).alias("email_domains"),
-        )
-        .withColumn("percentage", percent(F.col("customer_count"), whole))
-    )
+    totals = {
+        "customer_count": F.sum("_n"),
+        "avg_age": mean(F.sum("_age"), F.sum("_ages")),
+    }
+    # Every status is whole in its first list, so the share of the total counts that row.
+    reported = listed(pairs, ["status"], "email_domain", "email_domains", totals)
+    counted = F.when(F.col("part") == 0, F.col("customer_count"))
+    whole = F.sum(counted).over(Window.partitionBy())
+    return reported.withColumn("percentage", percent(F.col("customer_count"), whole))
 
 
 @dataclass(frozen=True)

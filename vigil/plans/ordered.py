@@ -1,8 +1,10 @@
 """Order-dependent work on keys of any size.
 
-A window function puts a whole key into one task. Here every key is first cut
-into time buckets: rows are ordered inside (key, bucket), and only one summary row
-per bucket takes part in the step that spans the key.
+A window function puts a whole key into one task. Here every key is first cut into
+parts: rows are ordered inside (key, part), and only one summary row per part takes
+part in the step that spans the key. Parts are time buckets while all of those are
+small enough, which is counted first; otherwise they are sampled ranges of the rows
+in order, which stay balanced whatever key, bucket or copied row dominates.
 """
 
 from __future__ import annotations
@@ -14,26 +16,36 @@ from pyspark.sql import functions as F
 
 from vigil.plans.scratch import cut
 
+# Most rows of one (key, bucket) that a single task is asked to order.
+BUCKET_ROWS = 2_000_000
+
 
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     bucket: Column,
-    order: Sequence[Column],
+    order: Sequence[str],
     totals: dict[str, Column],
+    bucket_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Add running totals (inclusive) of numeric expressions per key, in order.
 
     ``bucket`` must be a non-decreasing function of the leading order column. The
     result equals ``sum(expr) over (partition by keys order by order rows unbounded
-    preceding)``; no task sees more than one bucket of a key.
+    preceding)``. ``bucket_rows=None`` vouches for small buckets and skips the count.
     """
-    keys = list(keys)
+    keys, order = list(keys), list(order)
+    columns = df.columns
+    if bucket_rows is not None and _largest(df, keys, bucket) > bucket_rows:
+        # Numbers for equal rows are stored before they steer a shuffle, so that a task
+        # repeated after a loss sees the same ones.
+        numbered = cut(df.withColumn("_tie", F.monotonically_increasing_id()))
+        df = in_ranges(numbered, *keys, *order, "_tie")
+        bucket, order = F.col("_range"), [*order, "_tie"]
     # Key and bucket as one struct: NULL keys stay comparable, and the window, the summary
     # and the join below all use the same partitioning.
-    tagged = df.withColumns(
-        {"_part": F.struct(*keys, bucket.alias("_bucket")), **{f"_v_{n}": e for n, e in totals.items()}}
-    )
+    part = F.struct(*keys, bucket.alias("_bucket"))
+    tagged = df.withColumns({"_part": part, **{f"_v_{n}": e for n, e in totals.items()}})
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -51,18 +63,25 @@ def running_totals(
     )
     joined = rows.join(offsets, F.col("_part") == F.col("_of"))
     return joined.select(
-        *df.columns, *[(F.col(f"_r_{n}") + F.col(f"_b_{n}")).alias(n) for n in totals]
+        *columns, *[(F.col(f"_r_{n}") + F.col(f"_b_{n}")).alias(n) for n in totals]
     )
 
 
+def _largest(df: DataFrame, keys: Sequence[str], bucket: Column) -> int:
+    """Rows of the largest (key, bucket); one narrow pass, counted on the map side."""
+    sizes = df.groupBy(*keys, bucket.alias("_bucket")).agg(F.count("*").alias("n"))
+    return sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
 def trailing_mean(
     df: DataFrame,
     keys: Sequence[str],
     bucket: Column,
-    order: Sequence[Column],
+    order: Sequence[str],
     value: str,
     rows: int,
     chunk: int = 100_000,
+    bucket_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Mean of ``value`` over the ``rows`` rows before each row of a key.
 
@@ -72,7 +91,8 @@ def trailing_mean(
     if rows >= chunk:
         raise ValueError("the trailing frame must be shorter than a chunk")
     keys = list(keys)
-    placed = running_totals(df, keys, bucket, order, {"_pos": F.lit(1).cast("bigint")})
+    one = {"_pos": F.lit(1).cast("bigint")}
+    placed = running_totals(df, keys, bucket, order, one, bucket_rows)
     home = F.floor((F.col("_pos") - 1) / F.lit(chunk)).cast("bigint")
     spill = F.pmod(F.col("_pos") - 1, F.lit(chunk)) >= F.lit(chunk - rows)
     copies = placed.withColumn("_home", home).withColumn(
@@ -96,13 +116,13 @@ def trailing_mean(
     )
 
 
-def in_ranges(df: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
-    """Cut rows into balanced ranges of ``value``; adds ``_range``, ascending with the value.
+def in_ranges(df: DataFrame, *order: str, ranges: int | None = None) -> DataFrame:
+    """Cut rows into balanced ranges of ``order``; adds ``_range``, ascending with it.
 
     The sampled bounds become part of the stored rows, so later steps agree on them.
     """
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(df.repartitionByRange(n, value).withColumn("_range", F.spark_partition_id()))
+    return cut(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()))
 
 
 def with_next(ranged: DataFrame, value: str, name: str) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 from typing import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,10 +24,10 @@ def with_day(df: DataFrame, table: str) -> tuple[DataFrame, str]:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The stored table, or nothing before the first write."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return spark.read.parquet(path) if files.exists(folder) else None
 
 
 def _by_day(batch: DataFrame, day: str) -> DataFrame:
