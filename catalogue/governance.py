@@ -428,7 +428,7 @@ def _(spark, d):
 @register(
     "most_connected",
     """WITH n AS (SELECT src AS t, 0 AS u, 1 AS v FROM edge UNION ALL SELECT dst, 1, 0 FROM edge)
-        SELECT t AS table_name, sum(u) AS upstream_count, sum(v) AS downstream_count,
+        SELECT t AS table_name, CAST(sum(u) AS BIGINT) AS upstream_count, CAST(sum(v) AS BIGINT) AS downstream_count,
         count(*) AS total_connections FROM n GROUP BY t
         ORDER BY total_connections DESC, table_name LIMIT 25""",
 )

@@ -296,11 +296,12 @@ def _(spark, d):
     "throughput_latency_backlog",
     """WITH m AS (SELECT start_time AS moment, 1 AS s, 0 AS e, secs AS w FROM jobs_cost
           UNION ALL SELECT end_time, 0, 1, NULL FROM jobs_cost WHERE end_time IS NOT NULL),
-        g AS (SELECT date_trunc('day', moment) AS window_start, sum(s) AS started,
-              sum(e) AS finished, CAST(sum(w) AS DOUBLE) / nullif(count(w), 0)
+        g AS (SELECT date_trunc('day', moment) AS window_start, CAST(sum(s) AS BIGINT) AS started,
+              CAST(sum(e) AS BIGINT) AS finished, CAST(sum(w) AS DOUBLE) / nullif(count(w), 0)
               AS avg_latency_seconds FROM m GROUP BY 1)
         SELECT CAST(window_start AS TIMESTAMP) AS window_start, started, finished,
-        avg_latency_seconds, sum(started - finished) OVER (ORDER BY window_start) AS backlog
+        avg_latency_seconds,
+        CAST(sum(started - finished) OVER (ORDER BY window_start) AS BIGINT) AS backlog
         FROM g""",
 )
 def _(spark, d):
@@ -310,7 +311,7 @@ def _(spark, d):
 @register(
     "cluster_summary",
     """SELECT cluster_name, state, CAST(sum(workers) AS DOUBLE) / count(*) AS avg_workers,
-        sum(uptime) AS total_uptime_seconds,
+        CAST(sum(uptime) AS BIGINT) AS total_uptime_seconds,
         CAST(sum(rate10) AS DOUBLE) / 10 / count(*) AS avg_dbu_rate
         FROM clu GROUP BY cluster_name, state""",
 )
@@ -346,8 +347,8 @@ def _(spark, d):
 
 @register(
     "idle_clusters",
-    f"""WITH g AS (SELECT cluster_name, sum(uptime) AS total_uptime_seconds,
-          sum(CASE WHEN workers = 0 THEN uptime ELSE 0 END) AS idle_seconds
+    f"""WITH g AS (SELECT cluster_name, CAST(sum(uptime) AS BIGINT) AS total_uptime_seconds,
+          CAST(sum(CASE WHEN workers = 0 THEN uptime ELSE 0 END) AS BIGINT) AS idle_seconds
           FROM clu GROUP BY cluster_name)
         SELECT *, {pct('idle_seconds', 'total_uptime_seconds')} AS idle_percent FROM g
         WHERE {pct('idle_seconds', 'total_uptime_seconds')} > 0""",

@@ -77,7 +77,7 @@ AVG_SECS = "CAST(sum(secs) AS DOUBLE) / count(secs)"
     "update_exec_by_status",
     f"""SELECT pipeline_name, status, count(*) AS execution_count,
         {AVG_SECS} AS avg_duration_seconds, CAST(max(secs) AS BIGINT) AS max_duration_seconds,
-        sum(errors) AS total_errors, sum(warnings) AS total_warnings
+        CAST(sum(errors) AS BIGINT) AS total_errors, CAST(sum(warnings) AS BIGINT) AS total_warnings
         FROM health WHERE {HEALTH_7} GROUP BY pipeline_name, status""",
 )
 def _(spark, d):
@@ -90,7 +90,7 @@ def _(spark, d):
         count(*) FILTER (status = 'COMPLETED') AS successful_runs,
         count(*) FILTER (status IN ('FAILED', 'CANCELED')) AS failed_runs,
         {r2('sum(secs)', '60 * count(secs)')} AS avg_duration_minutes,
-        sum(errors) AS total_errors, sum(warnings) AS total_warnings,
+        CAST(sum(errors) AS BIGINT) AS total_errors, CAST(sum(warnings) AS BIGINT) AS total_warnings,
         max(start_time) AS last_run_time,
         {pct("count(*) FILTER (status = 'COMPLETED')", 'count(*)')} AS success_rate
         FROM health WHERE {HEALTH_7} GROUP BY pipeline_name""",
@@ -170,8 +170,8 @@ def _(spark, d):
 @register(
     "quality_trend_daily",
     f"""SELECT CAST(CAST(moment AS DATE) AS VARCHAR) AS date, dataset_name, expectation_name,
-        {AVG_RATE} AS avg_pass_rate, sum(failed) AS total_failed_records,
-        sum(passed) AS total_passed_records FROM qm WHERE {QUALITY_7}
+        {AVG_RATE} AS avg_pass_rate, CAST(sum(failed) AS BIGINT) AS total_failed_records,
+        CAST(sum(passed) AS BIGINT) AS total_passed_records FROM qm WHERE {QUALITY_7}
         GROUP BY CAST(moment AS DATE), dataset_name, expectation_name""",
 )
 def _(spark, d):
@@ -192,7 +192,7 @@ def _(spark, d):
 @register(
     "dash_quality_by_flow",
     f"""SELECT pipeline_name, count(DISTINCT dataset_name) AS dataset_count,
-        sum(passed) AS total_passed, sum(failed) AS total_failed,
+        CAST(sum(passed) AS BIGINT) AS total_passed, CAST(sum(failed) AS BIGINT) AS total_failed,
         {SCORE} AS overall_quality_score FROM qm WHERE {QUALITY_7} GROUP BY pipeline_name""",
 )
 def _(spark, d):
@@ -202,7 +202,7 @@ def _(spark, d):
 @register(
     "dash_failed_expectations",
     f"""SELECT dataset_name, expectation_name, count(*) AS failure_count,
-        sum(failed) AS total_failed_records, {AVG_RATE} AS avg_pass_rate,
+        CAST(sum(failed) AS BIGINT) AS total_failed_records, {AVG_RATE} AS avg_pass_rate,
         min(pass_rate) AS min_pass_rate, max(moment) AS last_failure
         FROM qm WHERE {QUALITY_7} AND failed > 0 GROUP BY dataset_name, expectation_name
         ORDER BY total_failed_records DESC, failure_count DESC, dataset_name, expectation_name
@@ -215,7 +215,7 @@ def _(spark, d):
 @register(
     "dash_quality_trend",
     f"""SELECT CAST(CAST(moment AS DATE) AS VARCHAR) AS quality_date, pipeline_name,
-        {SCORE} AS daily_quality_score, sum(passed + failed) AS total_records_processed
+        {SCORE} AS daily_quality_score, CAST(sum(passed + failed) AS BIGINT) AS total_records_processed
         FROM qm WHERE {_since('moment', QUALITY_AT, '30 DAYS')}
         GROUP BY CAST(moment AS DATE), pipeline_name""",
 )

@@ -64,8 +64,8 @@ def _(spark, d):
 
 @register(
     "stream_quality",
-    f"""SELECT window_start, pipeline_name, expectation_name, sum(passed) AS passed_records,
-        sum(failed) AS failed_records,
+    f"""SELECT window_start, pipeline_name, expectation_name, CAST(sum(passed) AS BIGINT) AS passed_records,
+        CAST(sum(failed) AS BIGINT) AS failed_records,
         {pct('sum(passed)', 'sum(passed) + sum(failed)')} AS quality_score
         FROM (SELECT *, date_trunc('day', moment) AS window_start FROM results_all)
         WHERE window_start + INTERVAL 1 DAY <= {DONE} GROUP BY ALL""",
