@@ -54,6 +54,8 @@ def test_outbox_equals_the_fold(spark, seed):
         (Channel("email", True), Channel("slack", False)), max_per_hour=3, cooldown_minutes=25
     )
     got = alerts.outbox(_history(spark, raised), delivery).collect()
+    short = alerts.outbox(_history(spark, raised), delivery, walk_seconds=5000).collect()
+    assert sorted(short) == sorted(got)
     assert {r.channel for r in got} == {"email"}
     assert {r.alert_id for r in got} == _fold(raised, timedelta(minutes=25), 3)
 

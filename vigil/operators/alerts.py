@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from vigil import schemas
 from vigil.functions.exprs import as_day, day_lit, since, ts_lit
 from vigil.operators import costs, event_log, jobs, queries, quality
+from vigil.plans.scratch import cut, stored
 from vigil.settings import DEFAULTS, Delivery, Settings
 
 # Subject lines and priorities of the notification templates.
@@ -307,38 +308,54 @@ def resolved(history: DataFrame, current: DataFrame, as_of: datetime) -> DataFra
     )
 
 
-def _cooled(candidates: DataFrame, cooldown_seconds: int) -> DataFrame:
+# Seconds walked in one step of the cooldown. A type has one candidate per second, so a
+# task holds at most this many numbers (21 MB), however many alerts were raised.
+WALK_SECONDS = 30 * 86_400
+
+
+def _cooled(
+    candidates: DataFrame, cooldown_seconds: int, walk_seconds: int = WALK_SECONDS
+) -> DataFrame:
     """Per alert type, the seconds in which an alert may be sent.
 
     Each send blocks the following ``cooldown_seconds``; the next send is the first
-    candidate after that. ``candidates`` holds one row per (type, second): however many
-    alerts were raised, a type has at most 86,400 values per day, 7.8 million (62 MB) over
-    the 90 days the history is kept.
+    candidate after that. ``candidates`` holds one row per (type, second). Stretches of
+    ``walk_seconds`` are walked one after the other; from one to the next only the last
+    send of each type is carried.
     """
-    start = F.struct(
-        F.lit(-cooldown_seconds).cast("bigint").alias("last"),
-        F.array().cast("array<bigint>").alias("sent"),
-    )
+    candidates = stored(candidates, "candidates")
+    span = candidates.agg(F.min("second").alias("lo"), F.max("second").alias("hi")).first()
+    if span.lo is None:
+        return candidates
+    free = F.lit(span.lo - cooldown_seconds).cast("bigint")
 
     def step(acc: Column, second: Column) -> Column:
-        free = second >= acc["last"] + F.lit(cooldown_seconds)
-        return F.when(
-            free,
-            F.struct(
-                second.alias("last"), F.concat(acc["sent"], F.array(second)).alias("sent")
-            ),
-        ).otherwise(acc)
-
-    walked = (
-        candidates.groupBy("alert_type")
-        .agg(F.sort_array(F.collect_list("second")).alias("_seconds"))
-        .select("alert_type", F.aggregate("_seconds", start, step).alias("_walk"))
-    )
-    return walked.select("alert_type", F.explode("_walk.sent").alias("second"))
+        send = F.struct(second.alias("last"), F.concat(acc["sent"], F.array(second)).alias("sent"))
+        return F.when(second >= acc["last"] + F.lit(cooldown_seconds), send).otherwise(acc)
+
+    nothing = F.array().cast("array<bigint>")
+    last_sent, walks = None, []
+    for start in range(span.lo, span.hi + 1, walk_seconds):
+        stretch = candidates.filter(F.col("second").between(start, start + walk_seconds - 1))
+        lists = stretch.groupBy("alert_type").agg(
+            F.sort_array(F.collect_list("second")).alias("seconds")
+        )
+        if last_sent is None:
+            entry = lists.withColumn("last", free)
+        else:
+            entry = lists.join(last_sent, "alert_type", "full_outer")
+        begin = F.struct(F.coalesce("last", free).alias("last"), nothing.alias("sent"))
+        walk = F.aggregate(F.coalesce("seconds", nothing), begin, step)
+        walked = cut(entry.select("alert_type", walk.alias("walk")).select("alert_type", "walk.*"))
+        last_sent = walked.select("alert_type", "last")
+        walks.append(walked.select("alert_type", F.explode("sent").alias("second")))
+    return reduce(DataFrame.unionByName, walks)
 
 
 def outbox(
-    alerts: DataFrame, delivery: Delivery = DEFAULTS.delivery
+    alerts: DataFrame,
+    delivery: Delivery = DEFAULTS.delivery,
+    walk_seconds: int = WALK_SECONDS,
 ) -> DataFrame:
     """Notifications to send: critical alerts, after cooldown and hourly limit, per channel.
 
@@ -355,7 +372,9 @@ def outbox(
         )
     )
     sent = spoken.join(
-        _cooled(spoken.select("alert_type", "second"), delivery.cooldown_minutes * 60),
+        _cooled(
+            spoken.select("alert_type", "second"), delivery.cooldown_minutes * 60, walk_seconds
+        ),
         ["alert_type", "second"],
     ).select("alert_type", "second", "_first.*", "merged_alerts")
     # After the cooldown an hour holds few alerts per type.
