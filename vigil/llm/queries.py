@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm.common import table
+from vigil.llm.contamination import find_contamination
 from vigil.llm.substring import strip_repeats
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +67,66 @@ FROM docs d LEFT JOIN kept k USING (doc_id)
 @query("op1_substring_dedup", OP1_SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return strip_repeats(docs, min_words=20).select(
+    return strip_repeats(docs, min_words=20, with_text=False).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256")
     )
+
+
+OP2_SQL = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(lower_ascii, '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM (
+    SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz') AS lower_ascii
+    FROM benchmark
+  )
+),
+item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n,
+         array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS seq
+  FROM (
+    SELECT item_id, words,
+           unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+    FROM item_words WHERE len(words) > 0
+  )
+),
+docs AS (
+  SELECT doc_id, regexp_extract_all(lower_ascii, '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS lower_ascii
+    FROM documents
+  )
+),
+places AS (
+  SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM docs
+),
+hits AS (
+  SELECT DISTINCT p.doc_id, p.i, w.n, w.item_id
+  FROM (
+    SELECT doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS seq
+    FROM places, (SELECT DISTINCT n FROM item_windows)
+    WHERE i + n - 1 <= len(words)
+  ) p JOIN item_windows w ON p.seq = w.seq AND p.n = w.n
+),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM hits) GROUP BY doc_id
+),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+@query("op2_benchmark_decontamination", OP2_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    benchmark = table(spark, folder, "benchmark")
+    found = find_contamination(docs, benchmark, n=10, with_text=False)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")

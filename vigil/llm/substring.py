@@ -269,20 +269,20 @@ _RESULT = [
 ]
 
 
-def _with(batch: pa.RecordBatch, n_columns: int, sizes, removed, kept) -> pa.RecordBatch:
+def _with(batch: pa.RecordBatch, names: list[str], sizes, removed, kept) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
-            *batch.columns[:n_columns],
+            *(batch.column(batch.schema.get_field_index(name)) for name in names),
             pa.array(sizes, pa.int64()),
             pa.array(removed, pa.int64()),
             pa.array(kept, pa.string()),
         ],
-        names=[*batch.schema.names[:n_columns], "n_words", "n_removed", "kept"],
+        names=[*names, "n_words", "n_removed", "kept"],
     )
 
 
-def _strip(n: int):
-    """Applies the spans, the last column, to the text; passes the other columns on."""
+def _strip(n: int, names: list[str]):
+    """Applies the spans, the last column, to the text; passes the columns named on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,7 +294,7 @@ def _strip(n: int):
                 sizes.append(size)
                 removed.append(int(gone.sum()))
                 kept.append(joined(words, i, ~gone).decode())
-            yield _with(batch, batch.num_columns - 1, sizes, removed, kept)
+            yield _with(batch, names, sizes, removed, kept)
 
     return run
 
@@ -341,10 +341,12 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, hot: int =
     )
 
 
-def strip_repeats(docs: DataFrame, min_words: int = 20, hot: int = HOT) -> DataFrame:
+def strip_repeats(
+    docs: DataFrame, min_words: int = 20, hot: int = HOT, with_text: bool = True
+) -> DataFrame:
     """Rows of ``docs`` with ``n_words``, ``n_removed`` and ``kept``: the words outside of all
     windows of ``min_words`` words that occur earlier in the corpus, joined by one space.
-    Input columns of these three names are replaced.
+    Input columns of these three names are replaced; without ``with_text`` the text is left out.
 
     Windows are judged on the input: what is removed still counts as an earlier occurrence.
     """
@@ -353,8 +355,9 @@ def strip_repeats(docs: DataFrame, min_words: int = 20, hot: int = HOT) -> DataF
     spans = repeated_spans(rows, scratch, min_words, hot)
     rest = docs.drop(*(f.name for f in _RESULT))
     joined_up = rows.select(*rest.columns, ROW).join(spans, ROW, "left")
+    kept = [f for f in rest.schema if with_text or f.name != "text"]
     return joined_up.select(*rest.columns, SPANS).mapInArrow(
-        _strip(min_words), StructType(rest.schema.fields + _RESULT)
+        _strip(min_words, [f.name for f in kept]), StructType(kept + _RESULT)
     )
 
 
@@ -408,7 +411,7 @@ def strip_reference(
                 sizes.append(len(words))
                 removed.append(int(gone.sum()))
                 kept.append(joined(texts, i, ~gone).decode())
-            yield _with(batch, batch.num_columns, sizes, removed, kept)
+            yield _with(batch, batch.schema.names, sizes, removed, kept)
 
     rest = docs.drop(*(f.name for f in _RESULT))
     return rest.mapInArrow(run, StructType(rest.schema.fields + _RESULT))
