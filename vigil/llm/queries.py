@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import table
 from vigil.llm.contamination import find_contamination
+from vigil.llm.packing import pack_documents
 from vigil.llm.substring import strip_repeats
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +131,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = table(spark, folder, "benchmark")
     found = find_contamination(docs, benchmark, n=10, with_text=False)
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op10_best_fit_packing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), size=4096, end_id=1)
