@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import table
 from vigil.llm.contamination import find_contamination
+from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack_documents
 from vigil.llm.substring import strip_repeats
 
@@ -133,6 +134,49 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+OP7_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id,
+         CASE WHEN len(words) = 1 THEN words[1] ELSE words[i] || ' ' || words[i + 1] END AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words), 2))) AS i
+        FROM docs WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+near AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM near JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * near.n >= 80 * (x.n + y.n - near.n)
+),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM docs
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN both_ways l ON r.b = l.a
+),
+least_ids AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component_id,
+       d.doc_id = c.component_id AS kept
+FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN least_ids c USING (doc_id)
+"""
+
+
+@query("op7_minhash_neardup", OP7_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = near_duplicates(docs, shingle=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), size=4096, end_id=1)
