@@ -12,6 +12,8 @@ from vigil.llm.contamination import find_contamination
 from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack_documents
 from vigil.llm.substring import strip_repeats
+from vigil.llm.warc import read_archives, write_archives
+from vigil.plans.scratch import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -177,6 +179,36 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+OP9_SQL = r"""
+WITH bodies AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+),
+hashed AS (
+  SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex,
+         min(page_id) OVER (PARTITION BY html) AS response
+  FROM bodies
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(hex, (k // 4 * 5 + 1)::INTEGER, 5))::INTEGER
+           >> (15 - 5 * (k % 4))::INTEGER) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id > response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > response THEN response END AS refers_to
+FROM hashed
+"""
+
+
+@query("op9_warc_revisits", OP9_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    path = scratch_path(spark, "warc")
+    write_archives(pages, path, min_bytes=0)
+    return read_archives(spark, path, with_body=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), size=4096, end_id=1)
