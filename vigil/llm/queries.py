@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import toxicity
+from vigil.llm import quality, toxicity
 from vigil.llm.common import table
 from vigil.llm.contamination import find_contamination
 from vigil.llm.neardup import near_duplicates
@@ -137,6 +137,16 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    fold = toxicity.fold(F.col("doc_id"), 3)
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    field = quality.fit(docs, labels.filter(fold != 1))
+    scored = quality.score(docs, field, with_text=False)
+    return scored.select("doc_id", (fold == 1).alias("held_out"), "score", "predicted")
+
+
 @query("op6_toxicity")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
