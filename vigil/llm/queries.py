@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import quality, toxicity
-from vigil.llm.common import table
+from vigil.llm.common import Scratch, table
 from vigil.llm.contamination import find_contamination
 from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack_documents
+from vigil.llm.simhash import compare_neighbours, near_fingerprints
 from vigil.llm.substring import strip_repeats
 from vigil.llm.warc import read_archives, write_archives
 from vigil.plans.scratch import scratch_path
@@ -147,6 +148,22 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (fold == 1).alias("held_out"), "score", "predicted")
 
 
+@query("op5_document_fingerprints")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """``n_near``: for ids divisible by 20, how many other documents have a fingerprint within
+    the radius; null for the rest."""
+    docs = table(spark, folder, "documents")
+    compared = Scratch(spark).put(compare_neighbours(docs), "fingerprints")
+    asked = compared.filter("doc_id % 20 = 0")
+    near = near_fingerprints(compared.select("fingerprint"), asked)
+    counts = near.groupBy(F.col("query").alias("fingerprint")).agg(
+        (F.sum("n") - 1).alias("n_near")
+    )
+    counted = asked.join(counts, "fingerprint", "left").select(*compared.columns, "n_near")
+    rest = compared.filter("doc_id % 20 <> 0 or doc_id is null")
+    return counted.unionByName(rest.withColumn("n_near", F.lit(None).cast("long")))
+
+
 @query("op6_toxicity")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
