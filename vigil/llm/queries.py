@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from vigil.llm import quality, toxicity
 from vigil.llm.common import Scratch, table
 from vigil.llm.contamination import find_contamination
+from vigil.llm.html import extract
+from vigil.llm.html import fit as fit_html
 from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack_documents
 from vigil.llm.simhash import compare_neighbours, near_fingerprints
@@ -217,6 +219,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op8_html_extraction")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return extract(pages, fit_html(pages), with_html=False)
+
+
 OP9_SQL = r"""
 WITH bodies AS (
   SELECT page_id, coalesce(html, '') AS html FROM pages
