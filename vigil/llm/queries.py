@@ -16,6 +16,7 @@ from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack_documents
 from vigil.llm.simhash import compare_neighbours, near_fingerprints
 from vigil.llm.substring import strip_repeats
+from vigil.llm.tokencount import scan_files, stitch, write_tokens
 from vigil.llm.warc import read_archives, write_archives
 from vigil.plans.scratch import scratch_path
 
@@ -140,6 +141,19 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as flat files of 16-bit ids; the counts come from the files alone."""
+    path = scratch_path(spark, "tokens")
+    write_tokens(table(spark, folder, "documents"), path)
+    counts = stitch(scan_files(spark, path))
+    number = F.regexp_extract("file", r"part-(\d+)-.*-c(\d+)", 1).cast("int")
+    part = F.regexp_extract("file", r"part-(\d+)-.*-c(\d+)", 2).cast("int")
+    return counts.select(
+        number.alias("file"), part.alias("part"), "document", "start", "n_tokens"
+    )
+
+
 @query("op4_quality_classifier")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
