@@ -1,12 +1,75 @@
-"""A corpus pipeline: each stage works on what its predecessor kept."""
+"""A corpus pipeline: each stage works on what its predecessor kept.
+
+    toxicity            documents scored as toxic go
+    near_dedup          of near-duplicates (five-word shingles, similarity 0.8) one stays
+    substring_dedup     runs of 30 words that occur earlier in the corpus are cut out
+    decontamination     documents that hold a benchmark window of 10 words go
+    packing             what is left becomes sequences of at most 4096 tokens
+
+All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigil.llm import toxicity
+from vigil.llm.common import Scratch, ready, table
+from vigil.llm.contamination import remove_contaminated
+from vigil.llm.neardup import drop_near_duplicates
+from vigil.llm.packing import pack_documents
+from vigil.llm.substring import strip_repeats
+
+REPEATED_WORDS = 30
+BENCHMARK_WORDS = 10
+SEQUENCE_TOKENS = 4096
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is below 0.5; the classifier learns from ``labels``."""
+    ready(spark)
+    known = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.score(docs, toxicity.fit(known, labels))
+    return scored.filter("predicted = 0").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each group of near-duplicates."""
+    ready(spark)
+    return drop_near_duplicates(docs, shingle=5, percent=80)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated passages; texts without any stay as they are."""
+    ready(spark)
+    stripped = strip_repeats(docs, min_words=REPEATED_WORDS)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long"))
+    n_chars = n_chars.otherwise(F.col("n_chars"))
+    return stripped.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of any benchmark item."""
+    ready(spark)
+    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"), n=BENCHMARK_WORDS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of token sequences."""
+    ready(spark)
+    return pack_documents(docs, size=SEQUENCE_TOKENS, end_id=1)
 
-from vigil.llm.common import Scratch, table
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 # Models and packing are not SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
