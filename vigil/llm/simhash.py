@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import ROW, Scratch, keyed
@@ -182,11 +182,26 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
     )
 
 
-def _as_longs(column: str) -> list:
-    """A fingerprint in hexadecimal as numbers of 32 bits."""
-    return [
-        F.conv(F.substring(column, 8 * i + 1, 8), 16, 10).cast("long") for i in range(2 * LONGS)
-    ]
+def _long(column: str, i: int) -> Column:
+    """The i-th 64 bits of a fingerprint in hexadecimal."""
+    high, low = (F.conv(F.substring(column, at, 8), 16, 10).cast("long")
+                 for at in (16 * i + 1, 16 * i + 9))
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
+def _masks(blocks: int) -> list[list[tuple[int, int]]]:
+    """For each block of bits: the numbers of the longs that it touches, with its bits there."""
+    edges = [BITS * i // blocks for i in range(blocks + 1)]
+    out = []
+    for a, b in zip(edges, edges[1:]):
+        touched = []
+        for i in range(LONGS):
+            low, high = max(a, 64 * i) - 64 * i, min(b, 64 * i + 64) - 64 * i
+            if low < high:
+                mask = ((1 << (high - low)) - 1) << low
+                touched.append((i, mask - (1 << 64) if mask >> 63 else mask))
+        out.append(touched)
+    return out
 
 
 def near_fingerprints(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -198,35 +213,36 @@ def near_fingerprints(prints: DataFrame, queries: DataFrame, radius: int = RADIU
     """
     if not 0 <= radius < 32:
         raise ValueError("radius must be from 0 to 31")
-    blocks = radius + 1
-    bits = [F.lpad(F.conv(F.substring("fingerprint", 16 * i + 1, 16), 16, 2), 64, "0")
-            for i in range(LONGS)]
-    edges = [BITS * i // blocks for i in range(blocks + 1)]
+    masks = _masks(radius + 1)
+    longs = [f"f{i}" for i in range(LONGS)]
 
     def tables(rows: DataFrame) -> DataFrame:
-        joined = rows.withColumn("bits", F.concat(*bits))
-        keys = [F.substring("bits", a + 1, b - a) for a, b in zip(edges, edges[1:])]
-        return joined.select(
-            *rows.columns,
-            F.array(*keys).alias("blocks"),
-            F.array(*_as_longs("fingerprint")).alias("numbers"),
-        ).select("*", F.posexplode("blocks").alias("block", "key"))
+        rows = rows.select("n", *(_long("fingerprint", i).alias(longs[i]) for i in range(LONGS)))
+        keys = [
+            F.xxhash64(F.lit(j), *(F.col(longs[i]).bitwiseAND(F.lit(mask)) for i, mask in touched))
+            for j, touched in enumerate(masks)
+        ]
+        return rows.select("*", F.posexplode(F.array(*keys)).alias("block", "key"))
+
+    def text(side: str) -> Column:
+        return F.concat(*(F.lpad(F.lower(F.hex(f"{side}.{f}")), 16, "0") for f in longs))
 
     entries = tables(prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))).alias("e")
-    asked = tables(queries.select("fingerprint").distinct()).alias("q")
-    distance = sum(
-        F.bit_count(F.col("e.numbers")[i].bitwiseXOR(F.col("q.numbers")[i]))
-        for i in range(2 * LONGS)
-    )
-    earlier = F.exists(
-        F.slice(F.zip_with("e.blocks", "q.blocks", lambda x, y: x == y), 1, F.col("q.block")),
-        lambda same: same,
-    )
-    met = (F.col("e.block") == F.col("q.block")) & (F.col("e.key") == F.col("q.key"))
-    pairs = asked.join(entries, met & (distance <= radius) & ~earlier)
+    asked = queries.select("fingerprint").distinct().withColumn("n", F.lit(1))
+    asked = tables(asked).alias("q")
+    differ = [F.col(f"e.{f}").bitwiseXOR(F.col(f"q.{f}")) for f in longs]
+    distance = sum(F.bit_count(d) for d in differ)
+    earlier = F.lit(False)
+    for j, touched in enumerate(masks[:-1]):
+        agree = F.col("q.block") > j
+        for i, mask in touched:
+            agree &= differ[i].bitwiseAND(F.lit(mask)) == 0
+        earlier |= agree
+    met = (F.col("e.key") == F.col("q.key")) & (F.col("e.block") == F.col("q.block"))
+    pairs = asked.hint("merge").join(entries, met & (distance <= radius) & ~earlier)
     return pairs.select(
-        F.col("q.fingerprint").alias("query"),
-        F.col("e.fingerprint").alias("fingerprint"),
+        text("q").alias("query"),
+        text("e").alias("fingerprint"),
         distance.cast("int").alias("distance"),
         F.col("e.n").alias("n"),
     )
