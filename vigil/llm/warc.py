@@ -1,9 +1,9 @@
 """WARC archives with resolved revisits, written and read by Spark jobs.
 
-Headers (payload digest, length, id) are grouped by digest and length, which combines before
-the shuffle however many copies a payload has; joined back, every record knows the first
-response of its payload. Records are then written with fresh headers: responses with their
-payload, revisits with a reference instead.
+Headers (payload digest, length, id) are shuffled by digest and length and joined to the first
+response of their payload. Only the revisits among them go on to the records, which move once.
+Records are written with fresh headers: responses with their payload, revisits with a reference
+instead.
 
 A WARC record of a text payload is text: header lines, an empty line, the payload, two line
 breaks. Spark's text writer with that double line break as separator therefore writes valid
@@ -46,26 +46,39 @@ def sha1_base32(payload: Column) -> Column:
     return F.concat(*digits)
 
 
-def resolve(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, url, html) with ``payload_bytes``, ``payload_digest``, ``record_type`` and
-    ``refers_to``: of equal payloads of at least ``min_bytes`` bytes the least id is the
-    response."""
-    html = F.coalesce("html", F.lit(""))
+_KEY = ["page_id", "payload_digest", "payload_bytes"]
+
+
+def _rows_of(pages: DataFrame) -> DataFrame:
+    """(page_id, url, html) with length and digest of the payload."""
     rows = pages.select(
-        F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html")
+        F.col("page_id").cast("long"),
+        F.col("url").cast("string"),
+        F.coalesce("html", F.lit("")).alias("html"),
     )
     rows = rows.withColumn("payload_bytes", F.octet_length("html").cast("long"))
-    rows = rows.withColumn("payload_digest", sha1_base32(F.col("html")))
-    key = ["payload_digest", "payload_bytes"]
-    first = rows.groupBy(*key).agg(F.min("page_id").alias("response"))
-    first = first.filter(F.col("payload_bytes") >= min_bytes)
-    joined = rows.join(first, key, "left")
-    again = F.col("page_id") > F.col("response")
-    return joined.select(
-        *rows.columns,
-        F.when(again, "revisit").otherwise("response").alias("record_type"),
-        F.when(again, F.col("response")).alias("refers_to"),
-    )
+    return rows.withColumn("payload_digest", sha1_base32(F.col("html")))
+
+
+def resolve(pages: DataFrame, min_bytes: int = 0, parts: int | None = None) -> DataFrame:
+    """(page_id, url, html) with ``payload_bytes``, ``payload_digest``, ``record_type`` and
+    ``refers_to``: of equal payloads of at least ``min_bytes`` bytes the least id is the
+    response.
+
+    Headers alone are grouped and joined; payloads move once, when each meets its reference,
+    dealt by id into ``parts`` partitions.
+    """
+    rows = _rows_of(pages)
+    headers = rows.select(*_KEY).filter(F.col("page_id").isNotNull()).distinct()
+    headers = headers.filter(F.col("payload_bytes") >= min_bytes)
+    payload = ["payload_digest", "payload_bytes"]
+    first = headers.groupBy(*payload).agg(F.min("page_id").alias("refers_to"))
+    again = headers.join(first, payload).filter("page_id > refers_to")
+    if parts:
+        rows = rows.repartition(parts, *_KEY)
+    joined = rows.join(again.select(*_KEY, "refers_to"), _KEY, "left")
+    kind = F.when(F.col("refers_to").isNotNull(), "revisit").otherwise("response")
+    return joined.select(*rows.columns, kind.alias("record_type"), "refers_to")
 
 
 def _record(resolved: DataFrame) -> Column:
@@ -100,8 +113,8 @@ def write_archives(
     ``file_bytes`` bytes of payload each below ``path``."""
     size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     files = max(1, -(-size // file_bytes))
-    resolved = resolve(pages, min_bytes)
-    records = resolved.select(_record(resolved).alias("value")).repartition(int(files))
+    resolved = resolve(pages, min_bytes, int(files))
+    records = resolved.select(_record(resolved).alias("value"))
     records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
