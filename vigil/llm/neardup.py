@@ -8,11 +8,13 @@ probability 1.3e-5 (fewer than two of 20 collections agree, each does with 0.8^3
 falls fast above (3e-9 at 0.9). Collections that no other set shares cannot form a shared key,
 so they are dropped before keys are paired.
 
-Candidates are never expanded into all pairs of a bucket. Each set is first compared with one
-hub (the least set of the bucket it shares most often), then with its other hubs, and last with
-the members of its buckets that are still in another component, leaving out the component of the
-bucket's hub as one side. All links are confirmed on the full sets of 64-bit shingle hashes.
-Components come from alternating large-star and small-star steps.
+Candidates are never expanded into all pairs of a bucket. A shingle that no other candidate has
+cannot be in an intersection; counting those bounds the similarity of a set to any other, which
+rules out sets and pairs exactly. The set of a bucket with the fewest shingles of its own is its
+hub, and all others are compared with it. What is then still in another component than a hub is compared with the members of such buckets
+through their rarest shingles: prefix and positional filters rule out all pairs but a few,
+exactly. All links are confirmed on the full sets of 64-bit shingle hashes. Components come from
+alternating large-star and small-star steps.
 
 Defined cases: null texts and texts without words have an empty set, linked with nothing; with
 fewer words than a shingle the whole sequence is the one shingle; rows that repeat an id are
@@ -33,6 +35,7 @@ from vigil.llm.words import Words, mix, runs, split
 
 HALVES = 20
 HALF = 3
+_FOUND = "__component__"
 
 _SIGNED = "row long, n long, set_a long, set_b long, halves array<long>"
 
@@ -114,6 +117,18 @@ def _sets(k: int):
     return run
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, row) for every member of every set."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 100):
+            part = batch.slice(start, 100)
+            sets = [np.frombuffer(s.as_buffer(), dtype=np.int64) for s in part.column(1)]
+            rows = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(sets)), pa.array(rows)], names=["h", "row"]
+            )
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +155,7 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     them; the number of steps grows with the logarithm of the longest path.
     """
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    links, before, step = links.filter("u <> v").distinct(), None, 0
+    links, step = links.filter("u <> v").distinct(), 0
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -156,13 +171,11 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
             .distinct()
         )
         links = scratch.put(links, f"{label}-{step}")
-        mark = F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31)))
-        now = tuple(links.agg(F.count(F.lit(1)), mark).first())
         if step:
             scratch.drop(f"{label}-{step - 1}")
-        if now == before:
-            break
-        before, step = now, step + 1
+        if links.join(links.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
+            break  # no centre has a centre: every component is a star
+        step += 1
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
@@ -177,18 +190,14 @@ class _Links:
         self.rounds = 0
 
     def test(self, pairs: DataFrame) -> None:
-        """Confirm pairs (a < b) that are not in one component and not tested yet."""
+        """Confirm pairs (x, y) that are not tested yet."""
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        pairs = pairs.distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested.select("a", "b"), ["a", "b"], "left_anti")
-        left = self.sets.select(F.col("row").alias("a"), F.col("n").alias("na"), "set")
-        right = self.sets.select(F.col("row").alias("b"), F.col("n").alias("nb"), "set")
-        ratio = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
-        sizes = pairs.join(left.select("a", "na"), "a").join(right.select("b", "nb"), "b")
         both = (
-            sizes.filter(ratio)
-            .select("a", "b")
-            .join(left.select("a", F.col("set").alias("left")), "a")
-            .join(right.select("b", F.col("set").alias("right")), "b")
+            pairs.join(self.sets.select(F.col("row").alias("a"), F.col("set").alias("left")), "a")
+            .join(self.sets.select(F.col("row").alias("b"), F.col("set").alias("right")), "b")
             .select("a", "b", "left", "right")
         )
         self.rounds += 1
@@ -202,12 +211,11 @@ class _Links:
     def label(self, rows: DataFrame, column: str, out: str) -> DataFrame:
         """Adds the component of ``column``; a node without links is its own."""
         labels = self.labels.withColumnsRenamed({"node": column, "component": out})
-        joined = rows.join(labels, column, "left")
-        return joined.withColumn(out, F.coalesce(out, column))
+        return rows.join(labels, column, "left").withColumn(out, F.coalesce(out, column))
 
 
-def _buckets(reps: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, row, hub) of every table key that several sets share."""
+def _keys(reps: DataFrame, scratch: Scratch) -> DataFrame:
+    """(row, key) of every table key made of collections that several sets share."""
     half = reps.select("row", F.posexplode("halves").alias("t", "h"))
     half = half.select("row", F.xxhash64("t", "h").alias("h"))
     shared = half.groupBy("h").count().filter("count > 1").select("h")
@@ -224,45 +232,86 @@ def _buckets(reps: DataFrame, scratch: Scratch) -> DataFrame:
             F.slice("hs", i + 2, F.size("hs")), lambda y: F.xxhash64(x, y)
         ),
     )
-    keys = scratch.put(several.select("row", F.explode(F.flatten(pair)).alias("key")), "keys")
-    hubs = (
-        keys.groupBy("key")
-        .agg(F.min("row").alias("hub"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .drop("n")
-    )
-    hubs = scratch.put(hubs, "hubs")
-    buckets = scratch.put(keys.join(hubs, "key"), "buckets")
-    scratch.drop("keys", "halves", "hubs")
-    return buckets
+    return scratch.put(several.select("row", F.explode(F.flatten(pair)).alias("key")), "keys")
+
+
+def _possible(percent: int, x: str, y: str):
+    """Whether two sets can be linked, going by sizes ``n`` and sizes without own shingles ``e``."""
+    most = F.least(f"{x}.e", f"{y}.e")
+    return (100 + percent) * most >= percent * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
 def _link(rows: DataFrame, reps: DataFrame, k: int, percent: int, scratch: Scratch):
     """Components of the classes' representatives, or None without candidates."""
-    buckets = _buckets(reps, scratch)
-    if buckets.isEmpty():
+    keys = _keys(reps, scratch)
+    if keys.isEmpty():
         return None
-    wanted = scratch.put(buckets.select("row").distinct(), "wanted")
-    texts = rows.select(F.col(ROW).alias("row"), "text").join(wanted, "row")
+    texts = rows.select(F.col(ROW).alias("row"), "text")
+    texts = texts.join(keys.select("row").distinct(), "row")
     sets = texts.select("row", "text").mapInArrow(_sets(k), "row long, set binary")
-    sets = scratch.put(sets.withColumn("n", F.expr("length(set) div 8")), "sets")
+    sets = scratch.put(sets, "sets")
+
+    listed = sets.mapInArrow(_members, "h long, row long")
+    holders = listed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
+    own = holders.filter("n = 1").groupBy("row").agg(F.count(F.lit(1)).alias("own"))
+    sizes = sets.select("row", F.expr("length(set) div 8").alias("n")).join(own, "row", "left")
+    sizes = sizes.select("row", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("e"))
+    sizes = scratch.put(sizes.filter(100 * F.col("e") >= percent * F.col("n")), "sizes")
+
+    sized = scratch.put(keys.join(sizes, "row").select("key", F.struct("row", "n", "e").alias("x")), "sized")
+    hubs = sized.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min(F.struct((-F.col("x.e") / F.col("x.n")).alias("r"), "x")).alias("least"),
+    )
+    hubs = scratch.put(hubs.filter("members > 1").select("key", F.col("least.x").alias("hub")), "hubs")
+    placed = scratch.put(sized.join(hubs, "key"), "placed")
     links = _Links(sets, scratch, percent)
 
-    with_hub = buckets.filter("row <> hub").groupBy("row", "hub").count()
-    with_hub = scratch.put(with_hub, "with_hub")
-    best = with_hub.groupBy("row").agg(F.max(F.struct("count", -F.col("hub"))).alias("best"))
-    links.test(best.select((-F.col("best.col2")).alias("a"), F.col("row").alias("b")))
+    with_hub = placed.filter("x.row <> hub.row").filter(_possible(percent, "x", "hub"))
+    links.test(with_hub.select(F.col("x.row").alias("x"), F.col("hub.row").alias("y")))
+
+    members = placed.select("key", "x", F.col("x.row").alias("xr"), F.col("hub.row").alias("hr"))
+    members = links.label(links.label(members, "xr", "c"), "hr", "hub_c")
+    members = scratch.put(members.select("key", "x.row", "c", "hub_c"), "members")
+    apart = members.filter("c <> hub_c")
+    minor = apart.select("row").distinct().withColumn("minor", F.lit(True))
+    mates = members.join(apart.select("key").distinct(), "key", "left_semi")
+    mates = mates.groupBy("row").agg(F.first("c").alias("c")).join(minor, "row", "left")
+    mates = scratch.put(mates.select("row", "c", F.coalesce("minor", F.lit(False)).alias("minor")), "mates")
+    links.test(_prefix_pairs(sets.join(mates, "row"), percent))
+    return links
+
 
-    other = links.label(links.label(with_hub, "row", "c1"), "hub", "c2").filter("c1 <> c2")
-    links.test(other.select(F.col("hub").alias("a"), F.col("row").alias("b")))
+def _prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of rows in different components, x a minor one, that prefix and positional
+    filters cannot rule out.
 
-    placed = links.label(links.label(buckets, "row", "c"), "hub", "hub_c")
-    placed = scratch.put(placed.select("key", "row", "c", "hub_c"), "placed")
-    outside = placed.filter("c <> hub_c").select("key", F.col("row").alias("x"), F.col("c").alias("cx"))
-    rest = outside.join(placed, "key").filter("cx <> c")
-    rest = rest.select(F.least("x", "row").alias("a"), F.greatest("x", "row").alias("b")).distinct()
-    links.test(rest)
-    return links
+    Shingles are ordered from rare to frequent. Linked sets share a shingle among the first
+    n - ceil(percent * n / 100) + 1 of each, and the first shared one leaves at most as many
+    common shingles as follow it in either.
+    """
+    n = F.expr("length(set) div 8")
+    info = rows.select("row", "c", "minor", n.cast("int").alias("n"))
+    listed = rows.select("row", "set").mapInArrow(_members, "h long, row long")
+    often = listed.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    ordered = (
+        listed.join(often, "h")
+        .groupBy("row")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("list"))
+        .join(info, "row")
+        .withColumn("own", F.col("n") - F.size("list"))
+        .withColumn("prefix", F.expr(f"n - ({percent} * n + 99) div 100 + 1 - own"))
+        .select("row", "c", "minor", "n", "own", F.expr("slice(list, 1, cast(greatest(prefix, 0) AS int))").alias("list"))
+        .select("row", "c", "minor", "n", "own", F.posexplode("list").alias("i", "w"))
+        .select("w.h", F.struct("row", "c", "minor", (F.col("n") - F.col("own") - F.col("i"))
+                                .alias("left"), "n").alias("x"))
+    )
+    other = ordered.withColumnRenamed("x", "y")
+    most = F.least("x.left", "y.left")
+    fits = (100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n"))
+    apart = F.col("x.minor") & (F.col("x.c") != F.col("y.c"))
+    pairs = ordered.filter("x.minor").join(other, "h").filter(apart & fits)
+    return pairs.select(F.col("x.row").alias("x"), F.col("y.row").alias("y"))
 
 
 def near_duplicates(
@@ -281,14 +330,15 @@ def near_duplicates(
     rows = keyed(docs, scratch)
     labelled = _labels(rows, shingle, percent, halves, half, scratch)
     rest = rows.drop("text", "n_shingles", "component_id", "kept")
-    out = rest.join(labelled.withColumnRenamed("row", ROW), ROW)
+    labelled = labelled.withColumnsRenamed({"row": ROW, "component": _FOUND})
+    out = rest.join(labelled, ROW)
     if "keyed" in scratch.paths:
-        ids = rows.select(F.col(ROW).alias("component"), F.col("doc_id").alias("component_id"))
-        out = out.join(ids, "component")
+        ids = rows.select(F.col(ROW).alias(_FOUND), F.col("doc_id").alias("component_id"))
+        out = out.join(ids, _FOUND)
     else:
-        out = out.withColumn("component_id", F.col("component"))
-    kept = F.col(ROW) == F.col("component")
-    return out.withColumn("kept", kept).drop(ROW, "component")
+        out = out.withColumn("component_id", F.col(_FOUND))
+    kept = F.col(ROW) == F.col(_FOUND)
+    return out.withColumn("kept", kept).drop(ROW, _FOUND)
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
