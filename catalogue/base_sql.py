@@ -196,8 +196,11 @@ VIEWS = {
                'c_' || event_id % 3 AS src_col, 'c_' || (event_id + k) % 3 AS dst_col,
                'nb_' || user_id % 10 AS notebook_id, 'job_' || user_id % 25 AS job_id,
                'run_' || event_id AS run_id
-        FROM (SELECT *, user_id % 150 AS s, (user_id % 150 * 7 + k * 31 + 1) % 150 AS d
-              FROM ev WHERE k < 3)""",
+        FROM (SELECT *, block + i AS s, block + (i * 7 + k % 3 * 31 + 1) % 140 + 10 AS d
+              FROM (SELECT *, user_id - user_id % 150 AS block,
+                           CASE WHEN user_id % 150 >= 140 THEN user_id % 150 - 10
+                                ELSE user_id % 150 END AS i
+                    FROM ev))""",
     "edge": "SELECT DISTINCT src, dst FROM lin",
     "cedge": """
         SELECT DISTINCT src || '#' || src_col AS src, dst || '#' || dst_col AS dst FROM lin""",
@@ -217,10 +220,10 @@ VIEWS = {
                  + to_days(CAST(p_partkey % 13 AS INTEGER)) AS updated_at
         FROM part""",
     "cls": """
-        SELECT CAST(DATE '2024-01-01' + CAST(l.doc_id % 30 AS INTEGER) AS TIMESTAMP)
+        SELECT CAST(DATE '2024-01-01' + CAST(d.doc_id % 30 AS INTEGER) AS TIMESTAMP)
                  AS window_start,
                lang AS model_id, CASE WHEN n_chars >= 500 THEN 1 ELSE 0 END AS p, quality AS y
-        FROM labels l JOIN documents d ON l.doc_id = d.doc_id""",
+        FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "reg": """
         SELECT l_shipdate AS window_start, p_brand AS model_id,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS y,

@@ -35,8 +35,8 @@ def _column(name: str, kind: str, source: str, keys: str = "", distinct: bool =
         f"count(*) - count({name}) AS null_count",
         f"{pct(f'count(*) - count({name})', 'count(*)')} AS null_percentage",
         *([f"count(DISTINCT {name}) AS num_distinct"] if distinct else []),
-        (f"CAST(min({name}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)") + ' AS "min"',
-        (f"CAST(max({name}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)") + ' AS "max"',
+        (f"CAST(min({name}) AS DOUBLE) + 0.0" if number else "CAST(NULL AS DOUBLE)") + ' AS "min"',
+        (f"CAST(max({name}) AS DOUBLE) + 0.0" if number else "CAST(NULL AS DOUBLE)") + ' AS "max"',
         (f"CAST(min({name}) AS VARCHAR)" if text else "CAST(NULL AS VARCHAR)") + " AS min_text",
         (f"CAST(max({name}) AS VARCHAR)" if text else "CAST(NULL AS VARCHAR)") + " AS max_text",
         (f"round(avg(CAST({name} AS DOUBLE)) + {OFF}, 4)" if number else "CAST(NULL AS DOUBLE)")
@@ -182,6 +182,11 @@ ALL_TABLES = {
         "p_partkey": "num", "p_name": "text", "p_brand": "text", "p_type": "text",
         "p_size": "num", "p_retailprice": "num",
     },
+    "lineitem": {
+        "l_orderkey": "num", "l_partkey": "num", "l_suppkey": "num", "l_linenumber": "num",
+        "l_quantity": "num", "l_extendedprice": "num", "l_discount": "num", "l_tax": "num",
+        "l_returnflag": "text", "l_linestatus": "text", "l_shipdate": "text",
+    },
     "documents": {
         "doc_id": "num", "text": "text", "lang": "text", "source": "text", "n_chars": "num",
     },
@@ -311,6 +316,42 @@ def _(spark, d):
     return _rounded(drift.consecutive(table(spark, d, "events"), "ts", "event_type"))
 
 
+_DAILY_BINS = f"""SELECT w, v, sum(b) AS b, sum(c) AS c FROM (
+      SELECT w, {_BIN} AS v, b, c FROM (
+        SELECT date_trunc('day', ts) AS w, value, 0 AS b, 1 AS c FROM events
+        UNION ALL SELECT date_trunc('day', ts) + INTERVAL 1 DAY, value, 1, 0 FROM events) e
+      JOIN (SELECT date_trunc('day', ts) + INTERVAL 1 DAY AS day, min(value) AS lo,
+              max(value) AS hi FROM events GROUP BY 1) r ON e.w = r.day) GROUP BY w, v"""
+
+
+@register(
+    "drift_consecutive_numeric",
+    _long(
+        _scores(
+            f"""SELECT CAST(w AS TIMESTAMP) AS window_start, * FROM (
+                SELECT w, v, b, c, sum(b) OVER (PARTITION BY w) AS nb,
+                sum(c) OVER (PARTITION BY w) AS nc FROM ({_DAILY_BINS})) WHERE nb > 0 AND nc > 0""",
+            "window_start",
+        ),
+        "value",
+        "window_start",
+    ),
+)
+def _(spark, d):
+    return _rounded(drift.consecutive_numeric(table(spark, d, "events"), "ts", "value"))
+
+
+@register(
+    "profile_monthly",
+    _profile(
+        "events", EVENT_COLUMNS,
+        "'1 month' AS granularity, CAST(date_trunc('month', ts) AS TIMESTAMP) AS window_start",
+    ),
+)
+def _(spark, d):
+    return _rounded(profile.time_series(_events(spark, d), "ts", ["1 month"]))
+
+
 @register(
     "drift_status",
     f"""SELECT *, CASE WHEN drift_score > threshold THEN 'DRIFT_DETECTED' ELSE 'NO_DRIFT' END
@@ -342,7 +383,7 @@ def _(spark, d):
 @register(
     "inference_confusion",
     """SELECT window_start, model_id, p AS prediction, y AS label, count(*) AS records
-        FROM cls GROUP BY ALL""",
+        FROM cls WHERE y IS NOT NULL GROUP BY ALL""",
 )
 def _(spark, d):
     return inference.confusion(testbed.classification_log(spark, d))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import ts_lit
-from vigil.operators.profile import window_seconds, window_start
+from vigil.operators.profile import next_window, window_start
 from vigil.plans.ordered import in_ranges, running_totals, with_next
 from vigil.settings import DEFAULTS
 
@@ -169,11 +169,41 @@ def consecutive(
     Every (window, value) count takes part twice: as the current side of its window and
     as the previous side of the next one. Windows are never joined with each other.
     """
-    start = window_start(ts, granularity).alias("window_start")
-    counts = df.groupBy(start, F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    later = F.col("window_start") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), F.lit(window_seconds(granularity))
+    pairs = _window_pairs(df, ts, F.col(column), granularity)
+    return _window_scores(pairs, "value", column, threshold)
+
+
+def consecutive_numeric(
+    df: DataFrame,
+    ts: str,
+    column: str,
+    granularity: str = "1 day",
+    bins: int = 20,
+    threshold: float = DEFAULTS.drift_threshold,
+) -> DataFrame:
+    """Binned share measures of each window against the window right before it.
+
+    Bins have equal width over the range of the earlier window, as in ``numeric``.
+    """
+    value = F.col(column).cast("double")
+    pairs = _window_pairs(df.filter(value.isNotNull()), ts, value, granularity)
+    # One row per window: the range of the window before it.
+    limits = pairs.filter("b > 0").groupBy(F.col("w").alias("_lw")).agg(
+        F.min("value").alias("_low"), F.max("value").alias("_high")
     )
+    placed = pairs.join(limits, F.col("w") == F.col("_lw"))
+    place = _bin(F.col("value"), F.col("_low"), F.col("_high"), bins)
+    binned = placed.groupBy("w", place.alias("bin")).agg(
+        F.sum("b").alias("b"), F.sum("c").alias("c")
+    )
+    return _window_scores(binned, "bin", column, threshold)
+
+
+def _window_pairs(df: DataFrame, ts: str, value: Column, granularity: str) -> DataFrame:
+    """(w, value, b, c): how often a value occurs in the window before w, and in w."""
+    start = window_start(ts, granularity).alias("window_start")
+    counts = df.groupBy(start, value.alias("value")).agg(F.count("*").alias("n"))
+    later = next_window(F.col("window_start"), granularity)
     none = F.lit(0).cast("bigint")
     sides = counts.select(
         "value",
@@ -186,7 +216,11 @@ def consecutive(
             )
         ),
     )
-    pairs = sides.groupBy("w", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+    return sides.groupBy("w", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+
+
+def _window_scores(pairs: DataFrame, by: str, column: str, threshold: float) -> DataFrame:
+    """Share measures per window over rows that are one per (w, ``by``)."""
     # One row per window.
     totals = pairs.groupBy(F.col("w").alias("_w")).agg(
         F.sum("b").alias("_nb"), F.sum("c").alias("_nc")

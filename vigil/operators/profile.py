@@ -201,20 +201,37 @@ def sliced(
     return _completed(profile, spread, keys, names, distinct)
 
 
-def window_start(ts: str, granularity: str) -> Column:
-    """Start of the fixed-length window (counted from 1970-01-01) that holds ``ts``."""
-    seconds = F.lit(window_seconds(granularity))
-    epoch = F.unix_timestamp(ts)
-    return F.timestamp_seconds(epoch - F.pmod(epoch, seconds)).cast("timestamp_ntz")
-
-
-# Lengths of the window units in seconds.
+# Lengths of the window units, in seconds or in calendar months.
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+UNIT_MONTHS = {"month": 1, "quarter": 3, "year": 12}
 
 
-def window_seconds(granularity: str) -> int:
+def _length(granularity: str) -> tuple[int, int]:
+    """Months and seconds of a window; one of them is zero."""
     count, unit = granularity.split()
-    return int(count) * UNIT_SECONDS[unit.rstrip("s")]
+    unit = unit.rstrip("s")
+    if unit not in UNIT_SECONDS and unit not in UNIT_MONTHS:
+        raise ValueError(f"unknown window: {granularity}")
+    return int(count) * UNIT_MONTHS.get(unit, 0), int(count) * UNIT_SECONDS.get(unit, 0)
+
+
+def window_start(ts: str, granularity: str) -> Column:
+    """Start of the window that holds ``ts``; windows are counted from 1970-01-01."""
+    months, seconds = _length(granularity)
+    if months:
+        month = (F.year(ts) - 1970) * 12 + F.month(ts) - 1
+        first = month - F.pmod(month, F.lit(months))
+        return F.add_months(F.lit("1970-01-01").cast("date"), first).cast("timestamp_ntz")
+    epoch = F.unix_timestamp(ts)
+    return F.timestamp_seconds(epoch - F.pmod(epoch, F.lit(seconds))).cast("timestamp_ntz")
+
+
+def next_window(start: Column, granularity: str) -> Column:
+    """Start of the window after the one that begins at ``start``."""
+    months, seconds = _length(granularity)
+    if months:
+        return F.add_months(start.cast("date"), months).cast("timestamp_ntz")
+    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
 
 
 @dataclass(frozen=True)

@@ -12,6 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil import schemas
 from vigil.functions.exprs import money
 
 # Reference times of the mapped tables.
@@ -266,9 +267,19 @@ def _full_name(node: Column) -> Column:
     return F.concat(_s("cat_", node % 3), _s(".sch_", node % 5), _s(".t_", node))
 
 
+def _lineage_ends() -> tuple[Column, Column]:
+    """Every event is a read of one table for another: a table per user, three outgoing edges
+    each, within neighbourhoods of NODES tables. Tables and edges grow with the users. The
+    first ten tables of a neighbourhood are only read, its last ten are only written."""
+    inside = F.col("user_id") % NODES
+    block = F.col("user_id") - inside
+    inside = F.when(inside >= NODES - 10, inside - 10).otherwise(inside)
+    target = (inside * 7 + F.col("k") % 3 * 31 + 1) % (NODES - 10) + 10
+    return block + inside, block + target
+
+
 def table_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = F.col("user_id") % NODES
-    dst = (src * 7 + F.col("k") * 31 + 1) % NODES
+    src, dst = _lineage_ends()
     parts = {}
     for side, node in (("source", src), ("target", dst)):
         parts[f"{side}_table_full_name"] = _full_name(node)
@@ -277,7 +288,6 @@ def table_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts[f"{side}_table_name"] = _s("t_", node)
     return (
         _events(spark, sf_dir)
-        .filter(F.col("k") < 3)
         .select(
             *[col.alias(name) for name, col in parts.items()],
             F.upper("event_type").alias("source_type"),
@@ -291,11 +301,9 @@ def table_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def column_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = F.col("user_id") % NODES
-    dst = (src * 7 + F.col("k") * 31 + 1) % NODES
+    src, dst = _lineage_ends()
     return (
         _events(spark, sf_dir)
-        .filter(F.col("k") < 3)
         .select(
             _full_name(src).alias("source_table_full_name"),
             _s("c_", F.col("event_id") % 3).alias("source_column_name"),
@@ -337,6 +345,7 @@ def rules_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("created_at"),
         (created + F.make_dt_interval((key % 13).cast("int"))).alias("updated_at"),
         F.create_map(F.lit("p_type"), F.col("p_type")).alias("tags"),
+        F.lit(None).cast(schemas.RULE_ARGUMENTS).alias("arguments"),
     )
 
 
@@ -344,7 +353,7 @@ def classification_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int"))
-    return labels.join(docs, "doc_id").select(
+    return docs.join(labels, "doc_id", "left").select(
         day.cast("timestamp_ntz").alias("ts"),
         F.col("lang").alias("model_id"),
         (F.col("n_chars") >= 500).cast("int").alias("prediction"),
