@@ -10,17 +10,19 @@ from vigil.functions.exprs import severity_rank, ts_lit
 from vigil.operators import lineage, quality, rules
 from vigil.operators.expectations import Expectation, counts
 from vigil.operators.rules import Templates, to_expectation
+from vigil.plans.scratch import scratch_path
 from vigil.sources import testbed
 from vigil.sources.testbed import EVENTS_AS_OF, QUALITY_AS_OF, table
 
 NOW = datetime(2024, 3, 1)
+SHIPPED = date(2001, 7, 31)
 NOW_SQL = "TIMESTAMP '2024-03-01 00:00:00'"
 
 # ---------------------------------------------------------------- rule templates
 
 
 def _applied(spark, d, name: str, rule: dict, references=None):
-    return counts(table(spark, d, name), [to_expectation(rule)], references).drop(
+    return counts(table(spark, d, name), [to_expectation(rule, SHIPPED)], references).drop(
         "expectation_query"
     )
 
@@ -34,7 +36,7 @@ def _counted(name: str, action: str, condition: str, source: str) -> str:
 
 @register("rule_not_null", _counted("email_not_null", "warn", "email IS NOT NULL", "customers"))
 def _(spark, d):
-    rule = to_expectation(Templates.not_null("customers", "email"))
+    rule = to_expectation(Templates.not_null("customers", "email", now=NOW))
     return counts(testbed.bronze_customers(spark, d), [rule]).drop("expectation_query")
 
 
@@ -43,7 +45,8 @@ def _(spark, d):
     _counted("o_orderstatus_valid_values", "drop", "o_orderstatus IN ('O', 'F')", "orders"),
 )
 def _(spark, d):
-    return _applied(spark, d, "orders", Templates.valid_values("orders", "o_orderstatus", ["O", "F"]))
+    rule = Templates.valid_values("orders", "o_orderstatus", ["O", "F"], now=NOW)
+    return _applied(spark, d, "orders", rule)
 
 
 @register(
@@ -51,7 +54,8 @@ def _(spark, d):
     _counted("c_acctbal_range", "warn", "c_acctbal >= 0 AND c_acctbal <= 5000", "customer"),
 )
 def _(spark, d):
-    return _applied(spark, d, "customer", Templates.numeric_range("customer", "c_acctbal", 0, 5000))
+    rule = Templates.numeric_range("customer", "c_acctbal", 0, 5000, now=NOW)
+    return _applied(spark, d, "customer", rule)
 
 
 @register(
@@ -63,7 +67,7 @@ def _(spark, d):
         FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)""",
 )
 def _(spark, d):
-    rule = Templates.unique_values("lineitem", "l_orderkey", action="warn")
+    rule = Templates.unique_values("lineitem", "l_orderkey", action="warn", now=NOW)
     return _applied(spark, d, "lineitem", rule)
 
 
@@ -76,7 +80,7 @@ def _(spark, d):
 )
 def _(spark, d):
     pattern = r"^https?://[a-z0-9.-]+\.(com|org)/[a-z]{2}/"
-    return _applied(spark, d, "pages", Templates.regex_match("pages", "url", pattern))
+    return _applied(spark, d, "pages", Templates.regex_match("pages", "url", pattern, now=NOW))
 
 
 @register(
@@ -84,7 +88,7 @@ def _(spark, d):
     _counted("l_shipdate_freshness", "warn", "l_shipdate >= DATE '2001-07-01'", "lineitem"),
 )
 def _(spark, d):
-    rule = Templates.date_freshness("lineitem", "l_shipdate", date(2001, 7, 31), 30)
+    rule = Templates.date_freshness("lineitem", "l_shipdate", 30, now=NOW)
     return _applied(spark, d, "lineitem", rule)
 
 
@@ -96,7 +100,9 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    rule = Templates.referential_integrity("orders", "o_custkey", "customers_in_credit", "c_custkey")
+    rule = Templates.referential_integrity(
+        "orders", "o_custkey", "customers_in_credit", "c_custkey", now=NOW
+    )
     refs = {"customers_in_credit": inputs.customers_in_credit(spark, d)}
     return _applied(spark, d, "orders", rule, refs)
 
@@ -107,7 +113,8 @@ def _(spark, d):
 )
 def _(spark, d):
     rule = rules.create_rule(
-        "documents", "text_not_short", "custom", "LENGTH(text) >= 200 AND lang <> 'en'", "drop"
+        "documents", "text_not_short", "custom", "LENGTH(text) >= 200 AND lang <> 'en'", "drop",
+        now=NOW,
     )
     return _applied(spark, d, "documents", rule)
 
@@ -115,6 +122,47 @@ def _(spark, d):
 # ---------------------------------------------------------------- registry
 
 
+@register(
+    "rules_round_trip",
+    " UNION ALL ".join(
+        (
+            _counted("l_quantity_range", "warn", "l_quantity >= 1 AND l_quantity <= 40", "lineitem"),
+            _counted("l_linenumber_valid_values", "drop", "l_linenumber IN (1, 2, 3)", "lineitem"),
+            _counted("l_shipdate_freshness", "warn", "l_shipdate >= DATE '2001-07-01'", "lineitem"),
+            _counted(
+                "l_suppkey_fk_check", "drop",
+                "l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)", "lineitem",
+            ),
+            """SELECT 'l_orderkey_l_linenumber_unique', 'warn',
+               CAST(coalesce(sum(n) FILTER (n = 1), 0) AS BIGINT),
+               CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT),
+               coalesce(sum(n) FILTER (n = 1), 0) / sum(n)
+               FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
+        )
+    ),
+)
+def _(spark, d):
+    """Rules are stored beside all others, replaced, switched off, loaded and applied."""
+    of = "lineitem"
+    first = [
+        Templates.numeric_range(of, "l_quantity", 0, 10, now=datetime(2024, 2, 1)),
+        Templates.valid_values(of, "l_linenumber", [1, 2, 3], now=NOW),
+        Templates.date_freshness(of, "l_shipdate", 30, now=NOW),
+        Templates.referential_integrity(of, "l_suppkey", "suppliers", "s_suppkey", now=NOW),
+        Templates.unique_values(of, ["l_orderkey", "l_linenumber"], action="warn", now=NOW),
+        Templates.not_null(of, "l_tax", now=NOW),
+    ]
+    registry = rules.upsert(testbed.rules_registry(spark, d), rules.as_rows(spark, first))
+    again = [Templates.numeric_range(of, "l_quantity", 1, 40, now=datetime(2024, 2, 1))]
+    registry = rules.upsert(registry, rules.as_rows(spark, again))
+    registry = rules.disable(registry, rules.rule_id(of, "l_tax_not_null"), NOW)
+    path = scratch_path(spark, "rules")
+    registry.write.parquet(path)
+    loaded = rules.load(spark.read.parquet(path), of, as_of=SHIPPED)
+    suppliers = table(spark, d, "supplier").filter("s_acctbal >= 0")
+    return counts(table(spark, d, of), loaded, {"suppliers": suppliers}).drop("expectation_query")
+
+
 @register(
     "rules_for_dataset",
     """SELECT expectation_name, expectation_type, constraint_expression, action,

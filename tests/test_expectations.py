@@ -1,5 +1,7 @@
 from collections import Counter
 
+from datetime import datetime
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from vigil.operators.expectations import Expectation, check, counts
 from vigil.operators.rules import Templates, create_rule, sql_text, to_expectation
 
+NOW = datetime(2024, 1, 1)
 SCHEMA = "id bigint, k string, v int"
 values = st.lists(
     st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(-5, 5))),
@@ -86,18 +89,18 @@ def test_hot_key_is_split_when_joining_references(spark, conf):
 
 
 def test_template_constraints(spark):
-    assert Templates.numeric_range("d", "v", 0)["constraint_expression"] == "v >= 0"
-    assert Templates.numeric_range("d", "v", 0)["description"] == "Ensure v is >= 0"
+    assert Templates.numeric_range("d", "v", 0, now=NOW)["constraint_expression"] == "v >= 0"
+    assert Templates.numeric_range("d", "v", 0, now=NOW)["description"] == "Ensure v is >= 0"
     with pytest.raises(ValueError):
-        Templates.numeric_range("d", "v")
+        Templates.numeric_range("d", "v", now=NOW)
     with pytest.raises(ValueError):
-        create_rule("d", "n", "custom", "true", action="ignore")
+        create_rule("d", "n", "custom", "true", action="ignore", now=NOW)
     with pytest.raises(ValueError):
-        create_rule("d", "n", "custom", "true", severity="urgent")
+        create_rule("d", "n", "custom", "true", severity="urgent", now=NOW)
     df = spark.createDataFrame([(1, "it's", 1), (2, "a.b", 2), (3, "aXb", 3)], SCHEMA)
-    quoted = to_expectation(Templates.valid_values("d", "k", ["it's"]))
+    quoted = to_expectation(Templates.valid_values("d", "k", ["it's"], now=NOW))
     assert [r.id for r in check(df, [quoted]).valid.collect()] == [1]
-    dotted = to_expectation(Templates.regex_match("d", "k", r"^a\.b$"))
+    dotted = to_expectation(Templates.regex_match("d", "k", r"^a\.b$", now=NOW))
     assert [r.id for r in check(df, [dotted]).valid.collect()] == [2]
 
 

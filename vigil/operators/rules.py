@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 from hashlib import sha256
 from typing import Any, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from vigil import schemas
@@ -32,10 +32,11 @@ def create_rule(
     pipeline_name: str | None = None,
     tags: dict[str, str] | None = None,
     *,
+    now: datetime,
     created_by: str | None = None,
-    now: datetime = datetime(1970, 1, 1),
+    arguments: dict[str, Any] | None = None,
 ) -> dict[str, Any]:
-    """A registry row, with action and severity checked."""
+    """A registry row, with action and severity checked; ``now`` stamps this version."""
     if action not in ACTIONS:
         raise ValueError(f"action must be one of {ACTIONS}")
     if severity not in SEVERITIES:
@@ -57,6 +58,7 @@ def create_rule(
         "created_at": now,
         "updated_at": now,
         "tags": dict(tags or {}),
+        "arguments": arguments,
     }
 
 
@@ -67,6 +69,17 @@ def as_rows(spark: SparkSession, rules: Iterable[dict[str, Any]]) -> DataFrame:
     return table.withColumn("created_by", F.coalesce("created_by", F.current_user()))
 
 
+def sql_value(value: Any) -> str:
+    """SQL literal of a text, number, truth value, date or time."""
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, datetime):
+        return f"TIMESTAMP'{value}'"
+    if isinstance(value, date):
+        return f"DATE'{value}'"
+    return sql_text(value) if isinstance(value, str) else str(value)
+
+
 def sql_text(value: str) -> str:
     """Quoted SQL string literal that reads back as ``value``."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -118,10 +131,10 @@ class Templates:
         return _from_template("not_null", dataset, column, f"{column} IS NOT NULL", **more)
 
     @staticmethod
-    def valid_values(dataset: str, column: str, values: Sequence[str], **more) -> dict[str, Any]:
-        quoted = ", ".join(map(sql_text, values))
+    def valid_values(dataset: str, column: str, values: Sequence[Any], **more) -> dict[str, Any]:
+        quoted, shown = ", ".join(map(sql_value, values)), ", ".join(map(str, values))
         return _from_template(
-            "valid_values", dataset, column, f"{column} IN ({quoted})", ", ".join(values), **more
+            "valid_values", dataset, column, f"{column} IN ({quoted})", shown, **more
         )
 
     @staticmethod
@@ -137,9 +150,13 @@ class Templates:
         return _from_template("range", dataset, column, constraint, detail, **more)
 
     @staticmethod
-    def unique_values(dataset: str, column: str, **more) -> dict[str, Any]:
-        constraint = f"COUNT(*) OVER (PARTITION BY {column}) = 1"
-        return _from_template("unique", dataset, column, constraint, **more)
+    def unique_values(dataset: str, column: str | Sequence[str], **more) -> dict[str, Any]:
+        columns = [column] if isinstance(column, str) else list(column)
+        constraint = f"COUNT(*) OVER (PARTITION BY {', '.join(columns)}) = 1"
+        arguments = {"columns": columns}
+        return _from_template(
+            "unique", dataset, "_".join(columns), constraint, arguments=arguments, **more
+        )
 
     @staticmethod
     def regex_match(dataset: str, column: str, pattern: str, **more) -> dict[str, Any]:
@@ -148,11 +165,14 @@ class Templates:
 
     @staticmethod
     def date_freshness(
-        dataset: str, column: str, as_of: date | datetime, max_age_days: int = 1, **more
+        dataset: str, column: str, max_age_days: int = 1, **more
     ) -> dict[str, Any]:
-        oldest = as_day(as_of) - timedelta(days=max_age_days)
-        constraint = f"{column} >= DATE'{oldest}'"
-        return _from_template("freshness", dataset, column, constraint, str(max_age_days), **more)
+        """The stored rule holds the age; the oldest day allowed is bound when it is loaded."""
+        constraint = f"{column} >= DATE_SUB(CURRENT_DATE(), {int(max_age_days)})"
+        arguments = {"columns": [column], "max_age_days": int(max_age_days)}
+        return _from_template(
+            "freshness", dataset, column, constraint, str(max_age_days), arguments=arguments, **more
+        )
 
     @staticmethod
     def referential_integrity(
@@ -160,36 +180,61 @@ class Templates:
     ) -> dict[str, Any]:
         constraint = f"{foreign_key} IN (SELECT {reference_key} FROM {reference_table})"
         detail = f"{reference_table}.{reference_key}"
-        return _from_template("foreign_key", dataset, foreign_key, constraint, detail, **more)
+        arguments = {
+            "columns": [foreign_key],
+            "reference_table": reference_table,
+            "reference_key": reference_key,
+        }
+        return _from_template(
+            "foreign_key", dataset, foreign_key, constraint, detail, arguments=arguments, **more
+        )
 
 
-def to_expectation(rule: dict[str, Any]) -> Expectation:
-    """Registry row -> evaluable rule. Uniqueness and references become typed rules."""
-    constraint = rule["constraint_expression"]
-    kind = rule["expectation_type"]
+def to_expectation(rule: dict[str, Any], as_of: date | datetime | None = None) -> Expectation:
+    """Registry row -> evaluable rule. Uniqueness, references and ages come from the arguments;
+    an age needs ``as_of``, the day from which it is counted back."""
+    constraint, kind = rule["constraint_expression"], rule["expectation_type"]
     name, action = rule["expectation_name"], rule["action"]
+    given = rule.get("arguments")
+    given = given.asDict() if isinstance(given, Row) else dict(given or {})
+    columns = tuple(given.get("columns") or ())
+    if kind in ("unique", "foreign_key", "freshness") and not columns:
+        raise ValueError(f"rule {name} of kind {kind} names no columns")
     if kind == "unique":
-        column = name.removesuffix("_unique")
-        return Expectation(name, constraint, action, unique=(column,))
+        return Expectation(name, constraint, action, unique=columns)
     if kind == "foreign_key":
-        column, _, rest = constraint.partition(" IN (SELECT ")
-        key, _, table = rest.rstrip(")").partition(" FROM ")
-        return Expectation(name, constraint, action, fk=(column, table, key))
+        reference = (columns[0], given["reference_table"], given["reference_key"])
+        return Expectation(name, constraint, action, fk=reference)
+    if kind == "freshness":
+        if as_of is None:
+            raise ValueError(f"rule {name} needs as_of")
+        oldest = as_day(as_of) - timedelta(days=given["max_age_days"])
+        return Expectation(name, f"{columns[0]} >= DATE'{oldest}'", action)
     return Expectation(name, constraint, action)
 
 
-def load(rules: DataFrame, dataset: str, pipeline: str | None = None) -> list[Expectation]:
+def load(
+    rules: DataFrame,
+    dataset: str,
+    pipeline: str | None = None,
+    as_of: date | datetime | None = None,
+) -> list[Expectation]:
     """Enabled rules of one dataset, needed on the driver to build the checking plan."""
-    rows = for_dataset(rules, dataset, pipeline).collect()
-    return [to_expectation(r.asDict()) for r in rows]
+    chosen = _chosen(rules, dataset, pipeline).orderBy(severity_rank(), "expectation_name")
+    return [to_expectation(r.asDict(), as_of) for r in chosen.collect()]
 
 
-def generated(rules: DataFrame, dataset: str, pipeline: str | None = None) -> dict[str, dict]:
+def generated(
+    rules: DataFrame,
+    dataset: str,
+    pipeline: str | None = None,
+    as_of: date | datetime | None = None,
+) -> dict[str, dict]:
     """Enabled rules of a dataset by name, with the kind of check their action stands for."""
     checks = {"fail": "expect_or_fail", "drop": "expect_or_drop", "warn": "expect"}
     return {
         e.name: {"constraint": e.constraint, "action": checks[e.action]}
-        for e in load(rules, dataset, pipeline)
+        for e in load(rules, dataset, pipeline, as_of)
     }
 
 
@@ -197,14 +242,18 @@ def active(rules: DataFrame) -> DataFrame:
     return rules.filter("is_enabled").orderBy("dataset_name", severity_rank(), "expectation_name")
 
 
-def for_dataset(rules: DataFrame, dataset: str, pipeline: str | None = None) -> DataFrame:
+def _chosen(rules: DataFrame, dataset: str, pipeline: str | None) -> DataFrame:
     """Enabled rules of a dataset; rules without a pipeline apply to all of them."""
     chosen = rules.filter((F.col("dataset_name") == dataset) & F.col("is_enabled"))
     if pipeline is not None:
         chosen = chosen.filter(
             (F.col("pipeline_name") == pipeline) | F.col("pipeline_name").isNull()
         )
-    return chosen.select(
+    return chosen
+
+
+def for_dataset(rules: DataFrame, dataset: str, pipeline: str | None = None) -> DataFrame:
+    return _chosen(rules, dataset, pipeline).select(
         "expectation_name",
         "expectation_type",
         "constraint_expression",
@@ -215,11 +264,16 @@ def for_dataset(rules: DataFrame, dataset: str, pipeline: str | None = None) ->
 
 
 def upsert(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Newest version of every rule; the creation stamp of a known rule is kept."""
+    """Newest version of every rule, the incoming one on a tie; the creation stamp of a known
+    rule is kept."""
     names = schemas.RULES.fieldNames()
-    versions = stored.select(*names).unionByName(incoming.select(*names))
+    versions = stored.select(*names, F.lit(0).alias("_rank")).unionByName(
+        incoming.select(*names, F.lit(1).alias("_rank"))
+    )
     # Maps do not compare, so they ride along outside of the ordering.
-    newest = F.max_by(F.struct(*names), F.struct("updated_at", "is_enabled", "constraint_expression"))
+    newest = F.max_by(
+        F.struct(*names), F.struct("updated_at", "_rank", "is_enabled", "constraint_expression")
+    )
     return (
         versions.groupBy(*KEY)
         .agg(newest.alias("_row"), F.min("created_at").alias("_created"))
@@ -265,8 +319,10 @@ def bulk_disable(
 def change_feed(before: DataFrame, after: DataFrame) -> DataFrame:
     """Inserted, updated and deleted rules between two snapshots of the registry."""
     watched = [n for n in schemas.RULES.fieldNames() if n not in ("tags", "rule_id")]
-    old = before.select("rule_id", F.struct(*watched).alias("_old"))
-    new = after.select("rule_id", F.struct(*watched).alias("_new"))
+    # Maps do not compare; their sorted entries do.
+    tags = F.array_sort(F.map_entries("tags")).alias("tags")
+    old = before.select("rule_id", F.struct(*watched, tags).alias("_old"))
+    new = after.select("rule_id", F.struct(*watched, tags).alias("_new"))
     kind = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
@@ -279,6 +335,7 @@ def change_feed(before: DataFrame, after: DataFrame) -> DataFrame:
             "rule_id", kind.alias("change_type"), F.coalesce("_new", "_old").alias("_row")
         )
         .select("rule_id", "change_type", "_row.*")
+        .withColumn("tags", F.map_from_entries("tags"))
     )
 
 

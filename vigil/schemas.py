@@ -120,6 +120,11 @@ COLUMN_LINEAGE = _table(
 )
 
 # Stored tables.
+# What a rule's constraint text cannot say safely: the columns it is about, the referenced
+# table and key, the greatest age in days.
+RULE_ARGUMENTS = _table(
+    columns=TEXT_LIST, reference_table="string", reference_key="string", max_age_days="integer"
+)
 RULES = _table(
     rule_id="string",
     pipeline_name="string",
@@ -135,6 +140,7 @@ RULES = _table(
     created_at="timestamp_ntz",
     updated_at="timestamp_ntz",
     tags=TEXT_MAP,
+    arguments=RULE_ARGUMENTS,
 )
 COST_METRICS = _table(
     usage_date="date",
