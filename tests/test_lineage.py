@@ -96,3 +96,21 @@ def test_export_writes_nodes_and_edges(spark, tmp_path):
         ("a.b.c", -1), ("a.b.d", 0), ("a.b.e", 1)
     }
     assert spark.read.json(str(tmp_path / "g/edges")).count() == 2
+
+
+def test_paths_are_no_tables(spark):
+    df = _lineage(spark, [("a", "b"), ("b", None), (None, "c"), ("c", "d")])
+    assert [r[0] for r in lineage.source_tables(df).collect()] == ["a", "c"]
+    assert [r[0] for r in lineage.end_consumers(df).collect()] == ["b", "d"]
+    assert {r.table_name for r in lineage.most_connected(df).collect()} == {"a", "b", "c", "d"}
+
+
+def test_column_names_may_hold_any_sign(spark):
+    rows = [("t#1", "x", "u", "y#1"), ("u", "y#1", "v", "z"), ("u", None, "v", "q"), ("u", "y", "w", "r")]
+    df = spark.createDataFrame(
+        rows,
+        f"{lineage.SRC} string, source_column_name string, "
+        f"{lineage.DST} string, target_column_name string",
+    )
+    got = {tuple(r) for r in lineage.column_impact(df, "t#1", "x").collect()}
+    assert got == {("u", "y#1", 1), ("v", "z", 2)}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import name_part, ts_lit
@@ -24,15 +24,21 @@ BROADCAST_ROWS = 50_000
 
 
 def edges(lineage: DataFrame) -> DataFrame:
-    """Distinct table-to-table edges."""
-    return lineage.select(F.col(SRC).alias("src"), F.col(DST).alias("dst")).distinct()
+    """Distinct table-to-table edges. Path-based ends have no table name and are no nodes."""
+    named = lineage.select(F.col(SRC).alias("src"), F.col(DST).alias("dst"))
+    return named.dropna().distinct()
+
+
+def _column_node(table: Column, column: Column) -> Column:
+    return F.struct(table.alias("table_name"), column.alias("column_name"))
 
 
 def column_edges(lineage: DataFrame) -> DataFrame:
-    """Distinct column-to-column edges; a node is ``table#column``."""
-    return lineage.select(
-        F.concat_ws("#", SRC, "source_column_name").alias("src"),
-        F.concat_ws("#", DST, "target_column_name").alias("dst"),
+    """Distinct column-to-column edges; a node is a pair of table and column, both named."""
+    ends = lineage.dropna(subset=[SRC, "source_column_name", DST, "target_column_name"])
+    return ends.select(
+        _column_node(F.col(SRC), F.col("source_column_name")).alias("src"),
+        _column_node(F.col(DST), F.col("target_column_name")).alias("dst"),
     ).distinct()
 
 
@@ -45,13 +51,14 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def reach(graph: DataFrame, root: str, max_depth: int) -> DataFrame:
+def reach(graph: DataFrame, root: str | Column, max_depth: int) -> DataFrame:
     """Nodes reachable from ``root`` (column ``node``) with the first level they occur on.
 
     The root itself is not part of the result. Frontier and visited nodes stay distributed;
     the driver learns their counts only. While they are few, the edges are not shuffled.
     """
-    frontier = graph.sparkSession.range(1).select(F.lit(root).alias("node"))
+    start = root if isinstance(root, Column) else F.lit(root)
+    frontier = graph.sparkSession.range(1).select(start.alias("node"))
     seen = frontier.withColumn("depth", F.lit(0))
     new = known = 1
     for depth in range(1, max_depth + 1):
@@ -281,11 +288,12 @@ def most_connected(lineage: DataFrame, limit: int = 25) -> DataFrame:
 
 
 def source_tables(lineage: DataFrame) -> DataFrame:
-    """Tables nothing feeds."""
+    """Tables that feed something and that no table feeds. A path as source does not count."""
     graph = edges(lineage)
     fed = graph.select(F.col("dst").alias("source_table")).distinct()
     return (
-        graph.select(F.col("src").alias("source_table"))
+        lineage.select(F.col(SRC).alias("source_table"))
+        .dropna()
         .distinct()
         .join(fed, "source_table", "left_anti")
         .orderBy("source_table")
@@ -293,7 +301,7 @@ def source_tables(lineage: DataFrame) -> DataFrame:
 
 
 def end_consumers(lineage: DataFrame) -> DataFrame:
-    """Tables that feed nothing."""
+    """Tables that are fed and feed no table."""
     return source_tables(
         lineage.select(F.col(DST).alias(SRC), F.col(SRC).alias(DST))
     ).withColumnRenamed("source_table", "end_consumer_table")
@@ -325,12 +333,8 @@ def column_impact(
 ) -> DataFrame:
     """Columns that depend on one column, with their distance."""
     graph = stored(column_edges(lineage), "column-edges")
-    found = reach(graph, f"{table}#{column}", max_depth)
-    return found.select(
-        F.split_part("node", F.lit("#"), F.lit(1)).alias("table_name"),
-        F.split_part("node", F.lit("#"), F.lit(2)).alias("column_name"),
-        "depth",
-    )
+    found = reach(graph, _column_node(F.lit(table), F.lit(column)), max_depth)
+    return found.select("node.table_name", "node.column_name", "depth")
 
 
 # Steps of an iteration planned together before their result is stored.
