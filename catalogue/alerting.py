@@ -170,8 +170,10 @@ def _(spark, d):
 @register(
     "alert_sla_violation",
     f"""SELECT 'sla_violation' AS alert_type, 'critical' AS severity,
-        job_name || ' run ' || run_id || ' took ' || secs // 60 || ' minutes (limit 60)' AS message
-        FROM jobs_cost WHERE start_time >= {EVENTS_AT} - INTERVAL 7 DAYS AND secs > 3600""",
+        job_name || ' run ' || run_id || ' took ' || s // 60 || ' minutes (limit 60)' AS message
+        FROM (SELECT *, coalesce(secs, CAST(epoch({EVENTS_AT}) - epoch(date_trunc('second',
+          start_time)) AS BIGINT)) AS s FROM jobs_cost
+          WHERE start_time >= {EVENTS_AT} - INTERVAL 7 DAYS) WHERE s > 3600""",
 )
 def _(spark, d):
     strict = DEFAULTS.overlay({"jobs": {"max_duration_minutes": 60}})
@@ -214,28 +216,44 @@ def _(spark, d):
     return alerts.resolved(log, firing, EVENTS_AS_OF).select("alert_id", "status", "resolved_at")
 
 
-@register(
-    "alert_outbox",
-    """WITH RECURSIVE c AS (SELECT alert_type, CAST(epoch(date_trunc('second', triggered_at))
-          AS BIGINT) AS sec, arg_min(alert_id, (triggered_at, alert_id)) AS alert_id,
-          min(triggered_at) AS triggered_at, count(*) AS merged
-          FROM raised WHERE severity = 'critical' GROUP BY 1, 2),
-        chain AS (SELECT alert_type, min(sec) AS sec FROM c GROUP BY 1
-          UNION ALL SELECT ch.alert_type,
+_OUTCOMES = """c AS (SELECT alert_type, pipeline_name || '/' || dataset_name AS subject,
+          CAST(epoch(date_trunc('second', triggered_at)) AS BIGINT) AS sec,
+          arg_min(alert_id, (triggered_at, alert_id)) AS alert_id, count(*) AS merged
+          FROM raised WHERE severity = 'critical' GROUP BY 1, 2, 3),
+        chain AS (SELECT alert_type, subject, min(sec) AS sec FROM c GROUP BY 1, 2
+          UNION ALL SELECT ch.alert_type, ch.subject,
             (SELECT min(c.sec) FROM c WHERE c.alert_type = ch.alert_type
-               AND c.sec >= ch.sec + 3600) AS sec
+               AND c.subject = ch.subject AND c.sec >= ch.sec + 3600) AS sec
           FROM chain ch WHERE ch.sec IS NOT NULL),
-        sent AS (SELECT c.*, row_number() OVER (PARTITION BY c.sec // 3600
+        free AS (SELECT c.*, row_number() OVER (PARTITION BY c.sec // 3600
             ORDER BY c.sec, c.alert_type, c.alert_id) AS place
-          FROM chain JOIN c ON c.alert_type = chain.alert_type AND c.sec = chain.sec)
-        SELECT sent.alert_id, sent.alert_type, raised.message, sent.triggered_at,
-        merged AS merged_alerts, 'email' AS channel
-        FROM sent JOIN raised ON raised.alert_id = sent.alert_id WHERE place <= 10""",
+          FROM chain JOIN c USING (alert_type, subject, sec)),
+        fate AS (SELECT r.alert_id, r.alert_type, c.subject, r.message, r.triggered_at,
+          c.merged AS merged_alerts,
+          CASE WHEN place IS NULL THEN 'cooled_down' WHEN place > 10 THEN 'over_limit'
+               WHEN r.alert_id = c.alert_id THEN 'sent' ELSE 'merged' END AS outcome
+          FROM raised r JOIN c ON c.alert_type = r.alert_type
+            AND c.subject = r.pipeline_name || '/' || r.dataset_name
+            AND c.sec = CAST(epoch(date_trunc('second', r.triggered_at)) AS BIGINT)
+          LEFT JOIN free ON free.alert_type = c.alert_type AND free.subject = c.subject
+            AND free.sec = c.sec
+          WHERE r.severity = 'critical')"""
+
+
+@register(
+    "alert_outbox",
+    f"""WITH RECURSIVE {_OUTCOMES} SELECT alert_id, alert_type, subject, message, triggered_at,
+        merged_alerts, 'email' AS channel FROM fate WHERE outcome = 'sent'""",
 )
 def _(spark, d):
     return alerts.outbox(testbed.alert_log(spark, d))
 
 
+@register("alert_outcomes", f"WITH RECURSIVE {_OUTCOMES} SELECT * FROM fate")
+def _(spark, d):
+    return alerts.outcomes(testbed.alert_log(spark, d))
+
+
 @register(
     "alert_notifications",
     """SELECT alert_type, severity,

@@ -82,3 +82,50 @@ def test_settings_overlay():
     assert changed.table("alerts") == "main.monitoring.alerts"
     with pytest.raises(ValueError):
         DEFAULTS.overlay({"costs": {}})
+
+
+def test_cooldown_is_kept_per_subject_and_between_runs(spark):
+    def raised(minutes):
+        return [
+            (f"a{p}{m}", "stale", "critical", "m", {"pipeline": p}, START + timedelta(minutes=m),
+             None, "active", [])
+            for p in "ABC" for m in minutes
+        ]
+
+    delivery = Delivery((Channel("email", True),), max_per_hour=5, cooldown_minutes=60)
+    first = alerts.outcomes(spark.createDataFrame(raised([0, 10]), ALERT_HISTORY), delivery)
+    fate = {r.alert_id: r.outcome for r in first.collect()}
+    assert fate == {f"a{p}0": "sent" for p in "ABC"} | {f"a{p}10": "cooled_down" for p in "ABC"}
+
+    sent = first.filter("outcome = 'sent'")
+    later = spark.createDataFrame(raised([20, 59, 61]), ALERT_HISTORY)
+    second = {r.alert_id: r.outcome for r in alerts.outcomes(later, delivery, sent=sent).collect()}
+    assert {k: v for k, v in second.items() if v == "sent"} == {f"a{p}61": "sent" for p in "ABC"}
+    assert set(second.values()) == {"sent", "cooled_down"}
+
+    narrow = Delivery((Channel("email", True),), max_per_hour=4, cooldown_minutes=5)
+    third = alerts.outcomes(
+        spark.createDataFrame(raised([30]), ALERT_HISTORY), narrow, sent=sent
+    )
+    assert sorted(r.outcome for r in third.collect()) == ["over_limit", "over_limit", "sent"]
+
+
+def test_one_recovered_pipeline_is_resolved(spark):
+    def stale(names):
+        return spark.createDataFrame(
+            [(n, "stale", "critical", "m", {"pipeline": n}, START, None, "active", [])
+             for n in names], ALERT_HISTORY,
+        )
+
+    got = {r.alert_id: r.status for r in alerts.resolved(stale("AB"), stale("B"), START).collect()}
+    assert got == {"A": "resolved", "B": "active"}
+
+
+def test_a_run_that_never_ends_is_late(spark):
+    runs = spark.createDataFrame(
+        [(1, "j", 7, START, None, None), (2, "k", 8, START, START + timedelta(minutes=5), 300)],
+        "job_id long, job_name string, run_id long, start_time timestamp_ntz, "
+        "end_time timestamp_ntz, duration_seconds long",
+    )
+    got = alerts.sla(runs, START + timedelta(hours=24)).collect()
+    assert [r.message for r in got] == ["j run 7 took 1440 minutes (limit 120)"]

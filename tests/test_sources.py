@@ -53,6 +53,29 @@ def test_dry_run_writes_nothing(spark, tmp_path):
     assert not path.exists()
 
 
+def test_expired_days_are_removed(spark, tmp_path):
+    path = str(tmp_path / "log")
+    sinks.overwrite_days(_events(spark, [1, 2, 3]), path, "event_logs")
+    days = sorted(r[0] for r in spark.read.parquet(path).select("event_date").distinct().collect())
+    as_of = datetime.combine(days[-1], datetime.min.time())
+    old = sinks.expire(spark, path, "event_logs", as_of, days=1, dry_run=True)
+    assert old == days[:-2] and spark.read.parquet(path).count() == 3
+    assert sinks.expire(spark, path, "event_logs", as_of, days=1) == old
+    assert spark.read.parquet(path).count() == 3 - len(old)
+    assert sinks.expire(spark, path, "event_logs", as_of, days=1) == []
+
+
+def test_generated_rows_do_not_depend_on_partitions(spark):
+    few = inline.generated_runs(spark, AS_OF, rows=50)
+    again = spark.createDataFrame(few.collect(), few.schema)
+    assert sorted(map(tuple, few.collect()), key=repr) == sorted(map(tuple, again.collect()), key=repr)
+    first = {r.run_id: tuple(r) for r in inline.generated_runs(spark, AS_OF, rows=10).collect()}
+    assert all(tuple(r) == first[r.run_id] for r in few.collect() if r.run_id < 10)
+    assert {tuple(r) for r in inline.generated_runs(spark, AS_OF, 50, seed=1).collect()} != {
+        tuple(r) for r in few.collect()
+    }
+
+
 def test_missing_source_becomes_an_empty_table(spark):
     df = collectors.optional(
         spark, lambda: spark.read.parquet("/nowhere/at/all"), schemas.JOB_RUNS
@@ -85,11 +108,11 @@ def test_running_job_has_no_cost(spark):
 
 
 def test_rules_round_trip(spark):
-    T = rules.Templates
+    T, now = rules.Templates, AS_OF
     own = [
-        T.not_null("c", "id", action="fail"), T.not_null("c", "email"),
-        T.valid_values("c", "status", ["a", "b"]), T.unique_values("c", "id"),
-        T.referential_integrity("c", "fk", "ref", "key"),
+        T.not_null("c", "id", action="fail", now=now), T.not_null("c", "email", now=now),
+        T.valid_values("c", "status", ["a", "b"], now=now), T.unique_values("c", "id", now=now),
+        T.referential_integrity("c", "fk", "ref", "key", now=now),
     ]
     table = rules.as_rows(spark, own)
     twice = rules.upsert(table, rules.as_rows(spark, own))
@@ -102,12 +125,46 @@ def test_rules_round_trip(spark):
     assert order == ["critical", "critical", "high", "high", "high"]
 
 
+def test_rules_keep_typed_arguments(spark):
+    T, now = rules.Templates, AS_OF
+    own = [
+        T.unique_values("c", ["a", "b"], now=now),
+        T.date_freshness("c", "day", 2, now=now),
+        T.valid_values("c", "n", [1, 2.5, True], now=now),
+    ]
+    table = rules.as_rows(spark, own)
+    loaded = {e.name: e for e in rules.load(table, "c", as_of=datetime(2024, 3, 10))}
+    assert loaded["a_b_unique"].unique == ("a", "b")
+    assert loaded["day_freshness"].constraint == "day >= DATE'2024-03-08'"
+    later = {e.name: e for e in rules.load(table, "c", as_of=datetime(2024, 3, 11))}
+    assert later["day_freshness"].constraint == "day >= DATE'2024-03-09'"
+    assert loaded["n_valid_values"].constraint == "n IN (1, 2.5, TRUE)"
+    with pytest.raises(ValueError):
+        rules.load(table, "c")
+    named = rules.create_rule(
+        "c", "no_dupes", "unique", "a is unique", now=now, arguments={"columns": ["a"]}
+    )
+    assert rules.to_expectation(named).unique == ("a",)
+
+
+def test_created_again_wins_and_tags_are_changes(spark):
+    def version(limit, **tags):
+        rule = rules.Templates.numeric_range("c", "v", limit, now=AS_OF, tags=tags)
+        return rules.as_rows(spark, [rule])
+
+    merged = rules.upsert(version(1), version(2))
+    assert merged.first().constraint_expression == "v >= 2"
+    feed = rules.change_feed(version(1, owner="x"), version(1, owner="y")).collect()
+    assert [(r.change_type, r.tags["owner"]) for r in feed] == [("update", "y")]
+    assert rules.change_feed(version(1, owner="x"), version(1, owner="x")).isEmpty()
+
+
 def test_author_and_safe_names(spark):
     from pyspark.sql import functions as F
 
     from vigil.functions.exprs import safe_name
 
-    row = rules.as_rows(spark, [rules.Templates.not_null("c", "id")]).first()
+    row = rules.as_rows(spark, [rules.Templates.not_null("c", "id", now=AS_OF)]).first()
     assert row.created_by == spark.range(1).select(F.current_user()).first()[0]
     assert row.tags == {"template": "not_null"}
     assert spark.range(1).select(safe_name(F.lit("a.b-c d"))).first()[0] == "a_b_c_d"

@@ -77,7 +77,7 @@ def holds(condition: str | Column) -> Column:
     return F.coalesce(predicate, F.lit(False))
 
 
-def seconds_between(start: str, end: str) -> Column:
+def seconds_between(start: Column | str, end: Column | str) -> Column:
     return F.unix_timestamp(end) - F.unix_timestamp(start)
 
 

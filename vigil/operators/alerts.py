@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil import schemas
-from vigil.functions.exprs import as_day, day_lit, since, ts_lit
+from vigil.functions.exprs import as_day, day_lit, seconds_between, since, ts_lit
 from vigil.operators import costs, event_log, jobs, queries, quality
 from vigil.plans.scratch import cut, stored
 from vigil.settings import DEFAULTS, Delivery, Settings
@@ -219,9 +219,12 @@ def query_performance(
 
 
 def sla(runs: DataFrame, as_of: datetime, settings: Settings = DEFAULTS) -> DataFrame:
-    """Runs of the lookback above the longest allowed duration."""
+    """Runs of the lookback above the longest allowed duration. A run without an end is
+    still running and has lasted until ``as_of``."""
     limit = settings.jobs.max_duration_minutes
     recent = runs.filter(since("start_time", as_of, days=settings.lookback_days))
+    so_far = seconds_between("start_time", F.coalesce("end_time", ts_lit(as_of)))
+    recent = recent.withColumn("duration_seconds", F.coalesce("duration_seconds", so_far))
     hit = jobs.sla_violations(recent, limit)
     minutes = F.floor(F.col("duration_seconds") / 60)
     message = _text(f"%s run %s took %s minutes (limit {limit})", "job_name", "run_id", minutes)
@@ -292,12 +295,24 @@ def recent(history: DataFrame, as_of: datetime, days: int = 7, limit: int = 50)
     )
 
 
+# Details that say what an alert is about; figures and times differ from run to run.
+SUBJECT = ("pipeline", "pipeline_name", "dataset", "dataset_name", "job", "run")
+
+
+def subject() -> Column:
+    """What an alert is about, from its details; alerts of the whole workspace share one."""
+    return F.concat_ws("/", *[F.try_element_at("details", F.lit(name)) for name in SUBJECT])
+
+
 def resolved(history: DataFrame, current: DataFrame, as_of: datetime) -> DataFrame:
-    """History after a check run: active alerts whose type no longer fires are resolved."""
-    firing = current.select("alert_type", F.lit(True).alias("_firing")).distinct()
+    """History after a check run: active alerts whose type no longer fires for their subject
+    are resolved."""
+    firing = current.select("alert_type", subject().alias("_subject")).distinct()
+    firing = firing.withColumn("_firing", F.lit(True))
     over = (F.col("status") == "active") & F.col("_firing").isNull()
     return (
-        history.join(firing, "alert_type", "left")
+        history.withColumn("_subject", subject())
+        .join(firing, ["alert_type", "_subject"], "left")
         .withColumns(
             {
                 "resolved_at": F.when(over, ts_lit(as_of)).otherwise(F.col("resolved_at")),
@@ -308,20 +323,25 @@ def resolved(history: DataFrame, current: DataFrame, as_of: datetime) -> DataFra
     )
 
 
-# Seconds walked in one step of the cooldown. A type has one candidate per second, so a
+# Seconds walked in one step of the cooldown. A subject has one candidate per second, so a
 # task holds at most this many numbers (21 MB), however many alerts were raised.
 WALK_SECONDS = 30 * 86_400
 
+_TOPIC = ["alert_type", "subject"]
+
 
 def _cooled(
-    candidates: DataFrame, cooldown_seconds: int, walk_seconds: int = WALK_SECONDS
+    candidates: DataFrame,
+    cooldown_seconds: int,
+    walk_seconds: int = WALK_SECONDS,
+    before: DataFrame | None = None,
 ) -> DataFrame:
-    """Per alert type, the seconds in which an alert may be sent.
+    """Per alert type and subject, the seconds in which an alert may be sent.
 
     Each send blocks the following ``cooldown_seconds``; the next send is the first
-    candidate after that. ``candidates`` holds one row per (type, second). Stretches of
-    ``walk_seconds`` are walked one after the other; from one to the next only the last
-    send of each type is carried.
+    candidate after that. ``candidates`` holds one row per (type, subject, second). Stretches
+    of ``walk_seconds`` are walked one after the other; from one to the next only the last
+    send is carried. ``before`` holds the last send (``last``) of earlier runs.
     """
     candidates = stored(candidates, "candidates")
     span = candidates.agg(F.min("second").alias("lo"), F.max("second").alias("hi")).first()
@@ -334,69 +354,97 @@ def _cooled(
         return F.when(second >= acc["last"] + F.lit(cooldown_seconds), send).otherwise(acc)
 
     nothing = F.array().cast("array<bigint>")
-    last_sent, walks = None, []
+    last_sent, walks = before, []
     for start in range(span.lo, span.hi + 1, walk_seconds):
         stretch = candidates.filter(F.col("second").between(start, start + walk_seconds - 1))
-        lists = stretch.groupBy("alert_type").agg(
+        lists = stretch.groupBy(*_TOPIC).agg(
             F.sort_array(F.collect_list("second")).alias("seconds")
         )
         if last_sent is None:
             entry = lists.withColumn("last", free)
         else:
-            entry = lists.join(last_sent, "alert_type", "full_outer")
+            entry = lists.join(last_sent, _TOPIC, "full_outer")
         begin = F.struct(F.coalesce("last", free).alias("last"), nothing.alias("sent"))
         walk = F.aggregate(F.coalesce("seconds", nothing), begin, step)
-        walked = cut(entry.select("alert_type", walk.alias("walk")).select("alert_type", "walk.*"))
-        last_sent = walked.select("alert_type", "last")
-        walks.append(walked.select("alert_type", F.explode("sent").alias("second")))
+        walked = cut(entry.select(*_TOPIC, walk.alias("walk")).select(*_TOPIC, "walk.*"))
+        last_sent = walked.select(*_TOPIC, "last")
+        walks.append(walked.select(*_TOPIC, F.explode("sent").alias("second")))
     return reduce(DataFrame.unionByName, walks)
 
 
-def outbox(
+def outcomes(
     alerts: DataFrame,
     delivery: Delivery = DEFAULTS.delivery,
     walk_seconds: int = WALK_SECONDS,
+    sent: DataFrame | None = None,
 ) -> DataFrame:
-    """Notifications to send: critical alerts, after cooldown and hourly limit, per channel.
+    """What becomes of every critical alert: ``sent``, ``merged`` (into another alert of its
+    type, subject and second), ``cooled_down`` or ``over_limit``.
 
-    Within one second the alert with the smallest id speaks for its type.
+    ``sent`` are alerts sent by earlier runs (alert_type, subject, triggered_at). They block
+    their topics for the cooldown and count for the hourly limit.
     """
     # Seconds since 1970 of the zone-less timestamp.
     second = F.unix_timestamp("triggered_at")
-    spoken = (
-        alerts.filter(F.col("severity") == "critical")
-        .groupBy("alert_type", second.alias("second"))
-        .agg(
-            F.min(F.struct("triggered_at", "alert_id", "message")).alias("_first"),
-            F.count("*").alias("merged_alerts"),
+    critical = alerts.filter(F.col("severity") == "critical").select(
+        *_TOPIC[:1], subject().alias("subject"), second.alias("second"), "triggered_at",
+        "alert_id", "message",
+    )
+    spoken = critical.groupBy(*_TOPIC, "second").agg(
+        F.min(F.struct("triggered_at", "alert_id")).alias("_first"),
+        F.count("*").alias("merged_alerts"),
+    )
+    before = hours = None
+    if sent is not None:
+        past = sent.select(*_TOPIC, second.alias("second"))
+        before = past.groupBy(*_TOPIC).agg(F.max("second").alias("last"))
+        hours = past.groupBy(F.floor(F.col("second") / 3600).alias("hour")).agg(
+            F.count("*").alias("_already")
         )
+    free = _cooled(
+        spoken.select(*_TOPIC, "second"), delivery.cooldown_minutes * 60, walk_seconds, before
     )
-    sent = spoken.join(
-        _cooled(
-            spoken.select("alert_type", "second"), delivery.cooldown_minutes * 60, walk_seconds
-        ),
-        ["alert_type", "second"],
-    ).select("alert_type", "second", "_first.*", "merged_alerts")
-    # After the cooldown an hour holds few alerts per type.
-    hour = F.floor(F.col("second") / 3600)
-    place = F.row_number().over(
-        Window.partitionBy(hour).orderBy("second", "alert_type", "alert_id")
+    # After the cooldown an hour holds few alerts per topic.
+    free = free.join(spoken, [*_TOPIC, "second"])
+    free = free.withColumn("hour", F.floor(F.col("second") / 3600))
+    order = Window.partitionBy("hour").orderBy("second", "alert_type", "_first.alert_id")
+    free = free.withColumn("_place", F.row_number().over(order))
+    if hours is not None:
+        free = free.join(hours, "hour", "left")
+        free = free.withColumn("_place", F.col("_place") + F.coalesce("_already", F.lit(0)))
+    allowed = free.select(
+        *_TOPIC, "second", (F.col("_place") <= delivery.max_per_hour).alias("_allowed")
+    )
+    outcome = (
+        F.when(F.col("_allowed").isNull(), "cooled_down")
+        .when(~F.col("_allowed"), "over_limit")
+        .when(F.col("alert_id") == F.col("_first.alert_id"), "sent")
+        .otherwise("merged")
     )
-    channels = F.array(*[F.lit(c.name) for c in delivery.channels if c.enabled])
     return (
-        sent.withColumn("_place", place)
-        .filter(F.col("_place") <= delivery.max_per_hour)
+        critical.join(spoken, [*_TOPIC, "second"])
+        .join(allowed, [*_TOPIC, "second"], "left")
         .select(
-            "alert_id",
-            "alert_type",
-            "message",
-            "triggered_at",
-            "merged_alerts",
-            F.explode(channels.cast("array<string>")).alias("channel"),
+            "alert_id", *_TOPIC, "message", "triggered_at", "merged_alerts",
+            outcome.alias("outcome"),
         )
     )
 
 
+def outbox(
+    alerts: DataFrame,
+    delivery: Delivery = DEFAULTS.delivery,
+    walk_seconds: int = WALK_SECONDS,
+    sent: DataFrame | None = None,
+) -> DataFrame:
+    """Notifications to send: the alerts with outcome ``sent``, once per enabled channel."""
+    channels = F.array(*[F.lit(c.name) for c in delivery.channels if c.enabled])
+    chosen = outcomes(alerts, delivery, walk_seconds, sent).filter("outcome = 'sent'")
+    return chosen.drop("outcome").withColumn(
+        "channel", F.explode(channels.cast("array<string>"))
+    )
+
+
 def notifications(alerts: DataFrame, template_of: dict[str, str]) -> DataFrame:
     """Subject and priority of each alert from the template of its type."""
     name = F.lit(None).cast("string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import ts_lit
@@ -45,9 +45,14 @@ def sample_orders(spark: SparkSession) -> DataFrame:
 def generated_runs(
     spark: SparkSession, as_of: datetime, rows: int = 1000, seed: int = 42
 ) -> DataFrame:
-    """Job runs made up inside the executors; the same seed gives the same rows."""
-    roll = F.rand(seed)
-    back = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.rand(seed + 1) * 86400).cast("int"))
+    """Job runs made up inside the executors; the same seed gives the same rows, however many
+    cores share the work: every value is a hash of the row's number."""
+
+    def drawn(salt: int, size: int) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(seed), F.lit(salt)), F.lit(size))
+
+    roll = drawn(0, 1_000_000) / 1_000_000
+    back = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), drawn(1, 86_400).cast("int"))
     return (
         spark.range(rows)
         .withColumns({"_roll": roll, "start_time": ts_lit(as_of) - back})

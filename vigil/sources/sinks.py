@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.exprs import as_day, day_lit
 from vigil.schemas import PARTITION_DAY
+from vigil.settings import DEFAULTS
 
 NOOP = "noop"
 
@@ -90,3 +91,29 @@ def retained(df: DataFrame, ts: str, as_of: datetime, days: int) -> DataFrame:
     """Rows still inside the retention period."""
     limit = as_day(as_of) - timedelta(days=days)
     return df.filter(F.col(ts) >= day_lit(limit).cast("timestamp_ntz"))
+
+
+def expire(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    as_of: datetime,
+    days: int = DEFAULTS.retention.history_days,
+    dry_run: bool = DEFAULTS.dry_run,
+) -> list[date]:
+    """Removes the stored days that are out of retention and returns them.
+
+    Days are folders, so nothing is read or rewritten; a second run finds nothing to remove.
+    """
+    column, _ = PARTITION_DAY[table]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    limit = as_day(as_of) - timedelta(days=days)
+    gone = []
+    for status in files.listStatus(folder) if files.exists(folder) else ():
+        name, _, value = status.getPath().getName().partition("=")
+        if name == column and value[:1].isdigit() and date.fromisoformat(value) < limit:
+            gone.append(date.fromisoformat(value))
+            if not dry_run:
+                files.delete(status.getPath(), True)
+    return sorted(gone)
