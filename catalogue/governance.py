@@ -461,13 +461,10 @@ def _(spark, d):
 
 @register(
     "lineage_adjacency",
-    f"""WITH n AS (SELECT src AS node_id, NULL AS u, dst AS v FROM edge
-          UNION ALL SELECT dst, src, NULL FROM edge)
-        SELECT node_id, 0 AS part, 'table' AS node_type, split_part(node_id, '.', 3) AS node_name,
-        coalesce(array_to_string(list_sort(list(u) FILTER (u IS NOT NULL)), ','), '')
-          AS upstream_nodes,
-        coalesce(array_to_string(list_sort(list(v) FILTER (v IS NOT NULL)), ','), '')
-          AS downstream_nodes, {EVENTS_AT} AS last_updated FROM n GROUP BY node_id""",
+    f"""SELECT node_id, 'table' AS node_type, split_part(node_id, '.', 3) AS node_name, side,
+        neighbour, {EVENTS_AT} AS last_updated
+        FROM (SELECT src AS node_id, 'downstream' AS side, dst AS neighbour FROM edge
+              UNION ALL SELECT dst, 'upstream', src FROM edge)""",
 )
 def _(spark, d):
     return lineage.adjacency(inputs.lineage(spark, d), EVENTS_AS_OF)

@@ -237,17 +237,27 @@ def _(spark, d):
     return jobs.success_rate(inputs.jobs(spark, d), EVENTS_AS_OF)
 
 
-@register(
-    "dash_job_failures",
-    f"""SELECT job_name, result_state, count(*) AS failure_count,
-        max(start_time) AS last_failure, 0 AS part,
-        array_to_string(list_sort(list(DISTINCT error_message)), ',') AS error_messages
+_FAILING = f"""SELECT job_name, result_state, count(*) AS failure_count,
+        max(start_time) AS last_failure,
+        count(DISTINCT substring(error_message, 1, 100)) AS distinct_messages
         FROM jobs_cost WHERE {_since('start_time', '7 DAYS')} AND bad
         GROUP BY job_name, result_state
-        ORDER BY failure_count DESC, job_name, result_state LIMIT 25""",
+        ORDER BY failure_count DESC, job_name, result_state LIMIT 25"""
+
+
+@register("dash_job_failures", _FAILING)
+def _(spark, d):
+    return jobs.failures_with_messages(inputs.jobs(spark, d), EVENTS_AS_OF).totals
+
+
+@register(
+    "dash_job_failure_messages",
+    f"""SELECT DISTINCT job_name, result_state, substring(error_message, 1, 100) AS error_message
+        FROM jobs_cost JOIN ({_FAILING}) USING (job_name, result_state)
+        WHERE {_since('start_time', '7 DAYS')} AND bad AND error_message IS NOT NULL""",
 )
 def _(spark, d):
-    return jobs.failures_with_messages(inputs.jobs(spark, d), EVENTS_AS_OF)
+    return jobs.failures_with_messages(inputs.jobs(spark, d), EVENTS_AS_OF).values
 
 
 @register(

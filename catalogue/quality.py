@@ -134,17 +134,26 @@ def _(spark, d):
     return event_log.error_analysis(inputs.events(spark, d), EVENTS_AS_OF)
 
 
-@register(
-    "dash_error_patterns",
-    f"""SELECT substring(error, 1, 100) AS error_pattern,
+_PATTERNS = f"""SELECT substring(error, 1, 100) AS error_pattern,
         count(DISTINCT pipeline_name) AS affected_pipelines, count(*) AS occurrence_count,
-        max(moment) AS last_occurred, 0 AS part,
-        array_to_string(list_sort(list(DISTINCT pipeline_name)), ',') AS pipeline_list
+        max(moment) AS last_occurred
         FROM log WHERE {EVENTS_7} AND level = 'ERROR' AND error IS NOT NULL GROUP BY 1
-        ORDER BY occurrence_count DESC, error_pattern LIMIT 25""",
+        ORDER BY occurrence_count DESC, error_pattern LIMIT 25"""
+
+
+@register("dash_error_patterns", _PATTERNS)
+def _(spark, d):
+    return event_log.error_patterns(inputs.events(spark, d), EVENTS_AS_OF).totals
+
+
+@register(
+    "dash_error_pattern_pipelines",
+    f"""SELECT DISTINCT error_pattern, pipeline_name
+        FROM log JOIN ({_PATTERNS}) ON substring(error, 1, 100) = error_pattern
+        WHERE {EVENTS_7} AND level = 'ERROR' AND pipeline_name IS NOT NULL""",
 )
 def _(spark, d):
-    return event_log.error_patterns(inputs.events(spark, d), EVENTS_AS_OF)
+    return event_log.error_patterns(inputs.events(spark, d), EVENTS_AS_OF).values
 
 
 # ---------------------------------------------------------------- quality metrics
@@ -475,14 +484,24 @@ def _(spark, d):
 @register(
     "gold_status_summary",
     f"""SELECT status, count(*) AS customer_count, CAST(sum(age) AS DOUBLE) / count(age) AS avg_age,
-        array_to_string(list_sort(list(DISTINCT email_domain)), ',') AS email_domains, 0 AS part,
+        count(DISTINCT email_domain) AS email_domains,
         {pct('count(*)', '(SELECT count(*) FROM good_customers)')} AS percentage
         FROM good_customers GROUP BY status""",
 )
 def _(spark, d):
     return medallion.status_summary(
         medallion.silver_customers(testbed.bronze_customers(spark, d))
-    )
+    ).totals
+
+
+@register(
+    "gold_status_domains",
+    """SELECT DISTINCT status, email_domain FROM good_customers WHERE email_domain IS NOT NULL""",
+)
+def _(spark, d):
+    return medallion.status_summary(
+        medallion.silver_customers(testbed.bronze_customers(spark, d))
+    ).values
 
 
 def _tally(table_name: str, layer: str, source: str, *rules: str) -> str:

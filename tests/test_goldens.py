@@ -58,7 +58,7 @@ def test_status_summary(spark):
     silver = medallion.silver_customers(inline.sample_customers(spark))
     got = {
         r.status: (r.customer_count, r.avg_age, r.percentage)
-        for r in medallion.status_summary(silver).collect()
+        for r in medallion.status_summary(silver).totals.collect()
     }
     assert got == {
         "active": (2, 31.5, 50.0), "inactive": (1, 42.0, 25.0), "suspended": (1, 31.0, 25.0),

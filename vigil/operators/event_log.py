@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil import schemas
 from vigil.functions.exprs import hours_since, mean, percent, preview, since, ts_lit
-from vigil.plans.lists import listed
+from vigil.plans.lists import Listed, listed
 from vigil.settings import DEFAULTS, FreshnessThresholds
 
 # Labels of the freshness report.
@@ -238,14 +238,13 @@ def error_analysis(events: DataFrame, as_of: datetime, days: int = 7, limit: int
     )
 
 
-def error_patterns(events: DataFrame, as_of: datetime, days: int = 7, limit: int = 25) -> DataFrame:
-    """Most frequent error texts with the pipelines they occur in."""
+def error_patterns(events: DataFrame, as_of: datetime, days: int = 7, limit: int = 25) -> Listed:
+    """Most frequent error texts: their totals, and the pipelines they occur in one row each."""
     errors = events.filter(
         since("timestamp", as_of, days=days)
         & (F.col("level") == "ERROR")
         & F.col("error").isNotNull()
     )
-    # One row per (pattern, pipeline) before any list is built.
     pairs = errors.groupBy(preview("error", 100).alias("error_pattern"), "pipeline_name").agg(
         F.count("*").alias("_n"), F.max("timestamp").alias("_last")
     )
@@ -255,7 +254,4 @@ def error_patterns(events: DataFrame, as_of: datetime, days: int = 7, limit: int
         "last_occurred": F.max("_last"),
     }
     order = [F.desc("occurrence_count"), F.col("error_pattern")]
-    reported = listed(
-        pairs, ["error_pattern"], "pipeline_name", "pipeline_list", totals, order, limit
-    )
-    return reported.orderBy(*order, "part")
+    return listed(pairs, ["error_pattern"], "pipeline_name", "pipeline_name", totals, order, limit)

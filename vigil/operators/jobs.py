@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import is_failure, mean, percent, preview, since
-from vigil.plans.lists import listed
+from vigil.plans.lists import Listed, listed
 from vigil.plans.ordered import running_totals, trailing_mean
 from vigil.settings import DEFAULTS
 
@@ -98,20 +98,23 @@ def failure_rate(jobs: DataFrame, as_of: datetime, hours: int = 1) -> DataFrame:
 
 def failures_with_messages(
     jobs: DataFrame, as_of: datetime, days: int = 7, limit: int = 25
-) -> DataFrame:
-    """Failing (job, state) pairs with the set of their distinct messages."""
+) -> Listed:
+    """Failing (job, state) pairs: their totals, and their distinct messages one row each."""
     failed = jobs.filter(since("start_time", as_of, days=days) & is_failure()).withColumn(
         "_message", preview("error_message", 100)
     )
-    # Equal messages collapse before the shuffle; lists hold distinct messages only.
+    # Equal messages collapse before the shuffle.
     keys = ["job_name", "result_state"]
     distinct = failed.groupBy(*keys, "_message").agg(
         F.count("*").alias("_n"), F.max("start_time").alias("_last")
     )
-    totals = {"failure_count": F.sum("_n"), "last_failure": F.max("_last")}
+    totals = {
+        "failure_count": F.sum("_n"),
+        "last_failure": F.max("_last"),
+        "distinct_messages": F.count("_message"),
+    }
     order = [F.desc("failure_count"), *[F.col(k) for k in keys]]
-    reported = listed(distinct, keys, "_message", "error_messages", totals, order, limit)
-    return reported.orderBy(*order, "part")
+    return listed(distinct, keys, "_message", "error_message", totals, order, limit)
 
 
 def duration_trend(

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import name_part, ts_lit
-from vigil.plans.lists import PART_SIZE, part_of
 from vigil.plans.scratch import cut, cut_counting, stored
 
 SRC = "source_table_full_name"
@@ -210,53 +209,22 @@ def export_graph(lineage: DataFrame, table: str, path: str, max_depth: int = 3)
     graph_edges(lineage, table, max_depth).write.mode("overwrite").json(f"{path}/edges")
 
 
-def adjacency(lineage: DataFrame, as_of: datetime, part_size: int = PART_SIZE) -> DataFrame:
-    """Neighbour lists per table.
-
-    A table with more than ``part_size`` neighbours gets several rows (``part`` 0, 1, …)
-    that together hold all of them, so no task or cell collects an unbounded list.
-    """
-    graph = stored(edges(lineage), "edges")
-    ends = graph.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("src").alias("node_id"),
-                    F.lit("down").alias("side"),
-                    F.col("dst").alias("other"),
-                ),
-                F.struct(
-                    F.col("dst").alias("node_id"),
-                    F.lit("up").alias("side"),
-                    F.col("src").alias("other"),
-                ),
-            )
-        )
+def adjacency(lineage: DataFrame, as_of: datetime) -> DataFrame:
+    """Neighbours of every table, one row per table, side and neighbour."""
+    side = F.struct(
+        F.col("src").alias("node_id"), F.lit("downstream").alias("side"), F.col("dst").alias("other")
     )
-    degree = ends.groupBy("node_id").agg(F.count("*").alias("_degree"))
-    hubs = degree.filter(F.col("_degree") > part_size)
-    size = F.coalesce(F.col("_degree"), F.lit(1))
-    placed = ends.join(hubs, "node_id", "left").withColumn("part", part_of("other", size, part_size))
-    listed = {"up": "upstream_nodes", "down": "downstream_nodes"}
-    return (
-        placed.groupBy("node_id", "part")
-        .agg(
-            *[
-                F.sort_array(
-                    F.collect_list(F.when(F.col("side") == side, F.col("other")))
-                ).alias(name)
-                for side, name in listed.items()
-            ]
-        )
-        .select(
-            "node_id",
-            "part",
-            F.lit("table").alias("node_type"),
-            name_part("node_id", 2).alias("node_name"),
-            "upstream_nodes",
-            "downstream_nodes",
-            ts_lit(as_of).alias("last_updated"),
-        )
+    other = F.struct(
+        F.col("dst").alias("node_id"), F.lit("upstream").alias("side"), F.col("src").alias("other")
+    )
+    ends = edges(lineage).select(F.inline(F.array(side, other)))
+    return ends.select(
+        "node_id",
+        F.lit("table").alias("node_type"),
+        name_part("node_id", 2).alias("node_name"),
+        "side",
+        F.col("other").alias("neighbour"),
+        ts_lit(as_of).alias("last_updated"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import day_lit, as_day, email_domain, mean, percent, ts_lit
-from vigil.plans.lists import listed
+from vigil.plans.lists import Listed, listed
 from vigil.operators.expectations import Checked, Expectation, check
 
 # Patterns, value lists and limits of the sample rules.
@@ -138,9 +138,8 @@ def daily_revenue(orders: DataFrame) -> DataFrame:
     )
 
 
-def status_summary(customers: DataFrame) -> DataFrame:
-    """Customers, mean age, e-mail domains and share per status."""
-    # One row per (status, domain) first; the lists then hold distinct domains only.
+def status_summary(customers: DataFrame) -> Listed:
+    """Per status: customers, mean age and share; and its e-mail domains, one row each."""
     pairs = customers.groupBy("status", "email_domain").agg(
         F.count("customer_id").alias("_n"),
         F.sum("age").alias("_age"),
@@ -149,12 +148,13 @@ def status_summary(customers: DataFrame) -> DataFrame:
     totals = {
         "customer_count": F.sum("_n"),
         "avg_age": mean(F.sum("_age"), F.sum("_ages")),
+        "email_domains": F.count("email_domain"),
     }
-    # Every status is whole in its first list, so the share of the total counts that row.
-    reported = listed(pairs, ["status"], "email_domain", "email_domains", totals)
-    counted = F.when(F.col("part") == 0, F.col("customer_count"))
-    whole = F.sum(counted).over(Window.partitionBy())
-    return reported.withColumn("percentage", percent(F.col("customer_count"), whole))
+    found = listed(pairs, ["status"], "email_domain", "email_domain", totals)
+    # One row per status.
+    whole = F.sum("customer_count").over(Window.partitionBy())
+    share = percent(F.col("customer_count"), whole)
+    return found._replace(totals=found.totals.withColumn("percentage", share))
 
 
 @dataclass(frozen=True)

@@ -1,23 +1,21 @@
-"""Lists of values per key that never gather an unbounded group in one task."""
+"""Values per key, one row each: no task and no cell ever gathers the values of a key."""
 
 from __future__ import annotations
 
 from functools import reduce
-from typing import Mapping, Sequence
+from typing import Mapping, NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.plans.scratch import stored
 
-# Values in one list; more values make more parts.
-PART_SIZE = 10_000
 
+class Listed(NamedTuple):
+    """Totals, one row per key, and values, one row per key and value that is not null."""
 
-def part_of(value: str, size: Column, part_size: int) -> Column:
-    """Number of the list a value goes to, for a key with ``size`` values."""
-    parts = F.greatest(F.lit(1), F.ceil(size / F.lit(part_size)))
-    return F.pmod(F.xxhash64(value), parts).cast("int")
+    totals: DataFrame
+    values: DataFrame
 
 
 def listed(
@@ -28,25 +26,20 @@ def listed(
     totals: Mapping[str, Column],
     order: Sequence[Column] = (),
     limit: int | None = None,
-    part_size: int = PART_SIZE,
-) -> DataFrame:
-    """Totals per key and the sorted list of its values, from rows that are one per (key, value).
+) -> Listed:
+    """Totals per key and its values, from rows that are one per (key, value).
 
-    A key with more than ``part_size`` values gets several rows (``part`` 0, 1, …) that
-    repeat its totals and together hold all of its values. With ``limit``, the first
-    ``limit`` keys in ``order`` are reported. ``pairs`` is computed once and stored.
+    The shape is the same however many values a key has. With ``limit``, the first ``limit``
+    keys in ``order`` are reported. ``pairs`` is computed once and stored.
     """
     keys = list(keys)
     kept = stored(pairs, "pairs")
-    heads = kept.groupBy(*keys).agg(
-        *[total.alias(n) for n, total in totals.items()], F.count(value).alias("_size")
-    )
+    heads = kept.groupBy(*keys).agg(*[total.alias(n) for n, total in totals.items()])
+    values = kept.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias(name))
     if limit is not None:
+        heads = heads.orderBy(*order).limit(limit)
         # The limit is also the proof that this side is small.
-        heads = F.broadcast(heads.orderBy(*order).limit(limit))
-    heads = heads.withColumnsRenamed({k: f"_head_{k}" for k in keys})
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_head_{k}")) for k in keys])
-    placed = kept.join(heads, same).withColumn("part", part_of(value, F.col("_size"), part_size))
-    return placed.groupBy(*keys, *totals, "part").agg(
-        F.sort_array(F.collect_list(value)).alias(name)
-    )
+        chosen = F.broadcast(heads.select(*[F.col(k).alias(f"_head_{k}") for k in keys]))
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_head_{k}")) for k in keys])
+        values = values.join(chosen, same, "left_semi")
+    return Listed(heads, values)
