@@ -95,8 +95,9 @@ def test_exchange_between_buckets(spark):
     for r in placed:
         used[r.sequence_id] += r.length
     assert max(used.values()) <= 100
-    least = -(-sum(r[3] for r in rows) // 100)
-    assert len(used) <= least + 1
+    least = lower_bound(np.array([r[3] for r in rows]), 100)
+    alone = len(best_fit(np.array([r[3] for r in rows]), 100)[2])
+    assert least <= len(used) <= 1.01 * alone
 
 
 @settings(max_examples=100, deadline=None)

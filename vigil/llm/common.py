@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from vigil.plans.scratch import scratch_path
 from vigil.session import tune
 
 # Rows that cross to Python at once: texts average a few kB, long ones many times that.
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 
 # Names of helper columns; input columns must not use them.
 ROW, SPANS = "__row__", "__spans__"
@@ -20,6 +23,7 @@ def ready(spark: SparkSession) -> SparkSession:
     """Session settings of this package: small Arrow batches, shuffle files dropped after use."""
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
@@ -65,6 +69,26 @@ def keyed(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text: str =
     return scratch.put(ordered.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, giving freed memory back to the system after a partition.
+
+    Python workers are used again for later stages; what their allocators keep would add up
+    beside the memory of the executor.
+    """
+
+    def wrapped(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     """An Arrow batch from columns in the order of the schema."""
     arrays = [

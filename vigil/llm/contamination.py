@@ -33,7 +33,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from vigil.llm.common import Scratch
+from vigil.llm.common import Scratch, lean
 from vigil.llm.words import PUNCTUATION, Words, joined, runs, split
 
 BLOCK = 2_000_000
@@ -191,7 +191,7 @@ def find_contamination(
     scratch = Scratch(spark)
     windows = scratch.put(
         benchmark.select(F.col("item_id").cast("string"), "text")
-        .mapInArrow(_item_windows(n), _WINDOWS)
+        .mapInArrow(lean(_item_windows(n)), _WINDOWS)
         .distinct(),
         "windows",
     )
@@ -205,7 +205,7 @@ def find_contamination(
         kept = [f for f in rest.schema if with_text or not last or f.name != "text"]
         added = _RESULT if last else [StructField(_HITS, _HIT_TYPE)]
         scan = _scan(sent, last, cleaned, [f.name for f in kept])
-        rows = rows.mapInArrow(scan, StructType(kept + added))
+        rows = rows.mapInArrow(lean(scan), StructType(kept + added))
         if not last:
             rows = scratch.put(rows, f"pass{number}")
     return rows

@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from vigil.llm.common import lean
 from vigil.llm.words import split
 
-SAMPLE = 300
-PATH_BINS, WORD_BINS, FIGURES = 128, 32, 8
+SAMPLE, REMADE = 300, 800
+PATH_BINS, WORD_BINS, FIGURES = 512, 32, 8
 WIDTH = PATH_BINS + WORD_BINS + FIGURES
 HIDDEN = 16
 EPOCHS = 12
-PAGES_AT_ONCE = 128
+PAGES_AT_ONCE, CELLS_AT_ONCE = 128, 8192
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -395,9 +396,10 @@ def remade(page: list[tuple[str, str, float]], rng: np.random.Generator) -> str:
 
 
 def training_pages(sample: list[str]) -> list[list[tuple[str, str, float]]]:
+    """The sample's pages and, page by page in turn, REMADE pages of other layouts."""
     rng = np.random.default_rng(7)
-    own = [blocks(page) for page in sample]
-    return own + [blocks(remade(page, rng)) for page in own if page for _ in range(2)]
+    own = [page for page in map(blocks, sample) if page]
+    return own + [blocks(remade(own[i % len(own)], rng)) for i in range(REMADE if own else 0)]
 
 
 def _fit(epochs: int):
@@ -422,7 +424,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> BiLstm:
         .select("html", F.xxhash64("page_id", "html").alias("place"))
         .repartition(1)
         .sortWithinPartitions("place")
-        .mapInArrow(_fit(epochs), "name string, weight array<double>")
+        .mapInArrow(lean(_fit(epochs)), "name string, weight array<double>")
         .collect()
     )
     model = BiLstm()
@@ -431,6 +433,17 @@ def fit(pages: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> BiLstm:
     return model
 
 
+def _groups(order: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Pages of like size, so many that their padded blocks stay few; a long page is alone."""
+    low = 0
+    while low < len(order):
+        high = min(len(order), low + PAGES_AT_ONCE)
+        while high > low + 1 and (high - low) * sizes[order[high - 1]] > CELLS_AT_ONCE:
+            high -= 1
+        yield order[low:high]
+        low = high
+
+
 def main_text(pages: list[str | None], model: BiLstm) -> list[str]:
     """The main text of each page: its blocks labelled so, joined by an empty line."""
     cut = [blocks(page) if page else [] for page in pages]
@@ -440,8 +453,7 @@ def main_text(pages: list[str | None], model: BiLstm) -> list[str]:
     scores = np.zeros(len(rows))
     filled = np.flatnonzero(sizes)
     filled = filled[np.argsort(sizes[filled], kind="stable")]
-    for low in range(0, len(filled), PAGES_AT_ONCE):
-        chosen = filled[low : low + PAGES_AT_ONCE]
+    for chosen in _groups(filled, sizes):
         x, length = _padded(rows, first, chosen)
         found, _ = model.forward(x, length)
         for column, i in enumerate(chosen):
@@ -477,4 +489,4 @@ def extract(pages: DataFrame, model: BiLstm, with_html: bool = True) -> DataFram
                 names=[*names, "text", "n_chars"],
             )
 
-    return rest.mapInArrow(run, StructType(kept + _RESULT))
+    return rest.mapInArrow(lean(run), StructType(kept + _RESULT))

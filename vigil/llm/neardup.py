@@ -11,10 +11,10 @@ so they are dropped before keys are paired.
 Candidates are never expanded into all pairs of a bucket. A shingle that no other candidate has
 cannot be in an intersection; counting those bounds the similarity of a set to any other, which
 rules out sets and pairs exactly. The set of a bucket with the fewest shingles of its own is its
-hub, and all others are compared with it. What is then still in another component than a hub is compared with the members of such buckets
-through their rarest shingles: prefix and positional filters rule out all pairs but a few,
-exactly. All links are confirmed on the full sets of 64-bit shingle hashes. Components come from
-alternating large-star and small-star steps.
+hub, and all others are compared with it. What is then still in another component than a hub is
+compared with the members of such buckets through their rarest shingles: prefix and positional
+filters rule out all pairs but a few, exactly. All links are confirmed on the full sets of 64-bit
+shingle hashes. Components come from alternating large-star and small-star steps.
 
 Defined cases: null texts and texts without words have an empty set, linked with nothing; with
 fewer words than a shingle the whole sequence is the one shingle; rows that repeat an id are
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import ROW, Scratch, keyed
+from vigil.llm.common import ROW, Scratch, keyed, lean
 from vigil.llm.words import Words, mix, runs, split
 
 HALVES = 20
@@ -201,7 +201,7 @@ class _Links:
             .select("a", "b", "left", "right")
         )
         self.rounds += 1
-        done = both.mapInArrow(_confirm(self.percent), "a long, b long, linked boolean")
+        done = both.mapInArrow(lean(_confirm(self.percent)), "a long, b long, linked boolean")
         done = self.scratch.put(done, f"tested{self.rounds}")
         self.tested = done if self.tested is None else self.tested.unionByName(done)
         self.labels = components(
@@ -248,22 +248,24 @@ def _link(rows: DataFrame, reps: DataFrame, k: int, percent: int, scratch: Scrat
         return None
     texts = rows.select(F.col(ROW).alias("row"), "text")
     texts = texts.join(keys.select("row").distinct(), "row")
-    sets = texts.select("row", "text").mapInArrow(_sets(k), "row long, set binary")
+    sets = texts.select("row", "text").mapInArrow(lean(_sets(k)), "row long, set binary")
     sets = scratch.put(sets, "sets")
 
-    listed = sets.mapInArrow(_members, "h long, row long")
+    listed = sets.mapInArrow(lean(_members), "h long, row long")
     holders = listed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
     own = holders.filter("n = 1").groupBy("row").agg(F.count(F.lit(1)).alias("own"))
     sizes = sets.select("row", F.expr("length(set) div 8").alias("n")).join(own, "row", "left")
     sizes = sizes.select("row", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("e"))
     sizes = scratch.put(sizes.filter(100 * F.col("e") >= percent * F.col("n")), "sizes")
 
-    sized = scratch.put(keys.join(sizes, "row").select("key", F.struct("row", "n", "e").alias("x")), "sized")
+    sized = keys.join(sizes, "row").select("key", F.struct("row", "n", "e").alias("x"))
+    sized = scratch.put(sized, "sized")
     hubs = sized.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"),
         F.min(F.struct((-F.col("x.e") / F.col("x.n")).alias("r"), "x")).alias("least"),
     )
-    hubs = scratch.put(hubs.filter("members > 1").select("key", F.col("least.x").alias("hub")), "hubs")
+    hubs = hubs.filter("members > 1").select("key", F.col("least.x").alias("hub"))
+    hubs = scratch.put(hubs, "hubs")
     placed = scratch.put(sized.join(hubs, "key"), "placed")
     links = _Links(sets, scratch, percent)
 
@@ -277,7 +279,8 @@ def _link(rows: DataFrame, reps: DataFrame, k: int, percent: int, scratch: Scrat
     minor = apart.select("row").distinct().withColumn("minor", F.lit(True))
     mates = members.join(apart.select("key").distinct(), "key", "left_semi")
     mates = mates.groupBy("row").agg(F.first("c").alias("c")).join(minor, "row", "left")
-    mates = scratch.put(mates.select("row", "c", F.coalesce("minor", F.lit(False)).alias("minor")), "mates")
+    mates = mates.select("row", "c", F.coalesce("minor", F.lit(False)).alias("minor"))
+    mates = scratch.put(mates, "mates")
     links.test(_prefix_pairs(sets.join(mates, "row"), percent))
     return links
 
@@ -292,7 +295,7 @@ def _prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """
     n = F.expr("length(set) div 8")
     info = rows.select("row", "c", "minor", n.cast("int").alias("n"))
-    listed = rows.select("row", "set").mapInArrow(_members, "h long, row long")
+    listed = rows.select("row", "set").mapInArrow(lean(_members), "h long, row long")
     often = listed.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     ordered = (
         listed.join(often, "h")
@@ -303,8 +306,8 @@ def _prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
         .withColumn("prefix", F.expr(f"n - ({percent} * n + 99) div 100 + 1 - own"))
         .select("row", "c", "minor", "n", "own", F.expr("slice(list, 1, cast(greatest(prefix, 0) AS int))").alias("list"))
         .select("row", "c", "minor", "n", "own", F.posexplode("list").alias("i", "w"))
-        .select("w.h", F.struct("row", "c", "minor", (F.col("n") - F.col("own") - F.col("i"))
-                                .alias("left"), "n").alias("x"))
+        .withColumn("left", F.col("n") - F.col("own") - F.col("i"))
+        .select("w.h", F.struct("row", "c", "minor", "left", "n").alias("x"))
     )
     other = ordered.withColumnRenamed("x", "y")
     most = F.least("x.left", "y.left")
@@ -356,7 +359,7 @@ def _labels(
     rows: DataFrame, shingle: int, percent: int, halves: int, half: int, scratch: Scratch
 ) -> DataFrame:
     """(row, n_shingles, component) for every row."""
-    signed = rows.select(ROW, "text").mapInArrow(_sign(shingle, halves, half), _SIGNED)
+    signed = rows.select(ROW, "text").mapInArrow(lean(_sign(shingle, halves, half)), _SIGNED)
     signed = scratch.put(signed, "signed")
     filled = signed.filter("n > 0")
     key = ["n", "set_a", "set_b"]

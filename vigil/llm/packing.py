@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import Scratch
+from vigil.llm.common import Scratch, lean
 from vigil.llm.tokens import PartTokenizer
 
 SEQUENCE = 4096
@@ -65,7 +65,7 @@ def pieces(
 ) -> DataFrame:
     """Pieces of the documents' ids followed by ``end_id``; longer ones are cut at ``size``."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_pieces(size, end_id, tokenizer), _PIECES)
+    return rows.mapInArrow(lean(_pieces(size, end_id, tokenizer)), _PIECES)
 
 
 def best_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

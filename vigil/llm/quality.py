@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from vigil.llm.common import lean
 from vigil.llm.words import column_bytes, split
 
 SAMPLE = 6000
@@ -272,10 +273,10 @@ def fit(
     chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     rows = chosen.select("text", "label", F.xxhash64("doc_id", "text").alias("place"))
     learned = (
-        rows.mapInArrow(_extract, "features binary, length binary, label int, place long")
+        rows.mapInArrow(lean(_extract), "features binary, length binary, label int, place long")
         .repartition(1)
         .sortWithinPartitions("place")
-        .mapInArrow(_train(steps), "values array<double>")
+        .mapInArrow(lean(_train(steps)), "values array<double>")
         .collect()
     )
     values = np.array(learned[0]["values"]) if learned else np.zeros(WIDTH + 6)
@@ -303,4 +304,4 @@ def score(docs: DataFrame, field: Field, with_text: bool = True) -> DataFrame:
                 names=[*names, "score", "predicted"],
             )
 
-    return rest.mapInArrow(run, StructType(kept + _RESULT))
+    return rest.mapInArrow(lean(run), StructType(kept + _RESULT))

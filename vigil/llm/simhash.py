@@ -24,7 +24,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import ROW, Scratch, keyed
+from vigil.llm.common import ROW, Scratch, keyed, lean
 from vigil.llm.words import mix, runs, split
 
 LONGS = 4
@@ -178,7 +178,7 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
         both.repartition(parts, "range")
         .sortWithinPartitions("range", "closing", F.desc(ROW))
         .select("doc_id", "text", "closing")
-        .mapInArrow(_compare, _COMPARED.format(kind=kind))
+        .mapInArrow(lean(_compare), _COMPARED.format(kind=kind))
     )
 
 

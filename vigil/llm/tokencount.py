@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vigil.llm.common import lean
 from vigil.llm.tokens import PartTokenizer
 
 END_ID = 49407
 BLOCK_TOKENS = 1 << 20
-ROWS_PER_FILE = 20_000
+ROWS_PER_FILE = 4_000
 
 
 def _pack(path: str | None):
@@ -53,7 +54,7 @@ def write_tokens(
 
     Texts that spell a special token are read as ordinary text, so they cannot end a document.
     """
-    packed = docs.select("text").mapInArrow(_pack(tokenizer), "ids binary")
+    packed = docs.select("text").mapInArrow(lean(_pack(tokenizer)), "ids binary")
     separator = np.array([end_id], "<u2").tobytes().decode("latin-1")
     (
         packed.select(F.col("ids").cast("string").alias("value"))
@@ -103,7 +104,7 @@ def scan_files(
     """One row per block of the flat files below ``path``."""
     files = spark.read.format("binaryFile").load(path)
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return named.mapInArrow(_scan(end_id, block_tokens), _BLOCKS)
+    return named.mapInArrow(lean(_scan(end_id, block_tokens)), _BLOCKS)
 
 
 def stitch(blocks: DataFrame) -> DataFrame:

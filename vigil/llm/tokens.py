@@ -17,7 +17,7 @@ from collections.abc import Iterable
 import numpy as np
 
 DEFAULT = "word_bpe_49k.json"
-CACHED_PARTS = 500_000
+CACHED_PARTS = 300_000
 
 # Letters whose lower case is one letter and which no normalisation changes.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž"

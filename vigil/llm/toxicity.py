@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from vigil.llm.common import lean
 from vigil.llm.words import PUNCTUATION, mix, powers, split
 
 BITS = 20
@@ -144,10 +145,10 @@ def fit(
     chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     rows = chosen.select("text", "label", F.xxhash64("doc_id", "text").alias("place"))
     learned = (
-        rows.mapInArrow(_extract(bits), "at array<int>, label int, place long")
+        rows.mapInArrow(lean(_extract(bits)), "at array<int>, label int, place long")
         .repartition(1)
         .sortWithinPartitions("place")
-        .mapInArrow(_train(bits, epochs, rates), "at long, weight double")
+        .mapInArrow(lean(_train(bits, epochs, rates)), "at long, weight double")
         .toPandas()
     )
     weights = np.zeros((1 << bits) + 1)
@@ -187,7 +188,7 @@ def score(docs: DataFrame, weights: np.ndarray, with_text: bool = True) -> DataF
                 names=[*names, "score", "predicted"],
             )
 
-    return rest.mapInArrow(run, StructType(kept + _RESULT))
+    return rest.mapInArrow(lean(run), StructType(kept + _RESULT))
 
 
 def fold(doc_id: Column, folds: int) -> Column:

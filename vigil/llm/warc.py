@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.llm.common import lean
+
 FILE_BYTES = 16 << 20
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -83,7 +85,8 @@ def resolve(pages: DataFrame, min_bytes: int = 0, parts: int | None = None) -> D
 
 def _record(resolved: DataFrame) -> Column:
     """One archive record without the double line break that ends it."""
-    record_id = F.concat(F.lit("<urn:page:"), F.coalesce("page_id", F.lit("none")), F.lit(">"))
+    number = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
+    record_id = F.concat(F.lit("<urn:page:"), number, F.lit(">"))
     revisit = F.col("record_type") == "revisit"
     body = F.when(revisit, "").otherwise(F.col("html"))
     # Line breaks cannot stand in a header.
@@ -196,4 +199,4 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 def read_archives(spark: SparkSession, path: str, with_body: bool = True) -> DataFrame:
     """One row per record of the archives below ``path``."""
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(_parse(with_body), _READ)
+    return files.mapInArrow(lean(_parse(with_body)), _READ)

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 # Bytes that end a word: white space x20 and x09-x0D.
 SPACES = np.zeros(256, dtype=bool)
