@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from vigil.llm.common import ROW, SPANS, Scratch, keyed, record_batch
+from vigil.llm.common import ROW, SPANS, Scratch, keyed, lean, record_batch
 from vigil.llm.words import Words, joined, mix, runs, split
 
 ANCHOR_WORDS = 8
@@ -307,11 +307,13 @@ def _ddl(schema: pa.Schema) -> str:
 def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, hot: int = HOT) -> DataFrame:
     """Per ``__row__`` of ``docs``: the list of passages with repeated windows (see ``covered``)."""
     found = scratch.put(
-        docs.select(ROW, "text").mapInArrow(_find(min_words), _ddl(_FOUND)), "passages"
+        docs.select(ROW, "text").mapInArrow(lean(_find(min_words)), _ddl(_FOUND)), "passages"
     )
     often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Written, so that both sides of the join are shuffled and a hot anchor can be split.
+    often = scratch.put(often, "often")
     shared = scratch.put(found.join(often, "anchor"), "shared")
-    scratch.drop("passages")
+    scratch.drop("passages", "often")
     firsts = shared.groupBy("anchor", "passage").agg(
         F.min(F.struct("row", "start", "windows")).alias("at"), F.max("n").alias("n")
     )
@@ -324,12 +326,12 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, hot: int =
         docs.select(F.col(ROW).alias("row"), "text")
         .join(listed, "row")
         .select("row", "text", "listed")
-        .mapInArrow(_route(min_words), _ddl(_ROUTED))
+        .mapInArrow(lean(_route(min_words)), _ddl(_ROUTED))
     )
     novel = (
         routed.repartition("shard")
         .sortWithinPartitions("shard", "row", "start")
-        .mapInArrow(_judge(min_words), _ddl(_NOVEL))
+        .mapInArrow(lean(_judge(min_words)), _ddl(_NOVEL))
         .select("row", "start", F.lit(None).cast("int").alias("windows"), "novel")
     )
     novel = scratch.put(novel, "novel")
@@ -357,7 +359,7 @@ def strip_repeats(
     joined_up = rows.select(*rest.columns, ROW).join(spans, ROW, "left")
     kept = [f for f in rest.schema if with_text or f.name != "text"]
     return joined_up.select(*rest.columns, SPANS).mapInArrow(
-        _strip(min_words, [f.name for f in kept]), StructType(kept + _RESULT)
+        lean(_strip(min_words, [f.name for f in kept])), StructType(kept + _RESULT)
     )
 
 
@@ -414,4 +416,4 @@ def strip_reference(
             yield _with(batch, batch.schema.names, sizes, removed, kept)
 
     rest = docs.drop(*(f.name for f in _RESULT))
-    return rest.mapInArrow(run, StructType(rest.schema.fields + _RESULT))
+    return rest.mapInArrow(lean(run), StructType(rest.schema.fields + _RESULT))
