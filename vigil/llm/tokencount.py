@@ -31,11 +31,12 @@ from vigil.llm.tokens import PartTokenizer
 END_ID = 49407
 BLOCK_TOKENS = 1 << 20
 ROWS_PER_FILE = 4_000
+CACHED_PARTS = 300_000  # fewer than elsewhere: written files share the executor's memory
 
 
 def _pack(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = PartTokenizer(path, dtype="<u2", plain=True)
+        tokenizer = PartTokenizer(path, dtype="<u2", plain=True, cached=CACHED_PARTS)
         for batch in batches:
             packed = tokenizer.pack(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["ids"])

@@ -17,7 +17,7 @@ from collections.abc import Iterable
 import numpy as np
 
 DEFAULT = "word_bpe_49k.json"
-CACHED_PARTS = 300_000
+CACHED_PARTS = 500_000
 
 # Letters whose lower case is one letter and which no normalisation changes.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž"
@@ -64,17 +64,24 @@ def _by_parts(path: str) -> dict | None:
 class PartTokenizer:
     """Packed ids (little-endian, ``dtype``) of texts, equal to encoding each text as a whole.
 
-    ``plain`` reads the strings of special tokens in a text as ordinary text.
+    ``plain`` reads the strings of special tokens in a text as ordinary text; ``cached`` parts
+    are kept (about 200 bytes each).
     """
 
-    def __init__(self, path: str | None = None, dtype: str = "<u4", plain: bool = False):
+    def __init__(
+        self,
+        path: str | None = None,
+        dtype: str = "<u4",
+        plain: bool = False,
+        cached: int = CACHED_PARTS,
+    ):
         from tokenizers import Tokenizer, pre_tokenizers
 
         path = path or default_path()
         self.whole = Tokenizer.from_file(path)
         if plain:
             self.whole.encode_special_tokens = True
-        self.dtype = np.dtype(dtype)
+        self.dtype, self.cached = np.dtype(dtype), cached
         self.cache: dict[str, bytes] = {}
         vocabulary = _by_parts(path)
         self.by_parts = vocabulary is not None
@@ -135,7 +142,7 @@ class PartTokenizer:
         split = [self._split(text) for text in texts]
         all_parts = set().union(*split)
         new = all_parts - cache.keys()
-        if len(cache) + len(new) > CACHED_PARTS:
+        if len(cache) + len(new) > self.cached:
             cache.clear()
             new = all_parts
         odd = [part for part in new if part[0] == " "]
