@@ -7,8 +7,10 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from vigil.llm import simhash as S
+from vigil.llm.common import Scratch
 from vigil.llm.warc import parse, read_archives, write_archives
 from vigil.plans.scratch import scratch_path
 
@@ -128,3 +130,56 @@ def test_neighbours(spark):
     assert S.compare_neighbours(docs.limit(0)).collect() == []
     odd = docs.unionByName(docs).unionByName(docs.selectExpr("null doc_id", "text", "1 n_chars"))
     assert S.compare_neighbours(odd.selectExpr("cast(doc_id as long) doc_id", "text")).count() == 15
+
+
+def test_near_copies_are_found_and_named(spark):
+    """Near copies of five-word Jaccard from 0.8 to below 1 are found by their ids."""
+    rng = np.random.default_rng(3)
+    stock = ["w" + "".join(rng.choice(list("abcdefgh"), 5)) for _ in range(3000)]
+    texts, near = {}, []
+    for i in range(30):
+        words = list(rng.choice(stock, 300))
+        texts[20 * i] = " ".join(words)
+        for at in (50, 150, 250):
+            words[at] = f"edited{i}"
+        texts[20 * i + 1] = texts[20 * i + 2] = " ".join(words)
+        near.append((texts[20 * i], texts[20 * i + 1]))
+    texts[601] = texts[0]
+
+    def runs(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    for a, b in near:
+        assert 0.8 <= len(runs(a) & runs(b)) / len(runs(a) | runs(b)) < 1
+    rows = [(i, t, 1) for i, t in texts.items()] + [(None, texts[0], 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    scratch = Scratch(spark)
+    compared = scratch.put(S.compare_neighbours(docs), "fingerprints")
+    got = {r.doc_id: r for r in S.name_near(compared, F.col("doc_id") % 20 == 0, scratch).collect()}
+    assert len(got) == len(rows)
+    for i in range(30):
+        row = got[20 * i]
+        assert [(n.representative, n.n) for n in row.near] == [(20 * i + 1, 2)]
+        assert 0 < row.near[0].distance <= S.RADIUS
+        assert row.n_near == (4 if i == 0 else 2)
+        assert got[20 * i + 2].representative == 20 * i + 1
+        assert got[20 * i + 2].n_near is None and got[20 * i + 2].near is None
+    assert got[601].representative == got[None].representative == 0
+
+
+def test_wide_radius_equals_brute_force(spark):
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 256, (10, 32), dtype=np.uint8)
+    rows = []
+    for i in range(120):
+        bits = np.unpackbits(base[i % 10])
+        bits[rng.choice(256, rng.integers(0, 34), replace=False)] ^= 1
+        rows.append(np.packbits(bits).tobytes().hex())
+    prints = spark.createDataFrame([(r,) for r in rows], "fingerprint string")
+    for radius in (13, 27, 31):
+        got = sorted((r.query, r.fingerprint, r.distance)
+                     for r in S.near_fingerprints(prints, prints, radius).collect())
+        apart = lambda q, f: bin(int(q, 16) ^ int(f, 16)).count("1")
+        want = sorted((q, f, apart(q, f)) for q in set(rows) for f in set(rows) if apart(q, f) <= radius)
+        assert got == want

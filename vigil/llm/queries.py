@@ -14,7 +14,7 @@ from vigil.llm.html import extract
 from vigil.llm.html import fit as fit_html
 from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack_documents
-from vigil.llm.simhash import compare_neighbours, near_fingerprints
+from vigil.llm.simhash import compare_neighbours, name_near
 from vigil.llm.substring import strip_repeats
 from vigil.llm.tokencount import scan_files, stitch, write_tokens
 from vigil.llm.warc import read_archives, write_archives
@@ -166,18 +166,14 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_document_fingerprints")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    """``n_near``: for ids divisible by 20, how many other documents have a fingerprint within
-    the radius; null for the rest."""
+    """``representative``: the least id with the same fingerprint, so that rows with the same one
+    are its members. For ids divisible by 20, and null for the rest: ``n_near``, how many other
+    documents have a fingerprint within the radius, and ``near``, the other fingerprints found,
+    each by its distance, representative and number of members."""
     docs = table(spark, folder, "documents")
-    compared = Scratch(spark).put(compare_neighbours(docs), "fingerprints")
-    asked = compared.filter("doc_id % 20 = 0")
-    near = near_fingerprints(compared.select("fingerprint"), asked)
-    counts = near.groupBy(F.col("query").alias("fingerprint")).agg(
-        (F.sum("n") - 1).alias("n_near")
-    )
-    counted = asked.join(counts, "fingerprint", "left").select(*compared.columns, "n_near")
-    rest = compared.filter("doc_id % 20 <> 0 or doc_id is null")
-    return counted.unionByName(rest.withColumn("n_near", F.lit(None).cast("long")))
+    scratch = Scratch(spark)
+    compared = scratch.put(compare_neighbours(docs), "fingerprints")
+    return name_near(compared, F.col("doc_id") % 20 == 0, scratch)
 
 
 @query("op6_toxicity")

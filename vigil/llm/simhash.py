@@ -1,12 +1,13 @@
 """SimHash fingerprints and the search for all fingerprints within a Hamming radius.
 
-Terms are pairs of neighbouring lower-cased words (a text of one word is its own term); pairs
-of short words, which every text of a language shares, weigh half as much as others. The bits of
-a term's hash vote for or against the bits of the fingerprint.
+Terms are the distinct lower-cased words of a text, each once: an edited word changes one term,
+and words that a text repeats do not outvote the rest. The bits of a term's hash vote for or
+against the bits of the fingerprint.
 
-Two fingerprints within radius r agree in at least one of r + 1 blocks of bits. Each block,
-moved to the front, is the key of one table. Equal fingerprints are one entry with a count, a
-pair is reported by its first agreeing table only, and the distance is part of the join.
+Two fingerprints within radius r differ by at most one bit in one of r // 2 + 1 blocks of bits.
+Each block, moved to the front, is the key of one table, and a query looks up its own block and
+those with one bit flipped. Equal fingerprints are one entry with a count, a pair is reported by
+its first meeting table only, and the distance is part of the join.
 
 Defined cases: null texts are empty; texts without words have the fingerprint of zeros; rows
 that repeat an id follow each other by text; a single row is followed by itself; an empty table
@@ -25,12 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import ROW, Scratch, keyed, lean
-from vigil.llm.words import mix, runs, split
+from vigil.llm.words import mix, split
 
 LONGS = 4
 BITS = 64 * LONGS
-RADIUS = 8
-SHORT_PAIR = 8
+# Distances of near copies (five-word Jaccard from 0.8 to below 1) in the test tables: median 16, at most 27.
+RADIUS = 27
+EXACT = 12  # up to this radius blocks of twenty bits are found without flips
 
 # For each byte, its eight bits in eight counters of one byte.
 _SPREAD = np.zeros(256, dtype=np.uint64)
@@ -64,25 +66,17 @@ def _ones(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 def fingerprints(column: pa.Array) -> np.ndarray:
     """One row of BITS / 8 bytes per text."""
     words = split(column, lower=True)
-    pair, inside = runs(words, 2)
-    sizes = np.diff(words.first)
-    alone = words.first[:-1][sizes == 1]
-    term = inside.copy()
-    term[alone] = True
-    hashes = pair.copy()
-    hashes[alone] = mix(words.hash[alone])
-    width = words.end - words.start
-    both = width.copy()
-    both[:-1] += width[1:]
-    short = term & (both <= SHORT_PAIR)
+    owner = np.repeat(np.arange(len(words)), np.diff(words.first))
+    order = np.lexsort((words.hash, owner))
+    owner, terms = owner[order], words.hash[order]
+    new = np.ones(len(terms), dtype=bool)
+    new[1:] = (terms[1:] != terms[:-1]) | (owner[1:] != owner[:-1])
+    owner, terms = owner[new], terms[new]
+    at = np.searchsorted(owner, np.arange(len(words) + 1))
     votes = np.zeros((len(words), BITS), dtype=np.int64)
-    for chosen, weight in ((short, 1), (term & ~short, 2)):
-        at = np.concatenate([[0], np.cumsum(chosen)])[words.first]
-        some = hashes[chosen]
-        for i in range(LONGS):
-            bits = mix(some + np.uint64(i + 1))
-            ones = _ones(bits, at)
-            votes[:, 64 * i : 64 * i + 64] += weight * (2 * ones - np.diff(at)[:, None])
+    for i in range(LONGS):
+        ones = _ones(mix(terms + np.uint64(i + 1)), at)
+        votes[:, 64 * i : 64 * i + 64] = 2 * ones - np.diff(at)[:, None]
     return np.packbits(votes > 0, axis=1)
 
 
@@ -204,45 +198,92 @@ def _masks(blocks: int) -> list[list[tuple[int, int]]]:
     return out
 
 
+def _lookups(masks: list[list[tuple[int, int]]], flips: int) -> str:
+    """SQL of one row per block and looked-up change of it: the block's number, its mask and the
+    flipped bits in each long."""
+    rows = []
+    for j, touched in enumerate(masks):
+        mask = dict(touched)
+        changes = [{}]
+        if flips:
+            for i, bits in touched:
+                changes += [{i: 1 << k} for k in range(64) if bits >> k & 1]
+        for change in changes:
+            flip = [x - (1 << 64) if x >> 63 else x for x in (change.get(i, 0) for i in range(LONGS))]
+            values = [f"{mask.get(i, 0)}L, {flip[i]}L" for i in range(LONGS)]
+            rows.append(f"struct({j}L, {', '.join(values)})")
+    return f"inline(array({', '.join(rows)}))"
+
+
 def near_fingerprints(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(query, fingerprint, distance, n) for every fingerprint of ``prints`` (fingerprint)
-    within ``radius`` of one of ``queries`` (fingerprint); ``n`` rows have it.
+    within ``radius`` of one of ``queries`` (fingerprint); ``n`` rows have it. Where ``prints``
+    has a doc_id, its least one with the fingerprint is the ``representative``.
 
-    ``radius`` is at most 31, so that a block has eight bits or more; up to 12 a key of twenty
-    bits or more keeps tables selective on large corpora.
+    ``radius`` is at most 31. Up to 12 a block has twenty bits or more and must be equal; above,
+    half as many blocks may differ by one bit, so that keys keep sixteen bits or more.
     """
     if not 0 <= radius < 32:
         raise ValueError("radius must be from 0 to 31")
-    masks = _masks(radius + 1)
+    flips = int(radius > EXACT)
+    masks = _masks(radius // 2 + 1 if flips else radius + 1)
     longs = [f"f{i}" for i in range(LONGS)]
+    changes = ["block", *(f"{name}{i}" for i in range(LONGS) for name in ("mask", "flip"))]
 
-    def tables(rows: DataFrame) -> DataFrame:
-        rows = rows.select("n", *(_long("fingerprint", i).alias(longs[i]) for i in range(LONGS)))
-        keys = [
-            F.xxhash64(F.lit(j), *(F.col(longs[i]).bitwiseAND(F.lit(mask)) for i, mask in touched))
-            for j, touched in enumerate(masks)
-        ]
-        return rows.select("*", F.posexplode(F.array(*keys)).alias("block", "key"))
+    def tables(rows: DataFrame, flips: int) -> DataFrame:
+        rows = rows.select(*(_long("fingerprint", i).alias(longs[i]) for i in range(LONGS)))
+        rows = rows.select("*", F.expr(f"{_lookups(masks, flips)} as ({', '.join(changes)})"))
+        bits = [F.col(f).bitwiseAND(F.col(f"mask{i}")).bitwiseXOR(F.col(f"flip{i}"))
+                for i, f in enumerate(longs)]
+        key = F.shiftleft(F.xxhash64(*bits), 5).bitwiseOR(F.col("block"))  # at most 32 blocks
+        return rows.select(*longs, key.alias("key"))
 
     def text(side: str) -> Column:
         return F.concat(*(F.lpad(F.lower(F.hex(f"{side}.{f}")), 16, "0") for f in longs))
 
-    entries = tables(prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))).alias("e")
-    asked = queries.select("fingerprint").distinct().withColumn("n", F.lit(1))
-    asked = tables(asked).alias("q")
+    known = [F.count(F.lit(1)).alias("n")]
+    if "doc_id" in prints.columns:
+        known.append(F.min("doc_id").alias("representative"))
+    entries = tables(prints.select("fingerprint").distinct(), 0).alias("e")
+    asked = tables(queries.select("fingerprint").distinct(), flips).alias("q")
     differ = [F.col(f"e.{f}").bitwiseXOR(F.col(f"q.{f}")) for f in longs]
     distance = sum(F.bit_count(d) for d in differ)
+    block = F.col("q.key").bitwiseAND(F.lit(31))
     earlier = F.lit(False)
     for j, touched in enumerate(masks[:-1]):
-        agree = F.col("q.block") > j
-        for i, mask in touched:
-            agree &= differ[i].bitwiseAND(F.lit(mask)) == 0
-        earlier |= agree
-    met = (F.col("e.key") == F.col("q.key")) & (F.col("e.block") == F.col("q.block"))
-    pairs = asked.hint("merge").join(entries, met & (distance <= radius) & ~earlier)
-    return pairs.select(
+        apart = sum(F.bit_count(differ[i].bitwiseAND(F.lit(mask))) for i, mask in touched)
+        earlier |= (block > j) & (apart <= flips)
+    met = F.col("e.key") == F.col("q.key")
+    pairs = asked.hint("merge").join(entries, met & (distance <= radius) & ~earlier).select(
         text("q").alias("query"),
         text("e").alias("fingerprint"),
         distance.cast("int").alias("distance"),
-        F.col("e.n").alias("n"),
+    )
+    found = pairs.join(prints.groupBy("fingerprint").agg(*known), "fingerprint")
+    return found.select("query", "fingerprint", "distance", *found.columns[3:])
+
+
+def name_near(compared: DataFrame, asked: Column, scratch: Scratch) -> DataFrame:
+    """``compared`` (doc_id, fingerprint, ...) with ``representative``, the least id of the same
+    fingerprint, and, where ``asked`` holds, ``n_near`` and ``near`` (distance, representative, n).
+
+    Only fingerprints that are repeated or asked for are joined with the rows.
+    """
+    prints = compared.select("doc_id", "fingerprint")
+    other = F.when(
+        F.col("query") != F.col("fingerprint"), F.struct("distance", "representative", "n")
+    )
+    found = near_fingerprints(prints, prints.filter(asked)).groupBy("query").agg(
+        (F.sum("n") - 1).alias("n_near"), F.sort_array(F.collect_list(other)).alias("near")
+    )
+    groups = prints.groupBy("fingerprint").agg(
+        F.min("doc_id").alias("representative"), F.count(F.lit(1)).alias("members")
+    )
+    groups = groups.join(found.withColumnRenamed("query", "fingerprint"), "fingerprint", "left")
+    groups = groups.filter((F.col("members") > 1) | F.col("n_near").isNotNull())
+    groups = scratch.put(groups.drop("members"), "near_groups")
+    return compared.join(groups, "fingerprint", "left").select(
+        *(F.col(c) for c in compared.columns),
+        F.coalesce("representative", "doc_id").alias("representative"),
+        *(F.when(asked, F.col(c)).alias(c) for c in ("n_near", "near")),
     )
