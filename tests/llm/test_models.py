@@ -109,6 +109,24 @@ def test_blocks():
         html.blocks(broken)
 
 
+def test_skipped_elements_end_where_html_ends_them():
+    said = lambda page: [t for _, t, _ in html.blocks(page)]
+    for element in (
+        '<svg-icon name="x"></svg-icon>', "<select-box>", "<template-x/>", "<object-y >", "<style-z>",
+        '<svg class="i"/>', '<svg title="a > b" />', "<svg/>", "<svg><path d='M0'/></svg>",
+        "<svg>a<svg>b</svg>c</svg>", "<script>a</scripty>b</script >", "<STYLE>p</style\n>",
+        "<textarea><p>a</textarea>", "<template><p>a<template>b</template></p>c</template>",
+        "<noscript><p>no</p></noscript>", "<select><option>a</select>",
+        "<object><object>a</object>b</object>",
+    ):
+        assert said(f"<p>One</p>{element}<p>Two</p>") == ["One", "Two"], element
+        assert said(f"<p>One</p>{element}<p>Two</p><svg><g/></svg><p>Three") == ["One", "Two", "Three"]
+    for open_only in ("<svg>", "<svg class=a/>", "<select>", "<object>", "<template>", "<noscript>"):
+        assert said(f"<p>One</p>{open_only}<p>Two</p>") == ["One", "Two"]
+    assert said("<p>One</p><svg><p>Two</p><svg>x</svg><p>Three</p>") == ["One", "Two", "Three"]
+    assert said("<p>One</p><script>x<p>Two</p>") == ["One"]
+
+
 @pytest.fixture(scope="module")
 def labeller():
     import duckdb

@@ -10,9 +10,11 @@ pages of least hash. No labels exist, so blocks of the sample are taught by a ru
 (see ``taught``), on the pages themselves and on pages put together anew from their text with
 other containers, sidebars, notices, forms and comments. The rule is not used on other pages.
 
-Defined cases: null and empty pages give an empty text; markup that is never closed runs to the
-end of the page; rows that repeat an id are extracted one by one; without pages there is nothing
-to learn and nothing to label; other columns are passed on, ``text`` and ``n_chars`` replaced.
+Defined cases: null and empty pages give an empty text; comments and the raw text of script,
+style, textarea and iframe that are never closed run to the end of the page, other elements
+without an end tag hide nothing; rows that repeat an id are extracted one by one; without pages
+there is nothing to learn and nothing to label; other columns are passed on, ``text`` and
+``n_chars`` replaced.
 """
 
 from __future__ import annotations
@@ -40,14 +42,14 @@ PAGES_AT_ONCE, CELLS_AT_ONCE = 128, 8192
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|noscript|iframe|svg|textarea|select|object)\b[^>]*>"
-    r".*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|iframe)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"""|<(/?)([a-z][^\s/>]*)((?>[^>"']+|"[^"]{0,20000}"|'[^']{0,20000}')*+)>"""
     r"|<(/?)([a-z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_UNQUOTED = re.compile(r"""=\s*[^\s"'>][^\s>]*\Z""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Elements whose tags end a block, and those that have no end tag.
@@ -58,6 +60,9 @@ _BLOCKS = frozenset(
     "th thead title tr ul button label".split()
 )
 _EMPTY = frozenset("hr br img input meta link area base col embed source track wbr param".split())
+# Elements whose content is no text of the page, where their end tag comes.
+_HIDDEN = frozenset("template noscript svg select object".split())
+_MAY_HIDE = re.compile(f"</(?:{'|'.join(sorted(_HIDDEN))})", re.I)
 _CLOSED_BY_SIBLING = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -69,6 +74,28 @@ _CLOSED_BY_SIBLING = {
 }
 
 
+def _hidden(page: str) -> dict[int, int]:
+    """Where each hidden element of the page starts and ends. An element without an end tag hides
+    nothing; svg may end in its own tag."""
+    out: dict[int, int] = {}
+    if not _MAY_HIDE.search(page):
+        return out
+    opened: dict[str, list[int]] = {name: [] for name in _HIDDEN}
+    for token in _TOKEN.finditer(page):
+        tag = (token[3] or token[6] or "").lower()
+        if tag not in _HIDDEN:
+            continue
+        if (token[2] or token[5]) == "/":
+            if opened[tag]:
+                out[opened[tag].pop()] = token.end()
+            continue
+        attributes = token[4] or token[7] or ""
+        if tag == "svg" and attributes.endswith("/") and not _UNQUOTED.search(attributes):
+            continue
+        opened[tag].append(token.start())
+    return out
+
+
 def blocks(page: str) -> list[tuple[str, str, float]]:
     """Tag path, text and share of link text of every block with text.
 
@@ -93,7 +120,10 @@ def blocks(page: str) -> list[tuple[str, str, float]]:
     def close(upto: int):
         del stack[upto:], tags[upto:]
 
+    hidden = _hidden(page)
     for token in _TOKEN.finditer(page):
+        if token.start() < at:
+            continue
         if token.start() > at:
             said = page[at : token.start()]
             if "&" in said:
@@ -101,9 +131,9 @@ def blocks(page: str) -> list[tuple[str, str, float]]:
             text.append(said)
             if in_link:
                 linked += len(said)
-        at = token.end()
+        at = hidden.get(token.start(), token.end())
         tag = token[3] or token[6]
-        if tag is None:
+        if tag is None or at > token.end():
             continue
         tag, ends = tag.lower(), (token[2] or token[5]) == "/"
         if tag == "br":
