@@ -127,6 +127,20 @@ def test_skipped_elements_end_where_html_ends_them():
     assert said("<p>One</p><script>x<p>Two</p>") == ["One"]
 
 
+def test_attributes_are_read_as_html_does():
+    said = lambda page: [t for _, t, _ in html.blocks(page)]
+    long = "<p>leak</p> " * 5000
+    assert said(f"""<p>One</p><div data-json='{long}' srcdoc = "{long}"><p>Two</p></div>""") == ["One", "Two"]
+    assert said("<p>One</p><a title=don't>Two</a><p>Three it's></p>") == ["One", "Two", "Three it's>"]
+    assert said("<p>One</p><a it's x='>'>Two</a><p>Three's</p>") == ["One", "Two", "Three's"]
+    assert said("""<p>One</p><a href="x>Two</a><p>Three</p>""") == ["One", "Two", "Three"]
+    assert said("<p>One</p><a b=>Two</a><p a=b/>Three") == ["One", "Two", "Three"]
+    assert said("<p>One</p><svg d='a>b' /><p>Two</p></svg>x < y <z a=") == ["One", "Two", "x < y <z a="]
+    html.blocks("<a b='" * 200_000)
+    html.blocks("<a b=x " * 200_000)
+    html.blocks("</script " * 100_000 + "<script>" + "</script " * 100_000)
+
+
 @pytest.fixture(scope="module")
 def labeller():
     import duckdb

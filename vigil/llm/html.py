@@ -40,11 +40,17 @@ HIDDEN = 16
 EPOCHS = 12
 PAGES_AT_ONCE, CELLS_AT_ONCE = 128, 8192
 
+# Attributes as HTML reads them, in one pass: a quote opens a value only after "="; one that is
+# never closed is a character like others.
+_ATTRIBUTES = (
+    r"""(?:[\s/]++|[^\s/>][^\s/>=]*+"""
+    r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>)))?+)*+"""
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|iframe)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"""|<(/?)([a-z][^\s/>]*)((?>[^>"']+|"[^"]{0,20000}"|'[^']{0,20000}')*+)>"""
-    r"|<(/?)([a-z][^\s/>]*)([^>]*)>"
+    rf"|<(script|style|textarea|iframe)(?=[\s/>]){_ATTRIBUTES}>"
+    r".*?(?:</\1(?=[\s/>])[^>]*+(?:>|\Z)|\Z)"
+    rf"|<(/?)([a-z][^\s/>]*+)({_ATTRIBUTES})(>|\Z)"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
@@ -82,15 +88,14 @@ def _hidden(page: str) -> dict[int, int]:
         return out
     opened: dict[str, list[int]] = {name: [] for name in _HIDDEN}
     for token in _TOKEN.finditer(page):
-        tag = (token[3] or token[6] or "").lower()
-        if tag not in _HIDDEN:
+        tag = (token[3] or "").lower()
+        if tag not in _HIDDEN or not token[5]:
             continue
-        if (token[2] or token[5]) == "/":
+        if token[2]:
             if opened[tag]:
                 out[opened[tag].pop()] = token.end()
             continue
-        attributes = token[4] or token[7] or ""
-        if tag == "svg" and attributes.endswith("/") and not _UNQUOTED.search(attributes):
+        if tag == "svg" and token[4].endswith("/") and not _UNQUOTED.search(token[4]):
             continue
         opened[tag].append(token.start())
     return out
@@ -124,6 +129,8 @@ def blocks(page: str) -> list[tuple[str, str, float]]:
     for token in _TOKEN.finditer(page):
         if token.start() < at:
             continue
+        if token[5] == "":  # a tag that never ends is text
+            break
         if token.start() > at:
             said = page[at : token.start()]
             if "&" in said:
@@ -132,10 +139,10 @@ def blocks(page: str) -> list[tuple[str, str, float]]:
             if in_link:
                 linked += len(said)
         at = hidden.get(token.start(), token.end())
-        tag = token[3] or token[6]
+        tag = token[3]
         if tag is None or at > token.end():
             continue
-        tag, ends = tag.lower(), (token[2] or token[5]) == "/"
+        tag, ends = tag.lower(), token[2] == "/"
         if tag == "br":
             text.append(" ")
         elif tag == "a":
@@ -152,7 +159,7 @@ def blocks(page: str) -> list[tuple[str, str, float]]:
             while tags and tags[-1] in siblings:
                 close(len(tags) - 1)
             if tag not in _EMPTY:
-                stack.append(_element(tag, token[4] or token[7] or ""))
+                stack.append(_element(tag, token[4]))
                 tags.append(tag)
     if at < len(page):
         said = page[at:]
