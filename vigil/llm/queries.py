@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import quality, toxicity
+from vigil.llm import quality, rules, toxicity
 from vigil.llm.common import Scratch, table
 from vigil.llm.contamination import find_contamination
 from vigil.llm.html import extract
@@ -268,3 +268,64 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), size=4096, end_id=1)
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+lines AS (
+  SELECT doc_id, list_filter(string_split(text, chr(10)),
+                             lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs
+),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS seq
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM docs)
+),
+again AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, seq) > 1
+),
+repeated AS (
+  SELECT doc_id, count(DISTINCT word) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS word FROM again) GROUP BY doc_id
+),
+measured AS (
+  SELECT d.doc_id, len(words) AS n_words,
+         length(array_to_string(words, '')) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(r.n, 0) AS n_repeat_words,
+         len(list_filter(words, lambda w: lower(w) IN {STOP})) AS n_stop,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^\s*[-*•]'))) AS n_bullet,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS n_open
+  FROM docs d JOIN lines USING (doc_id) LEFT JOIN repeated r USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
+       n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       n_words >= 20 AND 100 * n_repeat_words <= 30 * n_words
+         AND 100 * word_chars BETWEEN 300 * n_words AND 1000 * n_words
+         AND 100 * n_symbols <= 10 * n_words AND n_stop >= 2 AND 100 * n_stop >= 2 * n_words
+         AND 100 * n_dup_lines <= 50 * n_lines AND 100 * n_bullet <= 90 * n_lines
+         AND 100 * n_open <= 30 * n_lines AS kept
+FROM measured
+""".replace("{STOP}", "(" + ", ".join(f"'{word}'" for word in rules.STOP_WORDS) + ")")
+
+
+@query("op12_quality_rules", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return rules.judge(docs).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
