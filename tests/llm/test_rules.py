@@ -88,8 +88,8 @@ PROSE = "the river of the valley and a road to it is in this old land that was f
         ((PROSE + " ten more words stand here ") * 2, ["repeated_words"]),
         (PROSE.replace(" ", " | ") + " ten more words", ["word_length", "symbols"]),
         (" ".join(f"wort{i}" for i in range(30)), ["stop_words", "stop_word_share"]),
-        ("\n".join(f"- the longest item of this numbered row {i}" for i in range(9)), ["bullet_lines"]),
-        ("\n".join(f"the longest item of this row {i}..." for i in range(9)), ["open_lines"]),
+        ("\n".join(f"- the longest item{i} of this list" for i in range(9)), ["bullet_lines"]),
+        ("\n".join(f"the longest item{i} of this list..." for i in range(9)), ["open_lines"]),
     ],
 )
 def test_thresholds(spark, text, failed):
