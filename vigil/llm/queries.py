@@ -15,6 +15,7 @@ from vigil.llm.html import fit as fit_html
 from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack_documents
 from vigil.llm.simhash import compare_neighbours, name_near
+from vigil.llm.spelling import variants
 from vigil.llm.substring import strip_repeats
 from vigil.llm.tokencount import scan_files, stitch, write_tokens
 from vigil.llm.warc import read_archives, write_archives
@@ -36,6 +37,26 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# CRC-32 in SQL: the table of its 256 steps, made by its rule, and a fold over bytes in hex.
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1
+                            THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS step
+  FROM range(0, 256) t(i)
+)
+"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for the CRC-32 of the UTF-8 bytes of ``text``, where ``crc_table`` is joined."""
+    byte = "('0x' || substr(hex(encode(TEXT)), (2 * k + 1)::INTEGER, 2))::BIGINT"
+    fold = (
+        "xor(list_reduce(range(0, octet_length(encode(TEXT))), lambda c, k: "
+        f"xor(step[xor(c, {byte}) % 256 + 1], c >> 8), 4294967295::BIGINT), 4294967295::BIGINT)"
+    )
+    return fold.replace("TEXT", text)
+
+
 OP1_SQL = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
@@ -329,3 +350,68 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+OP13_SQL = (
+    "WITH RECURSIVE " + CRC_TABLE + r""",
+runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents
+  )
+  WHERE length(run) >= 6 GROUP BY ALL
+),
+hashed AS (
+  SELECT run, times, {CRC} AS h FROM runs, crc_table
+),
+words AS (
+  SELECT word, sum(times)::BIGINT AS n
+  FROM (
+    SELECT times, CASE WHEN h % 199 = 0
+             THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+             ELSE run END AS word
+    FROM hashed
+  )
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+),
+gaps AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS gap,
+         substr(word, 1, i - 1) || substr(word, i + 1) AS less
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM gaps a JOIN gaps b
+  ON a.gap = b.gap AND a.word <> b.word
+  UNION
+  SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON g.less = w.word
+  UNION
+  SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON g.less = w.word
+),
+best AS (
+  SELECT word, count(*) AS n_near, max(n) AS most,
+         (list(other ORDER BY n DESC, encode(other)))[1] AS other
+  FROM near GROUP BY word
+),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN most >= 5 * w.n THEN other END AS form,
+         CASE WHEN most >= 5 * w.n THEN most END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+),
+roots AS (
+  SELECT word, word AS root FROM forms WHERE form IS NULL
+  UNION ALL
+  SELECT f.word, r.root FROM forms f JOIN roots r ON f.form = r.word
+)
+SELECT word, n, n_near, form, form_n, root FROM forms JOIN roots USING (word)
+""".replace("{CRC}", crc32_sql("(doc_id || ':' || run)"))
+)
+
+
+@query("op13_spelling_variants", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return variants(docs, Scratch(spark)).select("word", "n", "n_near", "form", "form_n", "root")
