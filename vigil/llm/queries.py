@@ -14,6 +14,7 @@ from vigil.llm.html import extract
 from vigil.llm.html import fit as fit_html
 from vigil.llm.neardup import near_duplicates
 from vigil.llm.packing import pack_documents
+from vigil.llm.prefixtrie import borrowed, numbered, trie
 from vigil.llm.simhash import compare_neighbours, name_near
 from vigil.llm.spelling import variants
 from vigil.llm.substring import strip_repeats
@@ -291,6 +292,74 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), size=4096, end_id=1)
 
 
+OP11_SQL = (
+    "WITH " + CRC_TABLE + r""",
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+sizes AS (SELECT conv_id, count(*) AS size FROM turns GROUP BY conv_id),
+ids AS (
+  SELECT s.conv_id, h, s.conv_id - s.conv_id % 20 AS lender, least(h, coalesce(l.size, 0)) AS lent
+  FROM (SELECT conv_id, {CRC} % 4 AS h FROM sizes, crc_table) s
+  LEFT JOIN sizes l ON l.conv_id = s.conv_id - s.conv_id % 20
+),
+rebuilt AS (
+  SELECT i.conv_id, t.place, role, text FROM ids i JOIN turns t ON t.conv_id = lender AND t.place < h
+  UNION ALL
+  SELECT i.conv_id, t.place - h + lent, role, text
+  FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.place >= h
+),
+named AS (
+  SELECT conv_id, place + 1 AS depth, text,
+         sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+                OVER (PARTITION BY conv_id ORDER BY place)) AS name
+  FROM rebuilt
+),
+prefixes AS (
+  SELECT conv_id, 0 AS depth, 'root' AS name, 0 AS words FROM ids
+  UNION ALL
+  SELECT conv_id, depth, name, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) FROM named
+),
+chained AS (
+  SELECT *, lag(name) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS is_end
+  FROM prefixes
+),
+nodes AS (
+  SELECT name, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+         min(parent) AS parent,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), ''))
+           AS ends_sha256
+  FROM chained GROUP BY name, depth
+),
+children AS (SELECT parent AS name, count(*) AS n_children FROM nodes GROUP BY parent),
+own AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * words AS saved
+  FROM nodes n LEFT JOIN children USING (name)
+),
+totals AS (
+  SELECT p.name, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM own o JOIN prefixes p ON p.conv_id = o.conv_id AND p.depth <= o.depth GROUP BY p.name
+)
+SELECT o.conv_id, o.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, o.n_convs, o.n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+FROM own o JOIN totals USING (name) LEFT JOIN own u ON o.parent = u.name
+""".replace("{CRC}", crc32_sql("conv_id::VARCHAR"))
+)
+
+
+@query("op11_conversation_trie", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark)
+    turns = scratch.put(numbered(table(spark, folder, "conversations")), "turns")
+    rebuilt, ids = borrowed(turns)
+    return trie(scratch.put(rebuilt, "rebuilt"), scratch.put(ids, "ids"), scratch)
+
+
 OP12_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text,
