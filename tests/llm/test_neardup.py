@@ -87,3 +87,12 @@ def test_components_of_long_paths(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r.node: r.component for r in components(df, Scratch(spark), "t").collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100, 150: 100}
+
+
+def test_words_of_thue_morse_are_not_one(spark):
+    from tests.llm.test_words_tokens import thue_morse
+
+    rows = [(i, word) for i, word in enumerate(thue_morse(1024) + thue_morse(2048))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(docs, shingle=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i for i in range(4)}

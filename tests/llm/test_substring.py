@@ -94,3 +94,13 @@ def test_reference(spark):
         assert kept == {0: (3, "x y"), 1: (4, "one two"), 2: (0, "one two"), 3: (0, "")}
     with pytest.raises(ValueError):
         strip_reference(docs, reference, reference_words=1)
+
+
+def test_words_of_thue_morse_are_kept(spark):
+    from tests.llm.test_words_tokens import thue_morse
+
+    common = " ".join(f"w{i}" for i in range(24))
+    rows = [(i + 1, f"{common} {word}") for i, word in enumerate(thue_morse(1024))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in strip_repeats(docs, min_words=20).collect()}
+    assert got == {1: 0, 2: 24}

@@ -84,3 +84,43 @@ def test_special_strings_null_and_long(tokenizer):
     assert 49407 in whole[0].ids
     plain = PartTokenizer(plain=True).pack(texts)
     assert 49407 not in np.frombuffer(plain[0], "<u4")
+
+
+def thue_morse(size):
+    """Two different words whose polynomial hashes modulo 2^64 are equal, whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(size)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [512, 1024, 2048, 4096])
+def test_hashes_of_thue_morse_strings_differ(size):
+    one, other = thue_morse(size)
+    found = W.split(pa.array([one, other, " ".join(one), " ".join(other)]))
+    assert found.hash[0] != found.hash[1]
+    hashes, inside = W.runs(found, size)
+    assert inside.sum() == 2 and len(set(hashes[inside].tolist())) == 2
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=60), st.integers(1, 20))
+def test_runs_are_equal_where_the_words_are(words, n):
+    found = W.split(pa.array([" ".join(words)]))
+    hashes, inside = W.runs(found, n)
+    seen = {}
+    for i in np.flatnonzero(inside):
+        seen.setdefault(tuple(words[i : i + n]), set()).add(int(hashes[i]))
+    assert all(len(s) == 1 for s in seen.values())
+    assert len(set().union(*seen.values())) == len(seen)
+
+
+def test_cache_is_bounded_in_bytes():
+    small = PartTokenizer(cache_bytes=40_000)
+    large = PartTokenizer()
+    for turn in range(30):
+        texts = [" ".join(f"word{'x' * (i % 7)}{chr(97 + (i * turn) % 26)}" for i in range(60))] * 3
+        texts.append("common words " + "z" * turn)
+        assert small.pack(texts) == large.pack(texts)
+        for part in (small.young, small.old):
+            held = sum(len(k) + len(v) + 240 for k, v in part.items())
+            assert held <= 20_000
+    assert small.old and "common" in small.young | small.old

@@ -2,8 +2,8 @@
 
 The tokenizer used here lower-cases, drops white space and encodes the parts between (runs of
 letters, single digits, runs of other signs) separately, so the ids of a text are those of its
-parts, one after the other. Parts repeat: their ids are kept in a bounded cache as packed bytes,
-and a text's ids are one join of bytes. New parts are encoded together by the tokenizer's model.
+parts, one after the other. Parts repeat: their ids are kept as packed bytes in a cache of two
+generations bounded in bytes, and a text's ids are one join of bytes. New parts are encoded together by the tokenizer's model.
 Words with characters whose treatment is not plain (see ``_PLAIN``) go through the whole
 tokenizer. A tokenizer file of another make is used as it is, text by text.
 """
@@ -17,7 +17,8 @@ from collections.abc import Iterable
 import numpy as np
 
 DEFAULT = "word_bpe_49k.json"
-CACHED_PARTS = 500_000
+CACHE_BYTES = 40 << 20
+PART_BYTES = 240  # of a cached part beside its letters and ids: two objects and their entry
 
 # Letters whose lower case is one letter and which no normalisation changes.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž"
@@ -64,8 +65,9 @@ def _by_parts(path: str) -> dict | None:
 class PartTokenizer:
     """Packed ids (little-endian, ``dtype``) of texts, equal to encoding each text as a whole.
 
-    ``plain`` reads the strings of special tokens in a text as ordinary text; ``cached`` parts
-    are kept (about 200 bytes each).
+    ``plain`` reads the strings of special tokens in a text as ordinary text. Ids of parts take
+    ``cache_bytes`` at most, beside those of the texts at hand: when the younger generation
+    holds half of that, it becomes the older one, whose parts live on only if they are met again.
     """
 
     def __init__(
@@ -73,7 +75,7 @@ class PartTokenizer:
         path: str | None = None,
         dtype: str = "<u4",
         plain: bool = False,
-        cached: int = CACHED_PARTS,
+        cache_bytes: int = CACHE_BYTES,
     ):
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -81,8 +83,10 @@ class PartTokenizer:
         self.whole = Tokenizer.from_file(path)
         if plain:
             self.whole.encode_special_tokens = True
-        self.dtype, self.cached = np.dtype(dtype), cached
-        self.cache: dict[str, bytes] = {}
+        self.dtype, self.cache_bytes = np.dtype(dtype), cache_bytes
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0  # bytes of the younger generation
         vocabulary = _by_parts(path)
         self.by_parts = vocabulary is not None
         if self.by_parts:
@@ -138,17 +142,27 @@ class PartTokenizer:
         """Packed ids of each text; null is empty."""
         if not self.by_parts:
             return self._whole([text or "" for text in texts])
-        cache = self.cache
         split = [self._split(text) for text in texts]
-        all_parts = set().union(*split)
-        new = all_parts - cache.keys()
-        if len(cache) + len(new) > self.cached:
-            cache.clear()
-            new = all_parts
+        parts = set().union(*split)
+        found = {part: self.young[part] for part in parts & self.young.keys()}
+        missing = parts - found.keys()
+        added = {part: self.old[part] for part in missing & self.old.keys()}
+        new = missing - added.keys()
         odd = [part for part in new if part[0] == " "]
         plain = sorted((part for part in new if part[0] != " "), key=str.isascii)
-        cache.update(zip(odd, self._whole([part[1:] for part in odd])))
+        added.update(zip(odd, self._whole([part[1:] for part in odd])))
         for at in range(0, len(plain), 20_000):
             some = plain[at : at + 20_000]
-            cache.update(zip(some, self._parts(some)))
-        return [b"".join(map(cache.__getitem__, parts)) for parts in split]
+            added.update(zip(some, self._parts(some)))
+        self._keep(added)
+        found.update(added)
+        return [b"".join(map(found.__getitem__, parts)) for parts in split]
+
+    def _keep(self, added: dict[str, bytes]) -> None:
+        """Add parts to the younger generation, as far as half of the bound has room for them."""
+        size = sum(map(len, added)) + sum(map(len, added.values())) + PART_BYTES * len(added)
+        if self.held + size > self.cache_bytes // 2:
+            self.old, self.young, self.held = self.young, {}, 0
+        if size <= self.cache_bytes // 2:
+            self.young.update(added)
+            self.held += size

@@ -49,6 +49,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# Word hashes are polynomials modulo the prime 2^61 - 1: modulo a power of two, words of Thue and
+# Morse collide whatever the base is.
+_PRIME = (1 << 61) - 1
+_prime_powers = np.ones((2, 0), dtype=np.uint64)
+
+
+def prime_powers(n: int) -> np.ndarray:
+    """The first n powers of the base modulo the prime: their low 32 bits and the rest."""
+    global _prime_powers
+    have = _prime_powers.shape[1]
+    if have < n:
+        more = np.empty((2, max(n, 2 * have, 64)), dtype=np.uint64)
+        more[:, :have] = _prime_powers
+        base = _BASE % _PRIME
+        power = pow(base, have, _PRIME)
+        for i in range(have, more.shape[1]):
+            more[0, i], more[1, i] = power & 0xFFFFFFFF, power >> 32
+            power = power * base % _PRIME
+        _prime_powers = more
+    return _prime_powers[:, :n]
+
+
+def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of ordered pairs of hashes."""
+    return mix(mix(a + np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xD6E8FEB86659FD93)))
+
+
 @dataclass
 class Words:
     """Words of the texts of one column.
@@ -133,9 +160,12 @@ def split(
             at = np.flatnonzero(inside)
             first = np.concatenate([[0], np.cumsum(size)[:-1]])
             place = np.arange(len(at)) - np.repeat(first, size)
-            value = (part[at].astype(np.uint64) + np.uint64(1)) * powers(int(size.max()))[place]
-            total = np.add.reduceat(value, first)
-            hashes.append(mix(total + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+            value = part[at].astype(np.uint64) + np.uint64(1)
+            low_sum, high_sum = (
+                np.add.reduceat(value * power[place], first)
+                for power in prime_powers(int(size.max()))
+            )
+            hashes.append(combine(combine(high_sum, low_sum), size.astype(np.uint64)))
     start = np.concatenate(starts) if starts else np.zeros(0, dtype=np.int64)
     end = np.concatenate(ends) if ends else np.zeros(0, dtype=np.int64)
     hash_ = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
@@ -147,16 +177,21 @@ def runs(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every run of n consecutive words (starting at each word), and whether the run
     stays inside its text."""
     h = words.hash
-    if len(h) < n:
-        return np.zeros(len(h), dtype=np.uint64), np.zeros(len(h), dtype=bool)
-    out = np.zeros(len(h), dtype=np.uint64)
-    weight = powers(n)
     m = len(h) - n + 1
-    for i in range(n):
-        out[:m] += h[i : i + m] * weight[i]
+    if m <= 0:
+        return np.zeros(len(h), dtype=np.uint64), np.zeros(len(h), dtype=bool)
+    # Runs of 1, 2, 4, ... words; at last two of them that overlap make up n.
+    size = 1
+    while 2 * size <= n:
+        h = combine(h[: len(h) - size], h[size:])
+        size *= 2
+    if size < n:
+        h = combine(h[:m], h[n - size : n - size + m])
+    out = np.zeros(len(words.hash), dtype=np.uint64)
+    out[:m] = mix(h[:m] + np.uint64(n))
     counts = np.diff(words.first)
-    left = np.repeat(words.first[1:], counts) - np.arange(len(h))
-    return mix(out), left >= n
+    left = np.repeat(words.first[1:], counts) - np.arange(len(out))
+    return out, left >= n
 
 
 def joined(words: Words, i: int, keep: np.ndarray | None = None) -> bytes:
