@@ -6,12 +6,16 @@
     decontamination     documents that hold a benchmark window of 10 words go
     packing             what is left becomes sequences of at most 4096 tokens
 
-All but the last return the columns of ``documents``.
+All but the last return the columns of their input, which must have ``doc_id`` and ``text``. The
+other columns travel in one struct, so that none is taken for a result of an operator; only
+``n_chars`` follows a text that is cut. Null texts and ids, repeated rows and empty tables pass
+every stage: a null text is never toxic, contaminated or a near-duplicate, and of rows that
+repeat a document near-dedup keeps one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import toxicity
@@ -26,41 +30,64 @@ BENCHMARK_WORDS = 10
 SEQUENCE_TOKENS = 4096
 
 
+OWN = ("doc_id", "text")
+GIVEN = "__given__"
+
+
+def _bundled(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and the other columns as one struct."""
+    rest = [F.col(f"`{name}`") for name in docs.columns if name not in OWN]
+    return docs.select(*OWN, *([F.struct(*rest).alias(GIVEN)] if rest else []))
+
+
+def _as_before(out: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs``, those named in ``changed`` with new values."""
+
+    def column(name: str) -> Column:
+        before = F.col(name) if name in OWN else F.col(f"{GIVEN}.`{name}`")
+        return (changed[name] if name in changed else before).alias(name)
+
+    return out.select(*map(column, docs.columns))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below 0.5; the classifier learns from ``labels``."""
     ready(spark)
     known = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    scored = toxicity.score(docs, toxicity.fit(known, labels))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    scored = toxicity.score(_bundled(docs), toxicity.fit(known, labels))
+    return _as_before(scored.filter("predicted = 0"), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each group of near-duplicates."""
     ready(spark)
-    return drop_near_duplicates(docs, shingle=5, percent=80)
+    return _as_before(drop_near_duplicates(_bundled(docs), shingle=5, percent=80), docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages; texts without any stay as they are."""
     ready(spark)
-    stripped = strip_repeats(docs, min_words=REPEATED_WORDS)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long"))
-    n_chars = n_chars.otherwise(F.col("n_chars"))
-    return stripped.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+    stripped = strip_repeats(_bundled(docs), min_words=REPEATED_WORDS)
+    cut = F.col("n_removed") > 0
+    changed = {"text": F.when(cut, F.col("kept")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        before = F.col(f"{GIVEN}.n_chars")
+        changed["n_chars"] = F.when(cut, F.length("kept").cast("long")).otherwise(before)
+    return _as_before(stripped, docs, **changed)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of any benchmark item."""
     ready(spark)
-    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"), n=BENCHMARK_WORDS)
+    items = table(spark, sf_dir, "benchmark")
+    return _as_before(remove_contaminated(_bundled(docs), items, n=BENCHMARK_WORDS), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of token sequences."""
     ready(spark)
-    return pack_documents(docs, size=SEQUENCE_TOKENS, end_id=1)
+    return pack_documents(docs.select(*OWN), size=SEQUENCE_TOKENS, end_id=1)
 
 
 STAGES = [
