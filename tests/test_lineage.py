@@ -73,6 +73,61 @@ def test_cycles_are_strong_components(spark, seed):
     assert got == want
 
 
+def _subdivided(seed):
+    """A random graph whose edges are paths of tables with one edge in and one out; rings and
+    chains that lead nowhere beside it."""
+    rng = random.Random(seed)
+    out = []
+    for k, (s, d) in enumerate(_random(seed, nodes=7, edges=9)):
+        path = [s, *(f"c.s.p{k}_{i}" for i in range(rng.randrange(6))), d]
+        out += zip(path, path[1:])
+    for size in (1, 2, 3, 7):
+        ring = [f"c.r{size}.{i}" for i in range(size)]
+        out += zip(ring, [*ring[1:], ring[0]])
+    tail = ["c.s.t1", *(f"c.tail.{i}" for i in range(9))]
+    return out + list(zip(tail, tail[1:])) + [("c.r7.3", "c.r7.3")]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_cycles_over_long_paths(spark, seed):
+    pairs = sorted(set(_subdivided(seed)))
+    follows = {}
+    for s, d in pairs:
+        follows.setdefault(s, []).append(d)
+
+    def closure(n):
+        seen, todo = set(), list(follows.get(n, []))
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += follows.get(x, [])
+        return seen
+
+    reach = {n: closure(n) for n in {x for p in pairs for x in p}}
+    want = {}
+    for n, far in reach.items():
+        if n in far:
+            mates = {m for m in far if n in reach[m]}
+            want[n] = (min(mates), len(mates))
+    got = lineage.cycles(_lineage(spark, pairs)).collect()
+    assert {r.table_name: (r.cycle_id, r.cycle_size) for r in got} == want
+    assert len(got) == len(want)
+
+
+def test_a_long_ring_takes_few_jobs(spark):
+    size = 10_000
+    ring = spark.range(size).selectExpr(
+        "concat('c.s.t', id) AS source_table_full_name",
+        f"concat('c.s.t', (id + 1) % {size}) AS target_table_full_name",
+    )
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    before = jobs()
+    got = lineage.cycles(ring).groupBy("cycle_id", "cycle_size").count().collect()
+    assert [tuple(r) for r in got] == [("c.s.t0", size, size)]
+    assert jobs() - before < 200
+
+
 def test_acyclic_graph_has_no_cycles(spark):
     df = _lineage(spark, [("a", "b"), ("b", "c"), ("a", "c")])
     assert lineage.cycles(df).collect() == []

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import name_part, ts_lit
-from vigil.plans.scratch import cut, cut_counting, stored
+from vigil.plans.scratch import cut, stored, stored_counting
 
 SRC = "source_table_full_name"
 DST = "target_table_full_name"
@@ -67,7 +67,7 @@ def reach(graph: DataFrame, root: str | Column, max_depth: int) -> DataFrame:
             .distinct()
             .join(bounded(seen.select("node"), known), "node", "left_anti")
         )
-        frontier, new = cut_counting(step)
+        frontier, new = stored_counting(step)
         if not new:
             break
         known += new
@@ -109,7 +109,7 @@ def upstream_paths(lineage: DataFrame, table: str, max_depth: int = 3) -> DataFr
                 F.array_union("path", F.array("src")).alias("path"),
             )
         )
-        level, more = cut_counting(step)
+        level, more = stored_counting(step)
         if not more:
             break
         found = found.unionByName(level)
@@ -317,20 +317,143 @@ def _trim_once(graph: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _passes(graph: DataFrame) -> DataFrame:
+    """(node, before, after) of nodes with exactly one edge in and one edge out."""
+    one_in = graph.groupBy(F.col("dst").alias("node")).agg(
+        F.count("*").alias("_n"), F.min("src").alias("before")
+    )
+    one_out = graph.groupBy(F.col("src").alias("node")).agg(
+        F.count("*").alias("_n"), F.min("dst").alias("after")
+    )
+    return one_in.filter("_n = 1").drop("_n").join(one_out.filter("_n = 1").drop("_n"), "node")
+
+
+def _climb_once(running: DataFrame, steps: DataFrame) -> DataFrame:
+    """Runs of twice the length: every node that has not met its first takes over the pointer,
+    and the least name, of the node it points to."""
+    there = steps.select(
+        F.col("node").alias("_at"),
+        F.col("up").alias("_up"),
+        F.col("least").alias("_least"),
+        F.col("met").alias("_met"),
+    )
+    return running.join(there, F.col("up") == F.col("_at")).select(
+        "node",
+        F.col("_up").alias("up"),
+        F.least("least", "_least").alias("least"),
+        F.col("_met").alias("met"),
+    )
+
+
+def _chains(passing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The chains that nodes of ``_passes`` form, by pointer doubling: (node, first) of open
+    chains, and (node, cycle_id) of closed rings.
+
+    A node points to the one before it, the first of a chain to itself. After k rounds pointers
+    reach back 2^k nodes. Lengths up to the longest all occur in an open chain, so when a round
+    ends none, only rings are left; a round more than their doubled length needs, every node of
+    a ring knows the least name in it.
+    """
+    before = passing.select(F.col("node").alias("_p"))
+    linked = passing.join(before, F.col("before") == F.col("_p"), "left")
+    steps, waiting = stored_counting(
+        linked.select(
+            "node",
+            F.coalesce("_p", "node").alias("up"),
+            F.coalesce(F.least("node", "_p"), "node").alias("least"),
+            F.col("_p").isNull().alias("met"),
+        ),
+        F.when(F.col("met"), 0).otherwise(1),
+    )
+    reach, only_rings = 1, False
+    while waiting and not (only_rings and reach >= waiting):
+        running = _climb_once(steps.filter("not met"), steps)
+        steps, left = stored_counting(
+            steps.filter("met").unionByName(running), F.when(F.col("met"), 0).otherwise(1)
+        )
+        only_rings, waiting, reach = left == waiting, left, 2 * reach
+    chains = steps.filter("met").select("node", F.col("up").alias("first"))
+    return chains, steps.filter("not met").select("node", F.col("least").alias("cycle_id"))
+
+
+def _contracted(graph: DataFrame, passing: DataFrame):
+    """The graph with every open chain replaced by one edge from the node before it to the node
+    behind it. Returns the new distinct edges, the chains' nodes with those two ends, and the
+    nodes of rings, which are cycles of their own."""
+    chains, rings = _chains(passing)
+    placed = chains.join(passing, "node")
+    ends = placed.groupBy("first").agg(
+        F.max(F.when(F.col("node") == F.col("first"), F.col("before"))).alias("start"),
+    )
+    inner = placed.select(F.col("before").alias("_b"))
+    last = placed.join(inner, F.col("node") == F.col("_b"), "left_anti")
+    ends = ends.join(last.select("first", F.col("after").alias("end")), "first")
+    members = stored(chains.join(ends, "first").select("node", "start", "end"), "chain")
+    inside = passing.select(F.col("node").alias("_p"))
+    rest = graph.join(inside, F.col("src") == F.col("_p"), "left_anti").join(
+        inside, F.col("dst") == F.col("_p"), "left_anti"
+    )
+    shortcuts = members.filter("start <> end").select(
+        F.col("start").alias("src"), F.col("end").alias("dst")
+    )
+    return rest.unionByName(shortcuts).distinct(), members, rings
+
+
+def _reduced(graph: DataFrame) -> tuple[DataFrame, int, list[tuple[DataFrame, DataFrame]]]:
+    """Contract chains and drop edges that cannot lie on a cycle, in turns, until neither helps.
+
+    A path costs rounds by the logarithm of its length, not by its length. Also returns, for
+    every contraction, the nodes of its chains and of its rings.
+    """
+    layers = []
+    graph, size = stored_counting(graph)
+    while size:
+        passing, count = stored_counting(_passes(graph))
+        smaller = graph
+        if count:
+            smaller, members, rings = _contracted(graph, passing)
+            layers.append((members, rings))
+        smaller, left = stored_counting(_trim_once(_trim_once(smaller, size), size))
+        if left == size:
+            break
+        graph, size = smaller, left
+    return graph, size, layers
+
+
 def _trimmed(graph: DataFrame) -> tuple[DataFrame, int]:
     """Drop edges that cannot lie on a cycle: their source is never fed, or their target feeds nothing.
 
     Returns the remaining edges, stored, and their number. Stops when a round removes nothing.
     """
-    graph, size = cut_counting(graph)
+    graph, size = stored_counting(graph)
     while size:
-        smaller, left = cut_counting(_trim_once(_trim_once(graph, size), size))
+        smaller, left = stored_counting(_trim_once(_trim_once(graph, size), size))
         if left == size:
             break
         graph, size = smaller, left
     return graph, size
 
 
+def _unfolded(found: DataFrame, members: DataFrame) -> DataFrame:
+    """Components with the nodes of contracted chains: those between two nodes of a component, and
+    those of a chain that returns to its start, which then is a component, too."""
+    from_, to = (
+        found.select(F.col("node").alias(f"_{end}"), F.col("cycle_id").alias(f"_of_{end}"))
+        for end in ("start", "end")
+    )
+    placed = members.join(from_, F.col("start") == F.col("_start"), "left").join(
+        to, F.col("end") == F.col("_end"), "left"
+    )
+    component = F.when(
+        F.col("start") == F.col("end"), F.coalesce("_of_start", "start")
+    ).when(F.col("_of_start") == F.col("_of_end"), F.col("_of_start"))
+    added = placed.select("node", component.alias("cycle_id")).filter("cycle_id is not null")
+    bases = placed.filter("start = end and _of_start is null").select(
+        F.col("start").alias("node"), F.col("start").alias("cycle_id")
+    )
+    return stored(found.unionByName(added).unionByName(bases.distinct()), "members")
+
+
 def _spread_once(graph: DataFrame, labels: DataFrame, nodes: int) -> DataFrame:
     """Every node takes the smallest label offered over an incoming edge."""
     offered = (
@@ -350,7 +473,7 @@ def _min_label(graph: DataFrame, labels: DataFrame, nodes: int) -> DataFrame:
         for _ in range(STEPS):
             spread = _spread_once(graph, spread, nodes)
         moved = F.when(F.col("label") < F.col("_start"), 1).otherwise(0)
-        spread, changes = cut_counting(spread, moved)
+        spread, changes = stored_counting(spread, moved)
         labels = spread.select("node", "label")
         if not changes:
             return labels
@@ -359,13 +482,14 @@ def _min_label(graph: DataFrame, labels: DataFrame, nodes: int) -> DataFrame:
 def cycles(lineage: DataFrame) -> DataFrame:
     """Tables on a circular dependency: one row per table, grouped by cycle.
 
-    Strongly connected components by forward and backward colouring. Work per step is
-    linear in the edges; pairs of nodes are never formed.
+    Chains of tables with one edge in and one edge out are contracted first, by pointer
+    doubling, and put back last. Between, strongly connected components by forward and backward
+    colouring. Work per step is linear in the edges; pairs of nodes are never formed.
     """
     graph = stored(edges(lineage), "edges")
     loops = graph.filter("src = dst").select(F.col("src").alias("node"))
     members = graph.sparkSession.createDataFrame([], "node string, cycle_id string")
-    rest, size = _trimmed(graph.filter("src <> dst"))
+    rest, size, layers = _reduced(graph.filter("src <> dst"))
     while size:
         # After trimming every node has an incoming edge, so there are at most ``size`` nodes.
         nodes = rest.select(F.col("dst").alias("node")).distinct()
@@ -375,15 +499,17 @@ def cycles(lineage: DataFrame) -> DataFrame:
         of_src = colour.select(F.col("node").alias("src"), F.col("label").alias("_cs"))
         of_dst = colour.select(F.col("node").alias("dst"), F.col("label").alias("_cd"))
         ends = rest.join(bounded(of_src, size), "src").join(bounded(of_dst, size), "dst")
-        back = cut(
-            ends.filter("_cs = _cd").select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+        back = stored(
+            ends.filter("_cs = _cd").select(F.col("dst").alias("src"), F.col("src").alias("dst")),
+            "back",
         )
         own = F.when(F.col("node") == F.col("label"), 0).otherwise(1)
         marked = _min_label(back, colour.select("node", own.alias("label")), size).filter("label = 0")
-        component = cut(
+        component = stored(
             colour.join(bounded(marked.select("node"), size), "node").select(
                 "node", F.col("label").alias("cycle_id")
-            )
+            ),
+            "component",
         )
         members = members.unionByName(component)
         done = bounded(component.select("node"), size)
@@ -392,6 +518,12 @@ def cycles(lineage: DataFrame) -> DataFrame:
                 done, F.col("dst") == F.col("node"), "left_anti"
             )
         )
+    # A chain's ends may lie on chains or rings of later contractions, so those come back first.
+    for chains, rings in reversed(layers):
+        members = _unfolded(members.unionByName(rings), chains)
+    # Components were named by a node of the contracted graph; the least of all nodes names them.
+    names = members.groupBy("cycle_id").agg(F.min("node").alias("_least"))
+    members = members.join(names, "cycle_id").select("node", F.col("_least").alias("cycle_id"))
     alone = loops.join(members.select("node"), "node", "left_anti").withColumn(
         "cycle_id", F.col("node")
     )

@@ -57,3 +57,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_counting(
+    df: DataFrame, what: Column | None = None, label: str = "step"
+) -> tuple[DataFrame, int]:
+    """``stored`` that also returns the number of rows, or the sum of ``what``, from the same job.
+
+    Writing computes the rows once, where a checkpoint computes them for the result and again
+    for its files.
+    """
+    seen = Observation()
+    amount = F.count(F.lit(1)) if what is None else F.coalesce(F.sum(what), F.lit(0))
+    out = stored(df.observe(seen, amount.cast("bigint").alias("n")), label)
+    return out, seen.get["n"]
