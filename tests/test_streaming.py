@@ -1,5 +1,6 @@
 """Streams over several micro-batches."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -23,20 +24,61 @@ def _stream(spark, path):
     return streams.source(spark, path, schema, "start_time", files_per_batch=1)
 
 
-def test_streaks_continue_across_batches(spark, tmp_path):
-    states = "F S F F".split(), "F F S F".split(), "F F F".split()
-    batches, run = [], 0
-    for part in states:
-        batch = []
-        for s in part:
-            state = "FAILED" if s == "F" else "SUCCESS"
-            batch.append((1, run, START + timedelta(minutes=run), state))
-            run += 1
-        batches.append(batch)
-    _write(spark, str(tmp_path / "in"), batches)
-    out = streams.collected(streams.failure_streaks(_stream(spark, str(tmp_path / "in"))), "t")
-    # F S F F | F F S F | F F F: third in a row at runs 4 and 9.
-    assert sorted(r.run_id for r in out.collect()) == [4, 9]
+def _streaks(spark, path, **how):
+    out = streams.collected(streams.failure_streaks(_stream(spark, path), **how), "t").collect()
+    return sorted((r.job_id, r.run_id) for r in out)
+
+
+def _reached(runs, minimum=3):
+    """Runs that complete a streak, over all runs in order."""
+    found, length = [], {}
+    for job, run, start, state in sorted(set(runs), key=lambda r: (r[0], r[2], r[1])):
+        length[job] = length.get(job, 0) + 1 if state == "FAILED" else 0
+        if length[job] == minimum:
+            found.append((job, run))
+    return sorted(found)
+
+
+def test_streaks_over_late_and_repeated_files_equal_the_batch(spark, tmp_path):
+    draw = random.Random(4)
+    runs = [
+        (draw.choice([1, 1, 1, 2, 3]), i, START + timedelta(minutes=i // 2),
+         draw.choice(["FAILED", "FAILED", "SUCCESS", None]))
+        for i in range(300)
+    ]
+    # Up to five minutes late, so some rows come in a later file; one file comes twice.
+    due = sorted(runs, key=lambda r: r[2] + timedelta(minutes=(r[1] * 7) % 6))
+    files = [due[i : i + 75] for i in range(0, 300, 75)]
+    files.insert(3, files[1])
+    closing = [(9, 999, START + timedelta(days=1), "SUCCESS")]
+    _write(spark, str(tmp_path / "in"), [*files, closing])
+    got = _streaks(spark, str(tmp_path / "in"), bucket="7 minutes")
+    assert len(got) > 9 and got == _reached(runs)
+
+
+@pytest.mark.parametrize("idle_days, reached", [(30, []), (60, [(1, 3)])])
+def test_idle_jobs_lose_their_streak(spark, tmp_path, idle_days, reached):
+    day = timedelta(days=1)
+    files = [
+        [(1, 1, START, "FAILED"), (1, 2, START + day / 24, "FAILED")],
+        [(2, 10, START + 35 * day, "SUCCESS")],
+        [(2, 11, START + 36 * day, "SUCCESS")],
+        [(1, 3, START + 37 * day, "FAILED")],
+        [(2, 12, START + 40 * day, "SUCCESS")],
+    ]
+    _write(spark, str(tmp_path / "in"), files)
+    assert _streaks(spark, str(tmp_path / "in"), idle_days=idle_days) == reached
+
+
+def test_a_busy_job_is_spread_over_buckets(spark, tmp_path):
+    """State is kept by (job, bucket): one job's open runs are many small groups."""
+    runs = [(1, i, START + timedelta(minutes=i), "FAILED") for i in range(600)]
+    _write(spark, str(tmp_path / "in"), [runs])
+    df = streams.failure_streaks(_stream(spark, str(tmp_path / "in")), bucket="10 minutes")
+    plan = df._jdf.queryExecution().analyzed().toString()
+    query = streams.run_to_files(df, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert "window" in plan and max(p["state_rows"] for p in streams.progress(query)) >= 60
+    assert [r.run_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [2]
 
 
 def test_late_rows_are_counted_and_backlog_reported(spark, tmp_path):

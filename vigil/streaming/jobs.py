@@ -11,10 +11,9 @@ from collections.abc import Iterator
 from typing import Any, Callable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from vigil.functions.exprs import is_failure, percent
@@ -226,44 +225,130 @@ def progress(query: StreamingQuery) -> list[dict[str, Any]]:
     ]
 
 
-def failure_streaks(
-    runs: DataFrame, minimum: int = DEFAULTS.jobs.consecutive_failures
-) -> DataFrame:
-    """Alert when a job reaches ``minimum`` failures in a row, across micro-batches.
+_ENTRY = "struct<start_time:timestamp,run_id:bigint,failed:boolean>"
+
+
+def _summary(runs: Column, minimum: int) -> Column:
+    """What the ordered runs of a time bucket mean for a streak, in a few values.
 
-    State per job is the length of its open streak. A micro-batch holds a bounded number
-    of files, which bounds what one job can bring into a task.
+    ``open``: failures at the end, counted up to one over the minimum; ``broken``: some run did
+    not fail; ``lead``: the first failures before any other run, ``minimum`` at most; ``hits``:
+    the runs that complete a streak begun in the bucket after its first success.
     """
+    nothing = F.array().cast(f"array<{_ENTRY}>")
+    start = F.struct(
+        F.lit(0).alias("open"),
+        F.lit(False).alias("broken"),
+        nothing.alias("lead"),
+        nothing.alias("hits"),
+    )
 
-    def advance(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        streak = state.get[0] if state.exists else 0
-        rows = pd.concat(list(batches), ignore_index=True)
-        rows = rows.sort_values(["start_time", "run_id"], kind="stable")
-        failed = rows["failed"].to_numpy(dtype=bool)
-        # Length of the streak each row ends: rows since the last success, plus what was open.
-        order = pd.Series(range(1, len(rows) + 1))
-        last_ok = order.where(~pd.Series(failed)).ffill()
-        length = (order - last_ok.fillna(0)).astype("int64")
-        length = length.where(last_ok.notna(), length + streak).to_numpy()
-        if len(rows):
-            state.update((int(length[-1]),))
-        hit = rows[length == minimum]
-        if len(hit):
-            yield pd.DataFrame(
-                {
-                    "job_id": [key[0]] * len(hit),
-                    "run_id": hit["run_id"].to_numpy(),
-                    "reached_at": hit["start_time"].to_numpy(),
-                }
-            )
+    def step(so_far: Column, run: Column) -> Column:
+        streak = F.least(so_far["open"] + 1, F.lit(minimum + 1))
+        broken, lead, hits = so_far["broken"], so_far["lead"], so_far["hits"]
+        leads = ~broken & (F.size(lead) < minimum)
+        failed = F.struct(
+            streak.alias("open"),
+            broken.alias("broken"),
+            F.when(leads, F.array_append(lead, run)).otherwise(lead).alias("lead"),
+            F.when(broken & (streak == minimum), F.array_append(hits, run))
+            .otherwise(hits)
+            .alias("hits"),
+        )
+        ended = F.struct(
+            F.lit(0).alias("open"), F.lit(True).alias("broken"), lead.alias("lead"), hits.alias("hits")
+        )
+        return F.when(run["failed"], failed).otherwise(ended)
+
+    return F.aggregate(F.sort_array(runs), start, step)
+
+
+def _carrier(minimum: int, idle_seconds: int):
+    """Processor that carries the open streak of a job from bucket to bucket."""
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    class Carrier(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.streak = handle.getValueState("streak", "length int")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            buckets = pd.concat(list(rows), ignore_index=True).sort_values("bucket")
+            length = self.streak.get()[0] if self.streak.exists() else 0
+            found = []
+            for b in buckets.itertuples():
+                missing = minimum - length
+                if 0 < missing <= len(b.lead_runs):
+                    found.append((b.lead_runs[missing - 1], b.lead_times[missing - 1]))
+                found += zip(b.hit_runs, b.hit_times)
+                length = b.open if b.broken else min(length + b.open, minimum + 1)
+            self.streak.update((int(length),))
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            last = int(pd.Timestamp(buckets["bucket"].iloc[-1]).timestamp() * 1000)
+            self.handle.registerTimer(last + idle_seconds * 1000)
+            if found:
+                yield pd.DataFrame(
+                    {
+                        "job_id": [key[0]] * len(found),
+                        "run_id": [int(run) for run, _ in found],
+                        "reached_at": pd.to_datetime([t for _, t in found], unit="us"),
+                    }
+                )
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            self.streak.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    return Carrier()
 
+
+def failure_streaks(
+    runs: DataFrame,
+    minimum: int = DEFAULTS.jobs.consecutive_failures,
+    bucket: str = "1 hour",
+    delay: str = DELAY,
+    idle_days: int = 30,
+) -> DataFrame:
+    """Alert when a job reaches ``minimum`` failures in a row, in the order of their start.
+
+    Runs are gathered by (job, time bucket), so a busy job is spread over tasks and state, and
+    a bucket is judged once the watermark has passed its end: files may come late, within
+    ``delay``, out of order and again. Later rows are dropped. A bucket is reduced to a few
+    values by built-in functions; the open streak that is carried over per job is one number,
+    which a timer removes when the job has been idle for ``idle_days``, so a streak does not
+    go on after such a pause. Alerts are rows (job_id, run_id, reached_at).
+    """
     slim = runs.select("job_id", "run_id", "start_time", is_failure().alias("failed"))
-    return slim.groupBy("job_id").applyInPandasWithState(
-        advance,
-        "job_id bigint, run_id bigint, reached_at timestamp",
-        "streak bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
+    entry = F.struct("start_time", "run_id", F.coalesce("failed", F.lit(False)).alias("failed"))
+    gathered = (
+        slim.withWatermark("start_time", delay)
+        .groupBy(F.window("start_time", bucket), "job_id")
+        .agg(F.collect_set(entry.cast(_ENTRY)).alias("runs"))
+    )
+    judged = gathered.select(
+        "job_id", F.window_time("window").alias("bucket"), _summary(F.col("runs"), minimum).alias("s")
+    )
+    slim_buckets = judged.select(
+        "job_id",
+        "bucket",
+        "s.open",
+        "s.broken",
+        *[
+            F.transform(f"s.{field}", take).alias(f"{name}_{kind}")
+            for field, name in (("lead", "lead"), ("hits", "hit"))
+            for kind, take in (
+                ("runs", lambda run: run["run_id"]),
+                ("times", lambda run: F.unix_micros(run["start_time"])),
+            )
+        ],
+    )
+    return slim_buckets.groupBy("job_id").transformWithStateInPandas(
+        statefulProcessor=_carrier(minimum, idle_days * 86_400),
+        outputStructType="job_id bigint, run_id bigint, reached_at timestamp",
+        outputMode="append",
+        timeMode="eventTime",
     )
