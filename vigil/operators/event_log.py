@@ -78,18 +78,19 @@ def _array_sum(field: str):
     )
 
 
-def update_health(events: DataFrame, as_of: datetime) -> DataFrame:
-    """One row per update: span, last state, record and expectation counts, errors.
+def health_partials(events: DataFrame, *by: Column) -> DataFrame:
+    """Mergeable parts of ``update_health``, one row per (``by``, update, dataset, state).
 
-    Expectation arrays are summed inside their row, so nothing is exploded or joined.
-    Rows first collapse to (update, dataset, state), where all buffers have a fixed width
-    and hash aggregation applies; what remains per update is a handful of rows.
+    Expectation arrays are summed inside their row, so nothing is exploded or joined. All
+    buffers have a fixed width, so hash aggregation applies; a handful of rows is left per update.
     """
     progress = F.col("event_type") == "update_progress"
+    by_names = [f"_by{i}" for i in range(len(by))]
     rows = (
         parsed(events)
         .withColumn("_x", F.col("_d.data_quality.expectations"))
         .select(
+            *[column.alias(name) for column, name in zip(by, by_names)],
             *UPDATE,
             "level",
             F.when(progress, F.col("timestamp")).alias("_at"),
@@ -111,13 +112,17 @@ def update_health(events: DataFrame, as_of: datetime) -> DataFrame:
         "error_count": F.count_if(F.col("level") == "ERROR"),
         "warning_count": F.count_if(F.col("level") == "WARN"),
     }
-    reduced = rows.groupBy(*UPDATE, "_flow", "_state").agg(
+    return rows.groupBy(*by_names, *UPDATE, "_flow", "_state").agg(
         F.min("_at").alias("_first"),
         F.max("_at").alias("_last"),
         *[total.alias(name) for name, total in summed.items()],
     )
+
+
+def merged_health(partials: DataFrame, as_of: datetime) -> DataFrame:
+    """``update_health`` from any number of parts per update."""
     latest = F.when(F.col("_last").isNotNull(), F.struct("_last", "_state"))
-    grouped = reduced.groupBy(*UPDATE).agg(
+    grouped = partials.groupBy(*UPDATE).agg(
         F.min("_first").alias("start_time"),
         F.max("_last").alias("end_time"),
         F.max(latest).alias("_latest"),
@@ -146,6 +151,11 @@ def update_health(events: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
+def update_health(events: DataFrame, as_of: datetime) -> DataFrame:
+    """One row per update: span, last state, record and expectation counts, errors."""
+    return merged_health(health_partials(events), as_of)
+
+
 def _avg_duration():
     return mean(F.sum("duration_seconds"), F.count("duration_seconds"))
 
