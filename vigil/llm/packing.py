@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import Scratch, lean
-from vigil.llm.tokens import PartTokenizer
+from vigil.llm.tokens import shared
 
 SEQUENCE = 4096
 BUCKET = 20_000
@@ -43,7 +43,7 @@ def cut(packed: bytes, size: int) -> Iterator[tuple[int, int, int, int]]:
 
 def _pieces(size: int, end_id: int, path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = PartTokenizer(path)
+        tokenizer = shared(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []

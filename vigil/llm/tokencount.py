@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import lean
-from vigil.llm.tokens import PartTokenizer
+from vigil.llm.tokens import shared
 
 END_ID = 49407
 BLOCK_TOKENS = 1 << 20
@@ -35,7 +35,7 @@ ROWS_PER_FILE = 4_000
 
 def _pack(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = PartTokenizer(path, dtype="<u2", plain=True)
+        tokenizer = shared(path, dtype="<u2", plain=True)
         for batch in batches:
             packed = tokenizer.pack(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["ids"])
