@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from vigil.llm.common import lean
-from vigil.llm.words import split
+from vigil.llm.words import feature_hash, split
 
 SAMPLE, REMADE = 300, 800
 PATH_BINS, WORD_BINS, FIGURES = 512, 32, 8
@@ -231,10 +231,10 @@ def vectors(pages: list[list[tuple[str, str, float]]]) -> np.ndarray:
     if not texts:
         return out
     out[:, :PATH_BINS] = [_path_vector(path) for page in pages for path, _, _ in page]
-    words = split(pa.array(texts, pa.large_string()), lower=True)
+    words = split(pa.array(texts, pa.large_string()), lower=True, hashed=False)
     count = np.diff(words.first)
     owner = np.repeat(np.arange(len(texts)), count)
-    bins = owner * WORD_BINS + (words.hash >> np.uint64(59)).astype(np.int64)
+    bins = owner * WORD_BINS + (feature_hash(words) >> np.uint64(59)).astype(np.int64)
     tally = np.bincount(bins, minlength=len(texts) * WORD_BINS).reshape(-1, WORD_BINS)
     out[:, PATH_BINS : PATH_BINS + WORD_BINS] = tally / np.maximum(count, 1)[:, None]
     size = np.diff(np.concatenate([[0], np.cumsum([len(t) for t in texts])]))

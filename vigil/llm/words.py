@@ -173,6 +173,18 @@ def split(
     return Words(data, offsets, first, start, end, hash_)
 
 
+def feature_hash(words: Words) -> np.ndarray:
+    """A quick hash of every word, for features only: different words may well share it."""
+    size = words.end - words.start
+    if not len(size):
+        return np.zeros(0, dtype=np.uint64)
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    value = words.data[np.repeat(words.start, size) + place].astype(np.uint64) + np.uint64(1)
+    total = np.add.reduceat(value * powers(int(size.max()))[place], first)
+    return mix(total + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def runs(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every run of n consecutive words (starting at each word), and whether the run
     stays inside its text."""
