@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from html import escape, unescape
 
 import numpy as np
@@ -168,13 +169,6 @@ def blocks(page: str) -> list[tuple[str, str, float]]:
     return out
 
 
-def _element(tag: str, attributes: str) -> str:
-    names = []
-    for found in _NAMES.finditer(attributes):
-        names += _PARTS.findall(found[2] or found[3] or found[4] or "")
-    return ".".join([tag, *(name.lower() for name in names)])
-
-
 # Names that tell what a container holds.
 _ASIDE = frozenset(
     "nav footer aside form menu navbar navigation sidebar ad ads adbox advert adverts advertisement "
@@ -187,13 +181,50 @@ _ASIDE = frozenset(
 _MAIN = frozenset(
     "article main content post entry story articlebody body-text prose maintext".split()
 )
+# Names of _ASIDE that also begin or end names of article sections ("share-price", "title-race").
+_LOOSE = frozenset(
+    "alert button copyright dialog discussion form head label legal notice popular promotion "
+    "recommended related replies reply respond search share sharing social subscription teaser "
+    "title trending".split()
+)
+# Words that say nothing of a container beside another name.
+_PLAIN = frozenset(
+    "area articles bar block body bottom box button buttons card center col column container "
+    "count field group header holder icons inner input item items left line links list message "
+    "module page pane panel posts region right row section set site slot stories text thread "
+    "top user view wide with wrap wrapper".split()
+)
+
+
+@lru_cache(maxsize=10_000)
+def _named(name: str) -> tuple[str, ...]:
+    """A class, id or role in its parts; whole, where a loose part stands beside other words."""
+    parts = tuple(part.lower() for part in _PARTS.findall(name))
+    told = [part for part in parts if part in _ASIDE]
+    known = _ASIDE | _MAIN | _PLAIN
+    if told and all(part in _LOOSE for part in told) and any(part not in known for part in parts):
+        return ("-".join(parts),)
+    return parts
+
+
+def _element(tag: str, attributes: str) -> str:
+    names = []
+    for found in _NAMES.finditer(attributes):
+        for name in (found[2] or found[3] or found[4] or "").split():
+            names += _named(name)
+    return ".".join([tag, *names])
 
 
 def taught(paths: list[str]) -> list[bool]:
     """The rule of the training pages: text below a main container, with nothing else between;
-    on pages without such a container, any paragraph or heading outside of other containers."""
+    on pages without such a container, any paragraph or heading outside of other containers.
+    A discussion below a main container is a section of it."""
     split_up = [[set(e.split(".")) for e in path.split(" ")] for path in paths]
-    aside = [any(e & _ASIDE for e in path) for path in split_up]
+    aside = []
+    for path in split_up:
+        top = next((n for n, e in enumerate(path) if e & _MAIN), len(path))
+        aside.append(any(e & _ASIDE - ({"discussion"} if n > top else set())
+                         for n, e in enumerate(path)))
     inside = [any(e & _MAIN for e in path) for path in split_up]
     for i, path in enumerate(split_up):
         named = next((n for n, e in enumerate(path) if "header" in e), None)
@@ -297,7 +328,7 @@ class BiLstm:
         n, width = self.hidden, x.shape[2]
         weights = self.weights[way]
         dw, dlevel = np.zeros_like(weights), np.zeros(4 * n)
-        dh = dc = np.zeros((x.shape[1], n))
+        dh = dc = np.zeros((x.shape[1], n), dtype=weights.dtype)
         for t in range(len(x) - 1, -1, -1):
             i, f, o, g, before, previous, bent = kept[t]
             dh = dh + into[t]
@@ -330,7 +361,8 @@ class BiLstm:
     def gradients(self, x: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> dict:
         scores, (states, turned, kept_ahead, kept_back) = self.forward(x, sizes)
         real = np.arange(len(x))[:, None] < sizes
-        error = np.where(real, _sigmoid(scores) - labels, 0.0) / real.sum()
+        error = np.where(real, _sigmoid(scores) - labels, 0).astype(scores.dtype)
+        error = error / scores.dtype.type(real.sum())
         out = {"out": np.tensordot(error, states, 2), "level": np.array([error.sum()])}
         into = error[:, :, None] * self.weights["out"]
         n = self.hidden
@@ -357,14 +389,17 @@ def train(pages: list[list[tuple[str, str, float]]], epochs: int = EPOCHS) -> Bi
     pages = [page for page in pages if page]
     if not pages:
         return model
+    model.weights = {name: w.astype(np.float32) for name, w in model.weights.items()}
     rows = vectors(pages)
-    labels = np.concatenate([taught([b[0] for b in page]) for page in pages]).astype(float)
+    labels = np.concatenate([taught([b[0] for b in page]) for page in pages]).astype(np.float32)
     first = np.concatenate([[0], np.cumsum([len(p) for p in pages])])
     moments = {k: (np.zeros_like(w), np.zeros_like(w)) for k, w in model.weights.items()}
     rng, step = np.random.default_rng(1), 0
     for epoch in range(epochs):
+        # Pages of like length share a batch, so that little is padded.
         order = rng.permutation(len(pages))
-        for low in range(0, len(order), 16):
+        order = order[np.argsort(np.diff(first)[order], kind="stable")]
+        for low in 16 * rng.permutation(-(-len(order) // 16)):
             chosen = order[low : low + 16]
             x, sizes = _padded(rows, first, chosen)
             y, _ = _padded(labels[:, None], first, chosen)
@@ -377,33 +412,83 @@ def train(pages: list[list[tuple[str, str, float]]], epochs: int = EPOCHS) -> Bi
                 m, v = moments[name]
                 m += 0.1 * (slope - m)
                 v += 0.01 * (slope**2 - v)
-                rate = 0.01 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+                rate = float(0.01 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step))
                 model.weights[name] -= rate * m / (np.sqrt(v) + 1e-8)
     return model
 
 
 def remade(page: list[tuple[str, str, float]], rng: np.random.Generator) -> str:
-    """A page of another layout with the text of a page: other main containers, and around and
-    inside of them sidebars, notices, adverts, forms, share links and comments."""
+    """A page of another layout with the text of a page: other main containers with paragraphs,
+    short lists, tables, headings, captions and named sections, and around and inside of them
+    sidebars, notices, adverts, forms, share links, footers without links and comments."""
     main = [text for (path, text, _), good in zip(page, taught([b[0] for b in page])) if good]
     other = [text for (path, text, _), good in zip(page, taught([b[0] for b in page])) if not good]
     texts = main + other or ["text"]
-    pick = lambda names: names[int(rng.integers(len(names)))]
+    names = sorted(_ASIDE - {"title", "head"}) + ["header"]
+    pick = lambda given: given[int(rng.integers(len(given)))]
 
     def said() -> str:
         text = pick(texts)
         return escape(text[: int(rng.integers(20, 400))])
 
+    def brief(most: int) -> str:
+        words = pick(texts).split()
+        low = int(rng.integers(len(words)))
+        return escape(" ".join(words[low : low + int(rng.integers(1, most + 1))]))
+
+    def listed(tag: str, most: int = 6) -> str:
+        items = (f"<li>{brief(most)}</li>" for _ in range(rng.integers(2, 7)))
+        return f"<{tag}>{''.join(items)}</{tag}>"
+
+    def tabled() -> str:
+        width = int(rng.integers(2, 5))
+        rows = [["th"] * width] + [["td"] * width for _ in range(rng.integers(1, 5))]
+        cells = ("".join(f"<{t}>{brief(2)}</{t}>" for t in row) for row in rows)
+        return f"<table>{''.join(f'<tr>{row}</tr>' for row in cells)}</table>"
+
+    def piece() -> str:
+        """A part of an article that is no plain paragraph."""
+        kind = rng.integers(7)
+        if kind == 0:
+            return listed(pick(["ul", "ol"]))
+        if kind == 1:
+            return tabled()
+        if kind == 2:
+            level = pick(["h2", "h3", "h4"])
+            return f"<{level}>{brief(4)}</{level}><p>{brief(3)}</p>"
+        if kind == 3:
+            return f"<p>{brief(4)}</p>"
+        if kind == 4:
+            return f"<figure><img src='a'><figcaption>{brief(8)}</figcaption></figure>"
+        if kind == 5:
+            terms = (f"<dt>{brief(2)}</dt><dd>{brief(8)}</dd>" for _ in range(rng.integers(1, 4)))
+            return f"<dl>{''.join(terms)}</dl>"
+        return f"<blockquote>{brief(10)}</blockquote>"
+
+    def section(inside: str) -> str:
+        """A named section of an article; some names hold a word of other containers."""
+        word = "".join(c for c in brief(1).lower() if "a" <= c <= "z") or "part"
+        name = pick([word, "discussion", f"{pick(sorted(_LOOSE))}-{word}", "part", "chapter"])
+        tag = pick(["section", "div"])
+        return f'<{tag} {pick(["class", "id"])}="{name}">{inside}</{tag}>'
+
     def wrapped(name: str) -> str:
         if name in ("nav", "footer", "aside", "form", "header", "button", "label"):
             return f"<{name}>{inner(name)}</{name}>"
         tag = pick(["div", "div", "section", "ul", "aside"])
         attribute = pick(["class", "class", "id"])
-        extra = pick(["", "-box", " block", "-area", "_list", "-container", " wide"])
+        extra = pick(["", "-box", " block", "-area", "_list", "-container", " wide",
+                      f"-{pick(names)}", f"-{pick(sorted(_PLAIN))}"])
         return f'<{tag} {attribute}="{name}{extra}">{inner(name)}</{tag}>'
 
     def inner(name: str) -> str:
-        kind = rng.integers(4)
+        kind = rng.integers(7)
+        if kind == 4:
+            return listed(pick(["ul", "ol"]))
+        if kind == 5:
+            return f"<p>{brief(8)}</p>"
+        if kind == 6:
+            return piece()
         if kind == 0:
             return "".join(f"<li><a href='#'>{said()[:20]}</a></li>" for _ in range(rng.integers(2, 7)))
         if kind == 1:
@@ -412,14 +497,17 @@ def remade(page: list[tuple[str, str, float]], rng: np.random.Generator) -> str:
             return f"<h3>{said()[:30]}</h3><div>{said()}</div>"
         return said()
 
-    names = sorted(_ASIDE - {"title", "head"}) + ["header"]
     around = lambda most: "".join(wrapped(pick(names)) for _ in range(rng.integers(0, most)))
     body = []
     for text in main or [said()]:
         tag = pick(["p", "p", "p", "p", "div", "li", "blockquote", "h2", "pre", "td"])
         body.append(f"<{tag}>{escape(text)}</{tag}>")
-        if rng.random() < 0.08:
-            body.append(wrapped(pick(sorted(_ASIDE - {"title", "head"}))))
+        if rng.random() < 0.35:
+            body.append("".join(piece() for _ in range(rng.integers(1, 3))))
+        if rng.random() < 0.12:
+            body[-2:] = [section("".join(body[-2:]))]
+        if rng.random() < 0.12:
+            body.append(wrapped(pick(names)))
     box = pick(["article", "main", "article", "div class=content", 'div class="post-content"',
                 'div id="main"', 'section class="story"', 'div class="entry"', 'main role="main"'])
     top = f"<h1>{escape(main[0][:60])}</h1>" if main and rng.random() < 0.7 else ""
@@ -429,7 +517,8 @@ def remade(page: list[tuple[str, str, float]], rng: np.random.Generator) -> str:
     for _ in range(rng.integers(0, 3)):
         middle = f"<div class=\"{pick(['wrap', 'page', 'row', 'col', 'site', 'outer'])}\">{middle}</div>"
     head = f"<head><title>{said()[:60]}</title></head>"
-    return f"<html>{head}<body>{around(5)}{middle}{around(5)}</body></html>"
+    after = wrapped(pick(["comments", "discussion", "replies"])) if rng.random() < 0.3 else ""
+    return f"<html>{head}<body>{around(7)}{middle}{after}{around(7)}</body></html>"
 
 
 def training_pages(sample: list[str]) -> list[list[tuple[str, str, float]]]:
