@@ -7,7 +7,7 @@ from catalogue.base_sql import EVENTS_AT, QUALITY_AT, pct
 from catalogue.registry import register
 from pyspark.sql import functions as F
 from vigil.functions.exprs import severity_rank, ts_lit
-from vigil.operators import lineage, quality, rules
+from vigil.operators import lineage, quality, rule_history, rules
 from vigil.operators.expectations import Expectation, counts
 from vigil.operators.rules import Templates, to_expectation
 from vigil.plans.scratch import scratch_path
@@ -242,6 +242,79 @@ def _(spark, d):
     )
 
 
+def _change_log(spark, d):
+    """Seeded rules, the delivery of 20 February, and a deletion on 25 February."""
+    known = testbed.rules_registry(spark, d)
+    kept = known.filter(~F.col("expectation_name").endswith("3"))
+    delivered = _incoming(spark, d).withColumn(
+        "rule_id", F.sha2(F.concat_ws("|", "dataset_name", "expectation_name"), 256)
+    )
+    return (
+        rule_history.versions(known)
+        .unionByName(rule_history.versions(delivered))
+        .unionByName(rule_history.changes(known, kept, datetime(2024, 2, 25)))
+    )
+
+
+_VERSIONS = f"""(SELECT dataset_name, expectation_name, severity, is_enabled,
+        updated_at AS valid_from, CASE WHEN {_CHANGED} THEN TIMESTAMP '2024-02-20 00:00:00'
+          WHEN id % 10 = 3 THEN TIMESTAMP '2024-02-25 00:00:00' END AS valid_to FROM rules
+        UNION ALL SELECT dataset_name, expectation_name || suffix, 'low', is_enabled,
+        TIMESTAMP '2024-02-20 00:00:00', NULL FROM rules, (VALUES (''), ('_b')) AS s(suffix)
+        WHERE {_CHANGED})"""
+
+
+@register(
+    "rules_in_force",
+    f"""SELECT dataset_name, expectation_name, severity, valid_from AS updated_at
+        FROM {_VERSIONS} v WHERE is_enabled AND valid_from <= TIMESTAMP '2024-02-22 00:00:00'
+        AND coalesce(valid_to > TIMESTAMP '2024-02-22 00:00:00', true)""",
+)
+def _(spark, d):
+    return rule_history.in_force(_change_log(spark, d), datetime(2024, 2, 22)).select(
+        "dataset_name", "expectation_name", "severity", "updated_at"
+    )
+
+
+@register(
+    "rules_intervals",
+    f"SELECT dataset_name, expectation_name, severity, valid_from, valid_to FROM {_VERSIONS} v",
+)
+def _(spark, d):
+    spans = rule_history.intervals(_change_log(spark, d)).filter("change_type <> 'delete'")
+    return spans.select("dataset_name", "expectation_name", "severity", "valid_from", "valid_to")
+
+
+@register(
+    "rules_of_own_day",
+    f"""SELECT f.expectation_name, v.severity, v.valid_from, count(*) AS n_facts,
+        sum(l_quantity) AS quantity
+        FROM (SELECT 'rule_' || l_partkey AS expectation_name, l_quantity,
+            TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(l_orderkey % 90 AS INTEGER))
+              + to_hours(l_linenumber) AS at FROM lineitem) f
+        LEFT JOIN {_VERSIONS} v ON v.expectation_name = f.expectation_name AND v.is_enabled
+          AND v.valid_from <= f.at AND coalesce(f.at < v.valid_to, true)
+        GROUP BY f.expectation_name, v.severity, v.valid_from""",
+)
+def _(spark, d):
+    hours = F.col("l_linenumber").cast("int")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        (F.col("l_orderkey") % 90).cast("int"), hours
+    )
+    dataset = F.lower(F.replace("p_brand", F.lit("#"), F.lit("_")))
+    part = table(spark, d, "part").select("p_partkey", dataset.alias("dataset_name"))
+    facts = table(spark, d, "lineitem").select(
+        "l_partkey",
+        F.concat(F.lit("rule_"), F.col("l_partkey").cast("string")).alias("expectation_name"),
+        "l_quantity",
+        at.alias("at"),
+    ).join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    judged = rule_history.judged(facts, _change_log(spark, d), "at")
+    return judged.groupBy("expectation_name", "rule.severity", "rule.valid_from").agg(
+        F.count("*").alias("n_facts"), F.sum("l_quantity").alias("quantity")
+    )
+
+
 @register(
     "rules_bulk_disable",
     f"""SELECT expectation_name,
