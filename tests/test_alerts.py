@@ -129,3 +129,24 @@ def test_a_run_that_never_ends_is_late(spark):
     )
     got = alerts.sla(runs, START + timedelta(hours=24)).collect()
     assert [r.message for r in got] == ["j run 7 took 1440 minutes (limit 120)"]
+
+
+def test_an_hour_of_many_subjects_is_ranked_in_parts(spark):
+    """Every subject raises one alert in the same hour; no task ranks more than its share."""
+    n = 40_000
+    raised = spark.range(n).selectExpr(
+        "concat('a', lpad(id, 7, '0')) AS alert_id", "'stale' AS alert_type",
+        "'critical' AS severity", "'m' AS message", "map('dataset_name', 'd' || id) AS details",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, (n0 % 3000)) AS triggered_at"
+        .replace("n0", "id"),
+        "CAST(NULL AS timestamp_ntz) AS resolved_at", "'active' AS status",
+        "CAST(array() AS array<string>) AS channels",
+    ).toDF(*ALERT_HISTORY.fieldNames())
+    delivery = Delivery((Channel("email", True),), max_per_hour=5, cooldown_minutes=60)
+    got = alerts.outcomes(raised, delivery)
+    counts = {r.outcome: r["count"] for r in got.groupBy("outcome").count().collect()}
+    assert counts == {"sent": 5, "over_limit": n - 5}
+    sent = {r.alert_id for r in got.filter("outcome = 'sent'").collect()}
+    assert sent == {f"a{i:07d}" for i in (0, 3000, 6000, 9000, 12000)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

@@ -372,6 +372,32 @@ def _cooled(
     return reduce(DataFrame.unionByName, walks)
 
 
+# Parts of an hour that are ranked apart before the hour is.
+HOUR_PARTS = 64
+
+
+def _first_of_hour(free: DataFrame, limit: int, hours: DataFrame | None) -> DataFrame:
+    """The first ``limit`` alerts of each hour, fewer where ``hours`` says that ``_already``
+    some were sent. Each part of an hour keeps its first ``limit``, so one task ranks at most
+    ``HOUR_PARTS * limit`` alerts of an hour, however many subjects raised one."""
+    key = [*_TOPIC, "second"]
+    order = ["second", "alert_type", "_first.alert_id"]
+    ranked = free.withColumns(
+        {
+            "hour": F.floor(F.col("second") / 3600),
+            "_part": F.pmod(F.xxhash64(*key), F.lit(HOUR_PARTS)),
+        }
+    )
+    for group in (["hour", "_part"], ["hour"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        ranked = ranked.withColumn("_place", place).filter(F.col("_place") <= limit)
+    if hours is not None:
+        ranked = ranked.join(hours, "hour", "left").filter(
+            F.col("_place") + F.coalesce("_already", F.lit(0)) <= limit
+        )
+    return ranked.select(*key, F.lit(True).alias("_allowed"))
+
+
 def outcomes(
     alerts: DataFrame,
     delivery: Delivery = DEFAULTS.delivery,
@@ -404,25 +430,17 @@ def outcomes(
     free = _cooled(
         spoken.select(*_TOPIC, "second"), delivery.cooldown_minutes * 60, walk_seconds, before
     )
-    # After the cooldown an hour holds few alerts per topic.
-    free = free.join(spoken, [*_TOPIC, "second"])
-    free = free.withColumn("hour", F.floor(F.col("second") / 3600))
-    order = Window.partitionBy("hour").orderBy("second", "alert_type", "_first.alert_id")
-    free = free.withColumn("_place", F.row_number().over(order))
-    if hours is not None:
-        free = free.join(hours, "hour", "left")
-        free = free.withColumn("_place", F.col("_place") + F.coalesce("_already", F.lit(0)))
-    allowed = free.select(
-        *_TOPIC, "second", (F.col("_place") <= delivery.max_per_hour).alias("_allowed")
-    )
+    free = stored(free.join(spoken, [*_TOPIC, "second"]), "free")
+    allowed = _first_of_hour(free, delivery.max_per_hour, hours)
     outcome = (
-        F.when(F.col("_allowed").isNull(), "cooled_down")
-        .when(~F.col("_allowed"), "over_limit")
+        F.when(F.col("_free").isNull(), "cooled_down")
+        .when(F.col("_allowed").isNull(), "over_limit")
         .when(F.col("alert_id") == F.col("_first.alert_id"), "sent")
         .otherwise("merged")
     )
     return (
         critical.join(spoken, [*_TOPIC, "second"])
+        .join(free.select(*_TOPIC, "second", F.lit(True).alias("_free")), [*_TOPIC, "second"], "left")
         .join(allowed, [*_TOPIC, "second"], "left")
         .select(
             "alert_id", *_TOPIC, "message", "triggered_at", "merged_alerts",
