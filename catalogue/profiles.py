@@ -5,7 +5,7 @@ from datetime import datetime
 from catalogue.base_sql import EVENTS_AT, pct
 from catalogue.registry import register
 from pyspark.sql import functions as F
-from vigil.operators import drift, inference, profile
+from vigil.operators import bulk_profile, drift, inference, profile
 from vigil.operators.profile import Metric
 from vigil.sources import testbed
 from vigil.sources.testbed import table
@@ -226,6 +226,28 @@ def _(spark, d):
     )
 
 
+_KINDS = {**{n: "created_snapshot" for n in ALL_TABLES}, "events": "created_timeseries"}
+
+
+@register(
+    "profile_outcomes",
+    " UNION ALL ".join(
+        f"""SELECT '{n}' AS table_name, '{kind}' AS status, NULL AS error_class,
+        count(*) AS profiled_rows FROM {n}"""
+        for n, kind in _KINDS.items()
+    )
+    + """ UNION ALL SELECT 'orders', 'excluded', NULL, NULL
+        UNION ALL SELECT 'not_there', 'failed', 'PATH_NOT_FOUND', NULL""",
+)
+def _(spark, d):
+    def reads(name):
+        return lambda: table(spark, d, name)
+
+    names = [*_KINDS, "orders", "not_there"]
+    out = bulk_profile.run(spark, {n: reads(n) for n in names}, {"events": "ts"}, ["orders"])
+    return out.outcomes.select("table_name", "status", "error_class", "profiled_rows")
+
+
 # ---------------------------------------------------------------- drift
 
 
