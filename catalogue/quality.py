@@ -613,6 +613,20 @@ def _(spark, d):
     return privacy.masked_columns(bronze, digests=True).drop("phone_number_digest")
 
 
+_KEY = privacy.Key("v1", b"a key for the comparison only")
+_INNER, _OUTER = (f"unhex('{pad.hex()}')" for pad in _KEY.pads())
+
+
+@register(
+    "pseudonyms",
+    f"""SELECT customer_id, 'v1:' || sha256({_OUTER} || unhex(sha256({_INNER} ||
+        encode(phone_number)))) AS phone_number_pseudonym FROM customers""",
+)
+def _(spark, d):
+    bronze = testbed.bronze_customers(spark, d).select("customer_id", "phone_number")
+    return privacy.keyed_digests(bronze, ["phone_number"], _KEY).drop("phone_number")
+
+
 @register(
     "row_filter",
     """SELECT customer_id, status FROM customers WHERE status = 'suspended' AND age < 40""",
