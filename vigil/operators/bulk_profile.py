@@ -58,8 +58,7 @@ def run(
     at_once: int = 4,
 ) -> BulkProfile:
     """Profile ``tables``: data, or functions that read it, so that a failing read is the
-    table's own. Excluded tables have the outcome ``excluded``. A table without columns is
-    profiled with nothing to say."""
+    table's own. Excluded tables have the outcome ``excluded``."""
     stamps = dict(timestamp_columns or {})
 
     def one(name: str):
