@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from vigil.llm import tokens as K
 from vigil.llm import words as W
 from vigil.llm.tokens import PartTokenizer
 
@@ -124,3 +125,53 @@ def test_cache_is_bounded_in_bytes():
             held = sum(len(k) + len(v) + 240 for k, v in part.items())
             assert held <= 20_000
     assert small.old and "common" in small.young | small.old
+
+
+def junk(seed, n):
+    letters = np.random.default_rng(seed).integers(97, 123, (n, 9)).astype(np.uint8)
+    return [bytes(word).decode() for word in letters]
+
+
+def test_words_met_once_do_not_drive_out_others():
+    """Words of every sixth batch, junk in all: each is encoded a few times, not once a batch."""
+    tokenizer = PartTokenizer(cache_bytes=60_000)
+    rare = [f"rare{chr(97 + i)}" for i in range(10)]
+    encoded, parts = [], tokenizer._parts
+    tokenizer._parts = lambda new: encoded.extend(new) or parts(new)
+    for turn in range(60):
+        tokenizer.pack([" ".join(junk(turn, 60) + (rare if turn % 6 == 0 else []))])
+    assert len(set(encoded) - set(rare)) >= 3600 - 2
+    assert sum(part in rare for part in encoded) <= 5 * len(rare)  # ten turns have them
+
+
+def test_plain_bytes_are_plain_letters():
+    """Every character below U+3000: the bytes say what the expression over characters says."""
+    chars = [chr(c) for c in range(0x3000)]
+    odd = K.not_plain(pa.array(chars)).tolist()
+    assert odd == [K._NOT_PLAIN.search(c) is not None for c in chars]
+    texts = [f"A{c}b1{c}{c} {c}Z" for c, is_odd in zip(chars, odd) if not is_odd]
+    parts, first = K.plain_parts(pa.array(texts))
+    parts = parts.to_pylist()
+    found = [parts[a:b] for a, b in zip(first, first[1:])]
+    assert found == [K._PART.findall(text.lower()) for text in texts]
+
+
+def test_columns_with_slices_nulls_and_odd_texts(tokenizer):
+    texts = ["cut off", "Äb1 c", None, "", "don't", " \n", "a<", "|b", "Äb22 C!?", "K ﬁ", None]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(texts, kind)
+        for low, high in ((0, 11), (1, 9), (2, 4), (4, 5), (5, 5), (6, 11)):
+            whole = tokenizer.whole.encode_batch(
+                [t or "" for t in texts[low:high]], add_special_tokens=False
+            )
+            packed = tokenizer.pack(column.slice(low, high - low))
+            assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [e.ids for e in whole]
+
+
+def test_failed_batch_leaves_no_wrong_ids():
+    tokenizer = PartTokenizer()
+    parts, tokenizer._parts = tokenizer._parts, lambda new: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        tokenizer.pack(["some words"])
+    tokenizer._parts = parts
+    assert tokenizer.pack(["some words"]) == PartTokenizer().pack(["some words"])

@@ -47,8 +47,8 @@ def _pieces(size: int, end_id: int, path: str | None):
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            texts = batch.column(1).to_pylist()
-            for doc_id, packed in zip(batch.column(0).to_pylist(), tokenizer.pack(texts)):
+            texts = tokenizer.pack(batch.column(1))
+            for doc_id, packed in zip(batch.column(0).to_pylist(), texts):
                 rows += [(doc_id, *piece) for piece in cut(packed + end, size)]
             columns = list(zip(*rows)) or [[]] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())

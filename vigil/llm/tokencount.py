@@ -37,7 +37,7 @@ def _pack(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = shared(path, dtype="<u2", plain=True)
         for batch in batches:
-            packed = tokenizer.pack(batch.column(0).to_pylist())
+            packed = tokenizer.pack(batch.column(0))
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["ids"])
 
     return run
